@@ -1,4 +1,8 @@
 """Registered queries, grouped by the kind of operator they exercise."""
 
-from epitide.plans import merge_queries, repair_queries  # noqa: F401
+from epitide.plans import (  # noqa: F401
+    merge_queries,
+    repair_queries,
+    scalar_queries,
+)
 from epitide.plans.registry import REGISTRY, Query, Tables  # noqa: F401
