@@ -2,7 +2,9 @@
 
 from epitide.plans import (  # noqa: F401
     merge_queries,
+    place_queries,
     repair_queries,
+    reshape_queries,
     scalar_queries,
 )
 from epitide.plans.registry import REGISTRY, Query, Tables  # noqa: F401
