@@ -1,9 +1,9 @@
 """Joining dirty names to a dimension: exact, then fuzzy on the distinct unmatched names only.
 
-Candidate pairs come from an exact set-similarity join rather than a product of the two name lists.
-A name is a set of tokens (character, occurrence number). Two names that score at least the cutoff
-must share a known minimum of tokens, so they must agree in at least one of their few rarest tokens
-(prefix filter); length bounds drop more. No pair that could reach the cutoff is lost.
+Candidate pairs come from an equi-join on text pieces rather than a product of the two name lists. A
+score of at least the cutoff bounds the edit distance by some k, and k edits leave at least one of
+k + 1 pieces of the key untouched: that piece must occur in the name, shifted by at most k. So no
+pair that could reach the cutoff is lost.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,44 +45,65 @@ def edit_similarity(word: Column, candidate: Column) -> Column:
     return 1 - F.try_divide(F.levenshtein(word, candidate).cast("double"), longer.cast("double"))
 
 
-def _shared_needed(score: str, a: Column, b: Column, cutoff: float) -> Column:
-    """Tokens two names of these lengths must share to be able to reach the cutoff."""
+def _edit_bound(score: str, la: Column, lb: Column, cutoff: float) -> Column:
+    """Largest edit distance two names of these lengths can have and still reach the cutoff.
+
+    Matching blocks keep their order, so unmatched characters bound the edit distance as well.
+    """
     if score == "edit":
-        return F.ceil(F.greatest(a, b) * cutoff - _EPS)
-    return F.ceil((a + b) * cutoff / 2 - _EPS)
+        return F.floor(F.greatest(la, lb) * (1 - cutoff) + _EPS).cast("int")
+    return F.floor(F.greatest(la, lb) - (la + lb) * cutoff / 2 + _EPS).cast("int")
 
 
-def _shared_floor(score: str, n: Column, cutoff: float) -> Column:
-    """The same for the shortest name that could still match one of length n."""
-    return F.ceil(n * cutoff - _EPS) if score == "edit" else F.ceil(n * cutoff / (2 - cutoff) - _EPS)
+def _length_limits(score: str, n: Column, cutoff: float) -> tuple[Column, Column]:
+    """Shortest and longest name that can still match one of length n."""
+    low, high = (cutoff, 1 / cutoff) if score == "edit" else (cutoff / (2 - cutoff), (2 - cutoff) / cutoff)
+    return F.ceil(n * low - _EPS).cast("int"), F.floor(n * high + _EPS).cast("int")
 
 
 # ---- candidates ---------------------------------------------------------------------------------
 
-def _tokens(name: str | Column) -> Column:
-    letters = F.array_sort(F.split(name, ""))
-    return F.transform(letters, lambda x, i: F.concat(x, (i - F.array_position(letters, x) + 2).cast("string")))
+def _segment(length: Column, k: Column, i: Column) -> tuple[Column, Column]:
+    """Start (from 0) and length of piece i when a text is cut into k + 1 nearly equal pieces.
 
-
-def _rarest(names: DataFrame, name: str, frequency: DataFrame, score: str, cutoff: float) -> DataFrame:
-    """The prefix of each name: its rarest tokens, enough that a match must hit one of them."""
-    exploded = names.select(name, F.length(name).alias("_len"), F.explode(_tokens(F.col(name))).alias("_token"))
-    ranked = exploded.join(frequency, "_token", "left").withColumn("_rn", F.row_number().over(
-        Window.partitionBy(name).orderBy(F.coalesce(F.col("_freq"), F.lit(0)), "_token")))
-    return ranked.filter(F.col("_rn") <= F.col("_len") - _shared_floor(score, F.col("_len"), cutoff) + 1).drop("_rn", "_freq")
+    A text too short for that has the empty piece, which every name contains.
+    """
+    parts = k + 1
+    base = F.floor(length / parts).cast("int")
+    short = parts - length % parts
+    start = i * base + F.greatest(F.lit(0), i - short)
+    size = base + (i >= short).cast("int")
+    whole = parts <= length
+    return F.when(whole, start).otherwise(0), F.when(whole, size).otherwise(0)
 
 
 def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score: str, cutoff: float) -> DataFrame:
     """Distinct (name, key) pairs among which every pair at or above the cutoff is found."""
-    left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct()
-    right = dim.select(F.col(key).alias("_key")).filter(F.length("_key") > 0).distinct()
-    frequency = right.select(F.explode(_tokens(F.col("_key"))).alias("_token")).groupBy("_token").agg(F.count("*").alias("_freq"))
-    a = _rarest(left, "_name", frequency, score, cutoff).withColumnRenamed("_len", "_la")
-    b = _rarest(right, "_key", frequency, score, cutoff).withColumnRenamed("_len", "_lb")
-    fits = _shared_needed(score, F.col("_la"), F.col("_lb"), cutoff) <= F.least("_la", "_lb")
-    overlap = F.size(F.array_intersect(_tokens(F.col("_name")), _tokens(F.col("_key"))))
-    pairs = a.join(b, "_token").filter(fits).select("_name", "_key", "_la", "_lb").distinct()
-    return pairs.filter(overlap >= _shared_needed(score, F.col("_la"), F.col("_lb"), cutoff)).select("_name", "_key")
+    left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct().withColumn("_la", F.length("_name"))
+    right = dim.select(F.col(key).alias("_key")).filter(F.length("_key") > 0).distinct().withColumn("_lb", F.length("_key"))
+    k, i = F.col("_k"), F.col("_i")
+    start, size = _segment(F.col("_lb"), k, i)
+
+    # Keys: their pieces for every edit bound that a name of fitting length can give.
+    widest = _edit_bound(score, _length_limits(score, F.col("_lb"), cutoff)[1], F.col("_lb"), cutoff)
+    pieces = (
+        right.withColumn("_k", F.explode(F.sequence(F.lit(0), widest)))
+        .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
+        .select("_key", "_lb", "_k", "_i", F.substring("_key", start + 1, size).alias("_piece")))
+
+    # Names: the substrings at which piece i of a key of length lb can still be found.
+    low, high = _length_limits(score, F.col("_la"), cutoff)
+    shift = F.col("_la") - F.col("_lb")
+    first = F.greatest(F.lit(0), start - F.floor((k - shift) / 2).cast("int"))
+    last = F.least(F.col("_la") - size, start + F.floor((k + shift) / 2).cast("int"))
+    probes = (
+        left.withColumn("_lb", F.explode(F.sequence(F.greatest(F.lit(1), low), high)))
+        .withColumn("_k", _edit_bound(score, F.col("_la"), F.col("_lb"), cutoff))
+        .filter((k >= 0) & (F.abs(shift) <= k))
+        .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
+        .withColumn("_at", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
+        .select("_name", "_lb", "_k", "_i", F.substring("_name", F.col("_at") + 1, size).alias("_piece")).distinct())
+    return probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key").distinct()
 
 
 def closest(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float = CUTOFF, score: str = "blocks") -> DataFrame:
