@@ -2,6 +2,7 @@
 
 from epitide.plans import (  # noqa: F401
     merge_queries,
+    metric_queries,
     place_queries,
     repair_queries,
     reshape_queries,
