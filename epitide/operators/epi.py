@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epitide.functions.calendar import month_end
-from epitide.functions.scalar import prefix_group, ratio, row_mean, subtract
+from epitide.functions.scalar import clip, prefix_group, ratio, row_mean, row_sum, subtract
 from epitide.operators import repair, windows
 from epitide.operators.merge import priority_merge, stack_sources
 from epitide.operators.ordered import average_rank
@@ -33,7 +33,7 @@ def excess(df: DataFrame, keys: Sequence[str], value: str, years: Sequence[int],
 
     def base(which, name):
         cs = [f"{value}_{y}" for y in which]
-        return {f"{name}_avg": row_mean(cs), f"{name}_min": F.least(*cs), f"{name}_max": F.greatest(*cs)}
+        return {f"{name}_avg": row_mean(cs), f"{name}_min": F.array_min(F.array(*cs)), f"{name}_max": F.array_max(F.array(*cs))}
 
     wide = months.withColumns({**base(short, "pre"), **base(long, "pre5")})
     report = F.array(*[F.struct(F.lit(y).alias("year"), F.col(f"{value}_{y}").alias("v")) for y in years if y >= start])
@@ -123,15 +123,23 @@ def trend_table(df: DataFrame, entity: str, date: str, value: str, dim: DataFram
         entity, "region", value, "ma", "trend", F.lit(style).alias("trend_style"))
 
 
-def condition_split(df: DataFrame, keys: Sequence[str], date: str, active: str, hospital: str, field: str, severe: str,
-                    ventilated: str) -> DataFrame:
-    """Active patients by condition: ventilated, severe without ventilation, other in hospital, mild, elsewhere."""
-    filled = repair.interpolate(df, keys, date, [severe, ventilated])
+def condition_split(df: DataFrame, keys: Sequence[str], date: str, hospitalised: str, severe: str, ventilated: str,
+                    field: str, field_parts: Sequence[str], cases: str, exits: Sequence[str]) -> DataFrame:
+    """Active patients by condition, gaps in the ward figures interpolated first.
+
+    severe_only (without ventilation), hospital_other, field_unknown, mild, and other_active: cases to
+    date that are neither in a ward nor among the exits. Residuals never fall below zero.
+    """
+    filled = repair.interpolate(df, keys, date, [hospitalised, severe, ventilated, field])
+    known = row_sum(["severe_only", ventilated, field])
     out = filled.withColumn("severe_only", subtract(severe, ventilated))
-    out = out.withColumn("hospital_other", subtract(subtract(hospital, "severe_only", 0.0), ventilated, 0.0))
-    out = out.withColumn("mild", subtract(field, F.lit(0.0), 0.0))
-    rest = F.col(active) - F.coalesce(F.col(hospital), F.lit(0.0)) - F.coalesce(F.col(field), F.lit(0.0))
-    return out.withColumn("elsewhere", F.when(rest.isNotNull(), F.greatest(rest, F.lit(0.0))))
+    out = out.withColumns({
+        "hospital_other": subtract(hospitalised, known),
+        "field_unknown": clip(subtract(field, row_sum(field_parts), 0.0), 0.0),
+        "other_active": clip(subtract(subtract(cases, known, 0.0), row_sum(exits), 0.0), 0.0),
+    })
+    wards = row_sum([ventilated, severe, "field_unknown", *field_parts])
+    return out.withColumn("mild", clip(subtract(hospitalised, wards, 0.0), 0.0))
 
 
 def shares_of(df: DataFrame, parts: Sequence[str], whole: str, suffix: str = "_pct") -> DataFrame:

@@ -1,9 +1,11 @@
 """Registered queries, grouped by the kind of operator they exercise."""
 
 from epitide.plans import (  # noqa: F401
+    corpus_queries,
     merge_queries,
     metric_queries,
     place_queries,
+    quality_queries,
     repair_queries,
     reshape_queries,
     scalar_queries,

@@ -408,22 +408,32 @@ def r20(t):
 
 
 _WARD = inputs.PLACED + """,
-ward0 AS (SELECT region AS entity, date, CAST(COUNT(*) AS DOUBLE) AS active, CAST(COUNT(*) FILTER (status <> 'P') AS DOUBLE) AS hospital, CAST(COUNT(*) FILTER (type = '5-LOW') AS DOUBLE) AS field,
-  CASE WHEN day(date) <> 9 THEN CAST(COUNT(*) FILTER (status = 'F') AS DOUBLE) END AS severe, CASE WHEN day(date) <> 9 THEN CAST(COUNT(*) FILTER (status = 'F' AND type = '1-URGENT') AS DOUBLE) END AS vent FROM placed GROUP BY 1, 2)"""
+w0 AS (SELECT region AS entity, date, CAST(COUNT(*) AS DOUBLE) AS n, CAST(COUNT(*) FILTER (status <> 'P') AS DOUBLE) AS hospital, CAST(COUNT(*) FILTER (type = '5-LOW') AS DOUBLE) AS field,
+  CAST(COUNT(*) FILTER (type = '5-LOW' AND segment = 'BUILDING') AS DOUBLE) AS field_a, CAST(COUNT(*) FILTER (segment = 'MACHINERY' AND status = 'O') AS DOUBLE) AS out,
+  CASE WHEN day(date) <> 9 THEN CAST(COUNT(*) FILTER (status = 'F') AS DOUBLE) END AS severe, CASE WHEN day(date) <> 9 THEN CAST(COUNT(*) FILTER (status = 'F' AND type = '1-URGENT') AS DOUBLE) END AS vent FROM placed GROUP BY 1, 2),
+ward0 AS (SELECT * REPLACE (SUM(out) OVER (PARTITION BY entity ORDER BY date) AS out), SUM(n) OVER (PARTITION BY entity ORDER BY date) AS cases FROM w0)"""
+_WARD_COLS = "entity, date, hospital, field, field_a, out, severe, vent, cases"
 
 
-@query("r21_condition_split", f"""WITH {_WARD}, {sqltext.interpolated('ward0', 'severe', out='w1')}, w1b AS (SELECT entity, date, active, hospital, field, severe, vent FROM w1), {sqltext.interpolated('w1b', 'vent', out='w2')}
-SELECT entity, date, round(vent, 6) AS vent, round(severe - vent, 6) AS severe_only,
-  round(COALESCE(COALESCE(hospital, 0) - COALESCE(severe - vent, 0), 0) - COALESCE(vent, 0), 6) AS hospital_other, field AS mild, greatest(active - hospital - field, 0) AS elsewhere FROM w2""")
+@query("r21_condition_split", f"""WITH {_WARD}, {sqltext.interpolated('ward0', 'severe', out='w1')}, w1b AS (SELECT {_WARD_COLS} FROM w1), {sqltext.interpolated('w1b', 'vent', out='w2')},
+k AS (SELECT *, COALESCE(severe - vent, 0) + COALESCE(vent, 0) + COALESCE(field, 0) AS known, greatest(field - field_a, 0) AS field_unknown FROM w2)
+SELECT entity, date, round(severe - vent, 6) AS severe_only, round(hospital - known, 6) AS hospital_other, field_unknown,
+  round(greatest(cases - known - out, 0), 6) AS other_active, round(greatest(hospital - (COALESCE(vent, 0) + COALESCE(severe, 0) + field_unknown + field_a), 0), 6) AS mild FROM k""")
 def r21(t):
-    s, y, day = F.col("status"), F.col("type"), F.dayofmonth("date")
+    s, y, g, day = F.col("status"), F.col("type"), F.col("segment"), F.dayofmonth("date")
+
+    def count(cond):
+        return F.count(F.when(cond, 1)).cast("double")
+
     ward = inputs.placed_orders(t).groupBy(F.col("region").alias("entity"), "date").agg(
-        F.count("*").cast("double").alias("active"), F.count(F.when(s != "P", 1)).cast("double").alias("hospital"),
-        F.count(F.when(y == "5-LOW", 1)).cast("double").alias("field"), F.count(F.when(s == "F", 1)).cast("double").alias("severe"),
-        F.count(F.when((s == "F") & (y == "1-URGENT"), 1)).cast("double").alias("vent"))
-    ward = ward.withColumns({c: F.when(day != 9, F.col(c)) for c in ("severe", "vent")})
-    return epi.condition_split(ward, ["entity"], "date", "active", "hospital", "field", "severe", "vent").select(
-        "entity", "date", r6("vent").alias("vent"), r6("severe_only").alias("severe_only"), r6("hospital_other").alias("hospital_other"), "mild", "elsewhere")
+        F.count("*").cast("double").alias("n"), count(s != "P").alias("hospital"), count(y == "5-LOW").alias("field"),
+        count((y == "5-LOW") & (g == "BUILDING")).alias("field_a"), count((g == "MACHINERY") & (s == "O")).alias("out"),
+        count(s == "F").alias("severe"), count((s == "F") & (y == "1-URGENT")).alias("vent"))
+    so_far = Window.partitionBy("entity").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    ward = ward.withColumns({"cases": F.sum("n").over(so_far), "out": F.sum("out").over(so_far)}).withColumns(
+        {c: F.when(day != 9, F.col(c)) for c in ("severe", "vent")})
+    out = epi.condition_split(ward, ["entity"], "date", "hospital", "severe", "vent", "field", ["field_a"], "cases", ["out"])
+    return out.select("entity", "date", *[r6(c).alias(c) for c in ("severe_only", "hospital_other", "field_unknown", "other_active", "mild")])
 
 
 @query("r22_risk_share", f"""WITH {inputs.PLACED}, r AS (SELECT date, COUNT(*) FILTER (status = 'F') AS deaths, COUNT(*) FILTER (status = 'F' AND segment = 'BUILDING') AS risk_a, COUNT(*) FILTER (status = 'F' AND segment = 'HOUSEHOLD') AS risk_b FROM placed GROUP BY 1)
