@@ -39,14 +39,14 @@ def dated_documents(t, names):
     k = F.col("doc_id")
     month = F.element_at(F.array(*[F.lit(m) for m in names]), (k % 12 + 1).cast("int"))
     day = (k % 28 + 1).cast("string")
-    return t.documents.select("doc_id", F.concat("text", F.lit("\nวันที่ "), day, F.lit(" "),
+    return t.documents.select("doc_id", F.concat("text", F.lit("\nas of day "), day, F.lit(" "),
                                                  F.substring(month, F.lit(1), F.length(month) - 1), F.lit(" "), (k % 5 + 2560).cast("string")).alias("text"))
 
 
 _MONTH_LIST = "[" + ", ".join(f"'{m}'" for m in MONTHS) + "]"
 
 
-@query("x2_text_dates", rf"""WITH d AS (SELECT doc_id, text || E'\nวันที่ ' || (doc_id % 28 + 1) || ' ' || {_MONTH_LIST}[CAST(doc_id % 12 + 1 AS INTEGER)][1:-2] || ' ' || (doc_id % 5 + 2560) AS text FROM documents),
+@query("x2_text_dates", rf"""WITH d AS (SELECT doc_id, text || E'\nas of day ' || (doc_id % 28 + 1) || ' ' || {_MONTH_LIST}[CAST(doc_id % 12 + 1 AS INTEGER)][1:-2] || ' ' || (doc_id % 5 + 2560) AS text FROM documents),
 m AS (SELECT doc_id, unnest(regexp_extract_all(text, '([0-9]+)\s*([^ ]+)\s*((?:25)?[0-9][0-9])', 1)) AS day, unnest(regexp_extract_all(text, '([0-9]+)\s*([^ ]+)\s*((?:25)?[0-9][0-9])', 2)) AS word,
   unnest(regexp_extract_all(text, '([0-9]+)\s*([^ ]+)\s*((?:25)?[0-9][0-9])', 3)) AS year FROM d),
 names AS (SELECT unnest({_MONTH_LIST}) AS name, unnest(range(1, 13)) AS month),
