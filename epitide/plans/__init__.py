@@ -9,5 +9,6 @@ from epitide.plans import (  # noqa: F401
     repair_queries,
     reshape_queries,
     scalar_queries,
+    source_queries,
 )
 from epitide.plans.registry import REGISTRY, Query, Tables  # noqa: F401
