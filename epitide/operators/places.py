@@ -1,8 +1,8 @@
 """Joining dirty names to a dimension: exact, then fuzzy on the distinct unmatched names only.
 
 Candidate pairs come from an equi-join on text pieces rather than a product of the two name lists. A
-score of at least the cutoff bounds the edit distance by some k, and k edits leave at least one of
-k + 1 pieces of the key untouched: that piece must occur in the name, shifted by at most k. So no
+score of at least the cutoff bounds the number of edits by some k, and k edits leave at least one of
+k + 1 pieces of the key untouched: that piece must occur in the name, not far from its place. So no
 pair that could reach the cutoff is lost.
 """
 
@@ -45,14 +45,25 @@ def edit_similarity(word: Column, candidate: Column) -> Column:
     return 1 - F.try_divide(F.levenshtein(word, candidate).cast("double"), longer.cast("double"))
 
 
-def _edit_bound(score: str, la: Column, lb: Column, cutoff: float) -> Column:
-    """Largest edit distance two names of these lengths can have and still reach the cutoff.
+def _matched(la: Column, lb: Column, cutoff: float) -> Column:
+    """Characters that must match, in order, for the matching-blocks ratio to reach the cutoff."""
+    return F.ceil((la + lb) * cutoff / 2 - _EPS).cast("int")
 
-    Matching blocks keep their order, so unmatched characters bound the edit distance as well.
+
+def _damage(score: str, la: Column, lb: Column, cutoff: float) -> Column:
+    """Most edits that can separate two names of these lengths if they reach the cutoff.
+
+    Matching blocks allow no substitution: every unmatched character of either name counts.
     """
     if score == "edit":
         return F.floor(F.greatest(la, lb) * (1 - cutoff) + _EPS).cast("int")
-    return F.floor(F.greatest(la, lb) - (la + lb) * cutoff / 2 + _EPS).cast("int")
+    return la + lb - 2 * _matched(la, lb, cutoff)
+
+
+def _most_damage(score: str, lb: Column, cutoff: float) -> Column:
+    """The same over all names that could match a key of length lb."""
+    la = _length_limits(score, lb, cutoff)[1]
+    return F.floor((F.greatest(la, lb) if score == "edit" else la + lb) * (1 - cutoff) + _EPS).cast("int")
 
 
 def _length_limits(score: str, n: Column, cutoff: float) -> tuple[Column, Column]:
@@ -85,7 +96,7 @@ def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score
     start, size = _segment(F.col("_lb"), k, i)
 
     # Keys: their pieces for every edit bound that a name of fitting length can give.
-    widest = _edit_bound(score, _length_limits(score, F.col("_lb"), cutoff)[1], F.col("_lb"), cutoff)
+    widest = _most_damage(score, F.col("_lb"), cutoff)
     pieces = (
         right.withColumn("_k", F.explode(F.sequence(F.lit(0), widest)))
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
@@ -94,16 +105,19 @@ def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score
     # Names: the substrings at which piece i of a key of length lb can still be found.
     low, high = _length_limits(score, F.col("_la"), cutoff)
     shift = F.col("_la") - F.col("_lb")
+    # Edits to the left and to the right of an intact piece share k, which limits how far it can move.
+    # Without substitutions it moves left by lost and right by added characters at most; the same numbers.
     first = F.greatest(F.lit(0), start - F.floor((k - shift) / 2).cast("int"))
     last = F.least(F.col("_la") - size, start + F.floor((k + shift) / 2).cast("int"))
     probes = (
         left.withColumn("_lb", F.explode(F.sequence(F.greatest(F.lit(1), low), high)))
-        .withColumn("_k", _edit_bound(score, F.col("_la"), F.col("_lb"), cutoff))
+        .withColumn("_k", _damage(score, F.col("_la"), F.col("_lb"), cutoff))
         .filter((k >= 0) & (F.abs(shift) <= k))
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
         .withColumn("_at", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
         .select("_name", "_lb", "_k", "_i", F.substring("_name", F.col("_at") + 1, size).alias("_piece")).distinct())
-    return probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key").distinct()
+    pairs = probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key", "_k").distinct()
+    return pairs.filter(F.levenshtein("_name", "_key") <= F.col("_k")).select("_name", "_key")
 
 
 def closest(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float = CUTOFF, score: str = "blocks") -> DataFrame:
