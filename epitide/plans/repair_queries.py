@@ -149,12 +149,12 @@ def t13(t):
 {sqltext.interpolated('d', 'value')},
 a AS (SELECT date, CASE WHEN COUNT(value) OVER w >= 14 THEN AVG(value) OVER w END AS avg14 FROM filled
   WINDOW w AS (ORDER BY date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW))
-SELECT date, round(avg14, 2) AS avg14, round((avg14 - LAG(avg14, 14) OVER (ORDER BY date)) / NULLIF(LAG(avg14, 14) OVER (ORDER BY date), 0) * 100, 5) AS change FROM a""")
+SELECT date, round(avg14, 6) AS avg14, round((avg14 - LAG(avg14, 14) OVER (ORDER BY date)) / NULLIF(LAG(avg14, 14) OVER (ORDER BY date), 0) * 100, 5) AS change FROM a""")
 def t14(t):
     nat = inputs.national(t).select(F.lit("all").alias("entity"), "date", "value")
     full = repair.interpolate(repair.densify(nat, ["entity"]), ["entity"])
     return windows.change_ratio(full, ["entity"]).select(
-        "date", F.round("value_avg", 2).alias("avg14"), F.round("change", 5).alias("change"))
+        "date", r6("value_avg").alias("avg14"), F.round("change", 5).alias("change"))
 
 
 @query("t15_half_slope", f"""WITH {inputs.DAILY}, {sqltext.dense('daily', 'n')},

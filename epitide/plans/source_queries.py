@@ -91,7 +91,9 @@ def s6(t):
                            ["o_orderkey", "c_mktsegment", "o_orderpriority", "o_orderstatus"])
 
 
-@query("s7_tail_replacement", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, CASE WHEN CAST(o_orderdate AS DATE) >= DATE '2000-06-30' THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders""")
+@query("s7_tail_replacement", """WITH r AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice AS price FROM orders),
+c AS (SELECT * FROM r WHERE date < DATE '2000-06-30' OR (date = DATE '2000-06-30' AND price > 200000)), b AS (SELECT MAX(date) AS d FROM c)
+SELECT * FROM c WHERE date < (SELECT d FROM b) UNION ALL SELECT o_orderkey, date, price + 1 FROM r WHERE date >= (SELECT d FROM b)""")
 def s7(t):
     rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("price"))
     # The cache ends within 30 June: rows of that day are incomplete and their values have changed since.
