@@ -1,69 +1,96 @@
 """Exact running totals, ranks and quantiles that split a hot group over many tasks.
 
-A plain ordered window sends all rows of one key to one task. Here each key is cut into value
-ranges by approximate quantiles; rows are totalled per (key, range), the few range totals are
-accumulated, and the ordered window then runs inside each (key, range). The cuts only decide how
-evenly the work spreads: results are exact for any cuts.
+A plain ordered window sends all rows of one key to one task. Here keys with many rows are cut into
+value ranges; rows are totalled per (key, range), the few range totals are accumulated, and the
+ordered window then runs inside each (key, range). The cuts come from a sample chosen by the hash of
+the value, so a task that is run again sees the same cuts, and results are exact for any cuts: they
+only decide how evenly the work spreads. Keys below the size limit are not cut at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import isqrt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+ROWS_PER_RANGE = 100_000
+MAX_RANGES = 1024
+SAMPLE_PER_RANGE = 8
+_HASHES = 2**31
 
 
-def _ranged(df: DataFrame, keys: Sequence[str], order: str, ranges: int) -> DataFrame:
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(order, steps, 100 * ranges).alias("_cuts"))
-    return df.join(cuts, list(keys)).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
+def join_same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on equal keys where null equals null."""
+    right = b.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in keys])
+    return a.join(right, on, how).drop(*[f"_on_{k}" for k in keys])
+
+
+def _position(cuts: Column, value: Column) -> Column:
+    """How many of the ascending cuts are below the value, in two steps instead of one long pass."""
+    step = isqrt(MAX_RANGES)
+    blocks = F.size(F.filter(F.filter(cuts, lambda c, i: (i + 1) % step == 0), lambda c: c < value))
+    inside = F.slice(cuts, blocks * step + 1, F.lit(step))
+    return blocks * step + F.size(F.filter(inside, lambda c: c < value))
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], order: str, rows: int) -> DataFrame:
+    """Adds `_range`: 0 for small keys, otherwise the value range of the row within its key."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_size")).filter(F.col("_size") > rows).withColumn(
+        "_ranges", F.least(F.lit(MAX_RANGES), F.ceil(F.col("_size") / rows)).cast("int"))
+    chance = F.col("_ranges") * SAMPLE_PER_RANGE / F.col("_size") * _HASHES
+    sample = join_same(df.select(*keys, order), sizes, keys).filter(F.pmod(F.xxhash64(order), F.lit(_HASHES)) < chance)
+    picked = sample.groupBy(*keys, "_ranges").agg(F.array_sort(F.collect_set(order)).alias("_s"))
+    spaced = F.transform(
+        F.sequence(F.lit(1), F.col("_ranges") - 1),
+        lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_ranges")).cast("int")))
+    cuts = picked.select(*keys, F.array_distinct(F.array_compact(spaced)).alias("_cuts"))
+    return join_same(df, cuts, keys, "left").withColumn(
+        "_range", F.when(F.col("_cuts").isNull(), 0).otherwise(_position(F.col("_cuts"), F.col(order)))).drop("_cuts")
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, amount: str, out: str,
-                  ranges: int = RANGES) -> DataFrame:
+                  rows: int = ROWS_PER_RANGE) -> DataFrame:
     """Adds `out`: sum of `amount` over rows of the key up to and including this `order` value.
 
-    `order` must be numeric and unique per key (aggregate first if it is not).
+    `order` must be numeric, not null and unique per key (aggregate first if it is not).
     """
-    tagged = _ranged(df, keys, order, ranges)
+    tagged = _ranged(df, keys, order, rows)
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     base = (
         tagged.groupBy(*keys, "_range").agg(F.sum(amount).alias("_sum"))
-        .withColumn("_base", F.sum("_sum").over(before)).drop("_sum"))
+        .withColumn("_base", F.sum("_sum").over(before)).filter("_range > 0").drop("_sum"))
     within = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = tagged.join(base, [*keys, "_range"])
     running = F.coalesce(F.col("_base"), F.lit(0)) + F.coalesce(F.sum(amount).over(within), F.lit(0))
-    return joined.withColumn(out, running).drop("_base", "_range")
+    return join_same(tagged, base, [*keys, "_range"], "left").withColumn(out, running).drop("_base", "_range")
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, rows: int = ROWS_PER_RANGE) -> DataFrame:
     """(keys, value, _n, _upto): distinct non-null values with their count and running count."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    return running_total(counts, keys, value, "_n", "_upto", ranges)
+    return running_total(counts, keys, value, "_n", "_upto", rows)
 
 
-def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", ranges: int = RANGES) -> DataFrame:
+def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", rows: int = ROWS_PER_RANGE) -> DataFrame:
     """Ascending rank of `value` within keys, ties averaged; missing values have no rank."""
-    ranks = value_counts(df, keys, value, ranges).select(
+    ranks = value_counts(df, keys, value, rows).select(
         *keys, value, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(out))
-    return df.join(ranks, [*keys, value], "left")
+    return join_same(df, ranks, [*keys, value], "left")
 
 
 def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.5, out: str = "median",
-                   ranges: int = RANGES) -> DataFrame:
+                   rows: int = ROWS_PER_RANGE) -> DataFrame:
     """Quantile per key with linear interpolation between order statistics, one row per key."""
-    counted = value_counts(df, keys, value, ranges)
+    counted = value_counts(df, keys, value, rows)
     total = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_total"))
     at = (F.col("_total") - 1) * F.lit(q)
-    lo, hi = F.floor(at), F.ceil(at)
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
-    picked = counted.join(total, list(keys)).withColumns({"_lo": lo, "_hi": hi, "_at": at})
+    picked = join_same(counted, total, keys).withColumns({"_lo": F.floor(at), "_hi": F.ceil(at), "_at": at})
     return (
-        picked.filter(((F.col("_lo") >= first) & (F.col("_lo") <= last)) | ((F.col("_hi") >= first) & (F.col("_hi") <= last)))
+        picked.filter(F.col("_lo").between(first, last) | F.col("_hi").between(first, last))
         .groupBy(*keys).agg(
             F.min(value).cast("double").alias("_a"), F.max(value).cast("double").alias("_b"),
             F.max(F.col("_at") - F.col("_lo")).alias("_f"))

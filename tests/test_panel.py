@@ -108,8 +108,8 @@ def test_average_rank_against_pandas_with_few_ranges(spark):
     rows = [(f"e{i}", day(i % 3), None if i % 11 == 0 else float(rnd.randrange(12))) for i in range(200)]
     df = pd.DataFrame(rows, columns=["entity", "date", "value"])
     want = df.groupby("date")["value"].rank()
-    for ranges in (2, 7, 64):
-        got = values(ordered.average_rank(panel(spark, rows), ["date"], "value", ranges=ranges), "rank")
+    for per in (3, 20, 1000):
+        got = values(ordered.average_rank(panel(spark, rows), ["date"], "value", rows=per), "rank")
         for (e, d, _), w in zip(rows, want):
             g = got[(e, d)][0]
             assert (g is None and math.isnan(w)) or g == w
@@ -119,7 +119,7 @@ def test_running_total_and_quantile_with_a_hot_key(spark):
     rnd = random.Random(2)
     rows = [("hot" if rnd.random() < 0.8 else f"k{i % 7}", i, float(rnd.randrange(1000))) for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, i int, v double")
-    got = {r["i"]: r["t"] for r in ordered.running_total(df, ["k"], "i", "v", "t", ranges=16).collect()}
+    got = {r["i"]: r["t"] for r in ordered.running_total(df, ["k"], "i", "v", "t", rows=40).collect()}
     seen = defaultdict(float)
     for k, i, v in rows:
         seen[k] += v
@@ -127,7 +127,7 @@ def test_running_total_and_quantile_with_a_hot_key(spark):
     pdf = pd.DataFrame(rows, columns=["k", "i", "v"])
     for q in (0.0, 0.25, 0.5, 0.9, 1.0):
         want = pdf.groupby("k")["v"].quantile(q)
-        med = {r["k"]: r["m"] for r in ordered.exact_quantile(df, ["k"], "v", q, "m", ranges=8).collect()}
+        med = {r["k"]: r["m"] for r in ordered.exact_quantile(df, ["k"], "v", q, "m", rows=25).collect()}
         assert med == pytest.approx(want.to_dict())
 
 
