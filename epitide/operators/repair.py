@@ -106,13 +106,46 @@ def cumulative_to_daily(df: DataFrame, keys: Sequence[str], date: str = "date",
     Columns named '... Cum' lose that suffix. keep=True returns the repaired cumulative as well.
     """
     values = cols(values)
-    cum = interpolate(densify(remove_dips(df.select(*keys, date, *values), keys, date, values), keys, date),
-                      keys, date, values)
-    w = _asc(keys, date)
-    daily = [(F.col(f"`{v}`") - F.lag(f"`{v}`").over(w)).alias(drop_suffix(v) + ("_daily" if keep and drop_suffix(v) == v else ""))
-             for v in values]
+    source = df.select(*keys, date, *values)
+    if len(values) == 1:
+        both = _one_cumulative(source, keys, date, values[0])
+    else:
+        cum = interpolate(densify(remove_dips(source, keys, date, values), keys, date), keys, date, values)
+        w = _asc(keys, date)
+        both = cum.withColumns({f"_daily_{i}": F.col(f"`{v}`") - F.lag(f"`{v}`").over(w) for i, v in enumerate(values)})
     kept = [F.col(f"`{v}`") for v in values] if keep else []
-    return cum.select(*keys, date, *kept, *daily)
+    names = [drop_suffix(v) + ("_daily" if keep and drop_suffix(v) == v else "") for v in values]
+    return both.select(*keys, date, *kept, *[F.col(f"_daily_{i}").alias(n) for i, n in enumerate(names)])
+
+
+def _one_cumulative(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
+    """Repaired cumulative and `_daily_0` of one column, from the reported rows with a single sort.
+
+    Going back in time, each valid row learns the next valid one, and then emits the days up to it; the
+    first and the last valid row also emit the empty days before and after them.
+    """
+    v, day = F.col(f"`{value}`"), F.col(date)
+    valid_day = F.when(v.isNotNull(), day)
+    later = _from_now_on(keys, date)
+    strictly = Window.partitionBy(*keys).orderBy(day.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    rows = df.withColumns({
+        "_v": F.when(v.isNotNull(), F.min(v).over(later)), "_nv": F.min(v).over(strictly), "_nd": F.last(valid_day, ignorenulls=True).over(strictly),
+        "_lo": F.min(day).over(whole), "_hi": F.max(day).over(whole), "_first": F.min(valid_day).over(whole),
+    })
+    # A series without any valid value still shows its days.
+    start = F.when(day == F.col("_first"), F.col("_lo")).when(F.col("_first").isNull() & (day == F.col("_lo")), day).otherwise(F.date_add(day, 1))
+    stop = F.coalesce("_nd", "_hi")
+    emits = (v.isNotNull() | (F.col("_first").isNull() & (day == F.col("_lo")))) & (start <= stop)
+    days = rows.filter(emits).withColumn("_day", F.explode(F.sequence(start, stop)))
+
+    def at(x):
+        span = F.try_divide(F.datediff(x, day).cast("double"), F.datediff(F.col("_nd"), day).cast("double"))
+        return (F.when(x < day, F.lit(None)).when(x == day, F.col("_v")).when(x == F.col("_nd"), F.col("_nv"))
+                .otherwise(F.col("_v") + (F.col("_nv") - F.col("_v")) * span))
+
+    today = F.col("_day")
+    return days.select(*keys, today.alias(date), at(today).alias(value), (at(today) - at(F.date_sub(today, 1))).alias("_daily_0"))
 
 
 def weekly_to_daily(df: DataFrame, keys: Sequence[str], date: str = "date", values: str | Sequence[str] = "value") -> DataFrame:

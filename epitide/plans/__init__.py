@@ -2,6 +2,7 @@
 
 from epitide.plans import (  # noqa: F401
     corpus_queries,
+    mart_queries,
     merge_queries,
     metric_queries,
     place_queries,

@@ -170,3 +170,20 @@ def test_grid_and_trim(spark):
     tail = panel(spark, [("a", day(i), None if i in (1, 4) else 1.0) for i in range(6)])
     assert {r["date"] for r in repair.drop_incomplete_tail(tail, ["entity"], "date", ["value"], 3).collect()} == {day(0), day(1), day(2), day(3), day(5)}
     assert repair.cut_after_last_valid(tail, ["entity"], "date", "value").count() == 6
+
+
+def test_cumulative_one_and_many_columns_agree(spark):
+    rnd = random.Random(8)
+    rows = []
+    for e in "abcd":
+        total = 0.0
+        for i in range(50):
+            total += rnd.randrange(9)
+            if rnd.random() < 0.6:
+                rows.append((e, day(i), None if rnd.random() < 0.3 or e == "d" else total - (5 if rnd.random() < 0.2 else 0)))
+    df = panel(spark, rows)
+    one = values(repair.cumulative_to_daily(df, ["entity"], keep=True), "value", "value_daily")
+    two = values(repair.cumulative_to_daily(df.withColumn("again", F.col("value")), ["entity"], values=["value", "again"], keep=True), "value", "value_daily")
+    assert one.keys() == two.keys()
+    for k in one:
+        assert one[k] == pytest.approx(two[k])
