@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date as Date
 
 from pyspark.sql import Column, DataFrame
@@ -14,10 +15,6 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def add_days(start: Column, n: Column | int) -> Column:
-    return F.date_add(start, n)
-
-
 def day_range(start: str | Column, end: str | Column, offset: int = 0) -> Column:
     """Array of days from start until before end; `offset` extends it. Empty if nothing is left."""
     start, end = _c(start), _c(end)
@@ -49,6 +46,15 @@ def epoch_week(week: str | Column, anchor: Column | Date | str) -> Column:
     return F.date_add(start, (_c(week) * 7).cast("int"))
 
 
+def anchored_week(week: str | Column, anchors: Sequence[tuple[int, Date | str]]) -> Column:
+    """Date of a counted week where the anchor changes: (first week it holds for, anchor), ascending."""
+    out = None
+    for first, anchor in reversed(list(anchors)):
+        holds = _c(week) >= first
+        out = F.when(holds, epoch_week(week, anchor)) if out is None else out.when(holds, epoch_week(week, anchor))
+    return out
+
+
 def week_bucket(date: str | Column) -> Column:
     """Saturday that closes the (Sunday to Saturday) week of a day."""
     return F.next_day(F.date_sub(_c(date), 1), "Sat")

@@ -19,6 +19,7 @@ from epitide.model import inline_table
 from epitide.operators import places
 from epitide.operators.merge import priority_merge
 from epitide.operators.ordered import exact_quantile, running_total
+from epitide.sources.stage import settle
 
 # Thai month names, full and abbreviated, January first.
 FULL_MONTHS = ["มกราคม", "กุมภาพันธ์", "มีนาคม", "เมษายน", "พฤษภาคม", "มิถุนายน", "กรกฎาคม", "สิงหาคม", "กันยายน",
@@ -49,7 +50,7 @@ def text_dates(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: fl
     found = F.arrays_zip(*[F.regexp_extract_all(F.col(text), pattern, F.lit(i)).alias(n) for i, n in ((1, "day"), (2, "word"), (3, "year"))])
     cells = df.select(doc, F.posexplode(found).alias("pos", "_c")).select(
         doc, "pos", F.col("_c.day").try_cast("int").alias("_day"), F.col("_c.word").alias("_word"), F.col("_c.year").alias("_year"))
-    dated = _resolve_months(cells.filter(F.col("_day") <= 31), "_word", months, cutoff, "_month", score)
+    dated = _resolve_months(settle(cells.filter(F.col("_day") <= 31), "dates"), "_word", months, cutoff, "_month", score)
     year = to_gregorian_year("_year")
     date = F.concat_ws("-", year.cast("string"), F.lpad(F.col("_month").cast("string"), 2, "0"), F.lpad(F.col("_day").cast("string"), 2, "0"))
     return dated.filter(F.col("_month").isNotNull()).select(doc, "pos", date.try_cast("date").alias("date")).filter(F.col("date").isNotNull())
@@ -90,7 +91,7 @@ def date_ranges(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: f
 
     parts = df.select(doc, text, layout.alias("_l")).select(doc, "_l", found.alias("_g")).select(
         doc, "_l", *[picked(w).alias(c) for c, w in at.items()])
-    parts = parts.withColumns({c: F.when(F.col("_l") >= 2, F.col(m)) for c, m in (("_w1", "_m1"), ("_w2", "_m2"))})
+    parts = settle(parts.withColumns({c: F.when(F.col("_l") >= 2, F.col(m)) for c, m in (("_w1", "_m1"), ("_w2", "_m2"))}), "ranges")
     parts = _resolve_months(parts, "_w1", months, cutoff, "_n1", score)
     parts = _resolve_months(parts, "_w2", months, cutoff, "_n2", score)
 
@@ -183,7 +184,8 @@ def place_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
 
 def checked_place_counts(df: DataFrame, doc: str, text: str, total: str, aliases: DataFrame, **options) -> DataFrame:
     """(doc, place, n, total, agrees): canonical places with their sum, compared with the stated total."""
-    listed = places.canonical_places(place_counts(df, doc, text), aliases, "place", **options).groupBy(doc, "place").agg(F.sum("n").alias("n"))
+    read = settle(place_counts(df, doc, text), "places")
+    listed = settle(places.canonical_places(read, aliases, "place", **options).groupBy(doc, "place").agg(F.sum("n").alias("n")), "listed")
     sums = listed.groupBy(doc).agg(F.sum("n").alias("_sum"))
     return listed.join(sums, doc).join(df.select(doc, total), doc).select(
         doc, "place", "n", total, (F.col("_sum") == F.col(total)).alias("agrees"))
@@ -208,7 +210,7 @@ def people_summary(df: DataFrame, keys: Sequence[str], age: str, gender: str, fe
 def resolve_tokens(df: DataFrame, doc: str, text: str, dim: DataFrame, key: str, name: str, cutoff: float = places.CUTOFF,
                    score: str = "blocks", split: str = r"[\s,]+") -> DataFrame:
     """(doc, name): the places named in a run-together text, only if every token resolves."""
-    tokens = df.select(doc, F.explode(F.split(F.trim(F.col(text)), split)).alias("_token")).filter("_token <> ''")
+    tokens = settle(df.select(doc, F.explode(F.split(F.trim(F.col(text)), split)).alias("_token")).filter("_token <> ''"), "tokens")
     found = places.resolve(tokens, dim, "_token", key, cutoff, score)
     looked = tokens.join(found, "_token", "left").join(dim.select(F.col(key).alias("match"), F.col(name).alias("_name")), "match", "left")
     whole = looked.groupBy(doc).agg(F.bool_and(F.col("match").isNotNull()).alias("_all")).filter("_all").select(doc)

@@ -12,6 +12,7 @@ from epitide.functions.scalar import clip, prefix_group, ratio, row_mean, row_su
 from epitide.operators import repair, windows
 from epitide.operators.merge import priority_merge, stack_sources
 from epitide.operators.ordered import average_rank
+from epitide.sources.stage import settle
 
 # Detection to death, infection to death (days), overall fatality for the simple estimate.
 DAYS_TO_DEATH = 17
@@ -81,7 +82,7 @@ def infections(df: DataFrame, entity: str, date: str, deaths: str, ifr_percent:
 
 def variant_shares(samples: DataFrame, date: str, lineage: str, n: str, groups: Sequence[tuple[str, str]], min_samples: float) -> DataFrame:
     """(date, grp, share) of lineage groups, only on dates with enough samples; unseen groups are 0."""
-    grouped = samples.groupBy(date, prefix_group(lineage, groups).alias("grp")).agg(F.sum(n).alias(n))
+    grouped = settle(samples.groupBy(date, prefix_group(lineage, groups).alias("grp")).agg(F.sum(n).alias(n)), "samples")
     enough = grouped.groupBy(date).agg(F.sum(n).alias("_all")).filter(F.col("_all") >= min_samples)
     kept = grouped.join(enough, date).select("grp", date, F.try_divide(F.col(n).cast("double"), F.col("_all")).alias("share"))
     return repair.densify_grid(kept, ["grp"], date, 0.0)
@@ -104,7 +105,7 @@ def trend_table(df: DataFrame, entity: str, date: str, value: str, dim: DataFram
     population against the overall peak. Input is one row per entity and day.
     """
     smooth = windows.moving_average(df.select(entity, date, value), [entity], date, value, n, n // 2, True, "_s")
-    smooth = smooth.withColumnRenamed(f"{value}_s", "ma")
+    smooth = settle(smooth.withColumnRenamed(f"{value}_s", "ma"), "smooth")
     order = Window.partitionBy(entity).orderBy(date)
     if "abs" in style:
         table = smooth.withColumn("trend", F.col("ma") * sensitivity)
@@ -158,7 +159,7 @@ def deaths_by_band(df: DataFrame, keys: Sequence[str], date: str, cfr: str, case
 def observed_and_forecast(model: DataFrame, observed: DataFrame, date: str, estimate: str, value: str, horizon: int = 60) -> DataFrame:
     """Model values up to the last observed day as estimates, and `horizon` days beyond it as forecast."""
     today = observed.filter(F.col(value).isNotNull()).agg(F.max(date)).scalar()
-    split = model.withColumn("_today", today)
+    split = settle(model.select(date, estimate).withColumn("_today", today), "model")
     past = split.filter(F.col(date) <= F.col("_today")).select(date, F.col(estimate).alias("estimated"))
     past = past.join(observed.select(date, F.col(value).alias("reported")), date, "left")
     future = split.filter((F.col(date) >= F.col("_today")) & (F.col(date) <= F.date_add("_today", horizon))).select(

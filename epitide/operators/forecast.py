@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epitide.sources.stage import settle
+
 RATE_DAYS = 14
 
 
@@ -23,6 +25,10 @@ def _last_and_rate(df: DataFrame, keys: Sequence[str], date: str, value: str) ->
 def extrapolate(df: DataFrame, keys: Sequence[str], value: str, ahead: int = 90, date: str = "date",
                 out: str = "pred") -> DataFrame:
     """From the last day on: last value plus one day's gain, then one more per day, `ahead` days far."""
+    return _extrapolate(settle(df.select(*keys, date, value), "series"), keys, value, ahead, date, out)
+
+
+def _extrapolate(df: DataFrame, keys: Sequence[str], value: str, ahead: int, date: str, out: str) -> DataFrame:
     base = _last_and_rate(df, keys, date, value)
     days = base.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(ahead))))
     return days.select(*keys, F.date_add("_t0", F.col("_i")).alias(date), F.col("_i").alias("step"),
@@ -32,7 +38,8 @@ def extrapolate(df: DataFrame, keys: Sequence[str], value: str, ahead: int = 90,
 def follow_up(df: DataFrame, keys: Sequence[str], first: str, second: str, ahead: int = 90, lag: int = 40,
               date: str = "date", out: str = "pred") -> DataFrame:
     """Both series: the second repeats the first one `lag` days later, starting from its own last value."""
-    future = extrapolate(df, keys, first, ahead, date, f"{first}_{out}")
+    df = settle(df.select(*keys, date, first, second), "series")
+    future = _extrapolate(df, keys, first, ahead, date, f"{first}_{out}")
     # The first series continued into its forecast, moved `lag` days on.
     t0 = df.filter(F.col(first).isNotNull()).groupBy(*keys).agg(F.max(date).alias("_t0"))
     last_second = df.filter(F.col(second).isNotNull()).join(t0, list(keys)).filter(F.col(date) <= F.col("_t0")).groupBy(*keys).agg(

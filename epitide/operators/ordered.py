@@ -4,18 +4,21 @@ A plain ordered window sends all rows of one key to one task. Here keys with man
 value ranges; rows are totalled per (key, range), the few range totals are accumulated, and the
 ordered window then runs inside each (key, range). The cuts come from a sample chosen by the hash of
 the value, so a task that is run again sees the same cuts, and results are exact for any cuts: they
-only decide how evenly the work spreads. Keys below the size limit are not cut at all.
+only decide how evenly the work spreads. Where no key is above the size limit, a plain window is used.
+The input is settled first, because sizes, cuts, totals and rows each read it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from epitide.sources.stage import settle
+
 ROWS_PER_RANGE = 100_000
 MAX_RANGES = 1024
 SAMPLE_PER_RANGE = 8
@@ -52,12 +55,12 @@ def _ranged(df: DataFrame, keys: Sequence[str], order: str, rows: int) -> DataFr
         "_range", F.when(F.col("_cuts").isNull(), 0).otherwise(_position(F.col("_cuts"), F.col(order)))).drop("_cuts")
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: str, amount: str, out: str,
-                  rows: int = ROWS_PER_RANGE) -> DataFrame:
-    """Adds `out`: sum of `amount` over rows of the key up to and including this `order` value.
-
-    `order` must be numeric, not null and unique per key (aggregate first if it is not).
-    """
+def _total(df: DataFrame, keys: Sequence[str], order: str, amount: str, out: str, rows: int) -> DataFrame:
+    """Running total over a settled table: a plain window unless some key is too large for one task."""
+    large = df.groupBy(*keys).agg(F.count("*").alias("_size")).filter(F.col("_size") > rows)
+    if large.isEmpty():
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
     tagged = _ranged(df, keys, order, rows)
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     base = (
@@ -68,10 +71,22 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, amount: str, o
     return join_same(tagged, base, [*keys, "_range"], "left").withColumn(out, running).drop("_base", "_range")
 
 
+def running_total(df: DataFrame, keys: Sequence[str], order: str, amount: str, out: str,
+                  rows: int = ROWS_PER_RANGE) -> DataFrame:
+    """Adds `out`: sum of `amount` over rows of the key up to and including this `order` value.
+
+    `order` must be numeric, not null and unique per key (aggregate first if it is not).
+    """
+    return _total(settle(df, "running"), keys, order, amount, out, rows)
+
+
+def _counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return settle(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), "counts")
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, rows: int = ROWS_PER_RANGE) -> DataFrame:
     """(keys, value, _n, _upto): distinct non-null values with their count and running count."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    return running_total(counts, keys, value, "_n", "_upto", rows)
+    return _total(_counts(df, keys, value), keys, value, "_n", "_upto", rows)
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", rows: int = ROWS_PER_RANGE) -> DataFrame:
@@ -84,14 +99,22 @@ def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str = "ran
 def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.5, out: str = "median",
                    rows: int = ROWS_PER_RANGE) -> DataFrame:
     """Quantile per key with linear interpolation between order statistics, one row per key."""
-    counted = value_counts(df, keys, value, rows)
-    total = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_total"))
-    at = (F.col("_total") - 1) * F.lit(q)
+    return exact_quantiles(df, keys, value, {out: q}, rows)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float],
+                    rows: int = ROWS_PER_RANGE) -> DataFrame:
+    """Several quantiles of one value (output name to fraction) from one ordering."""
+    counts = _counts(df, keys, value)
+    total = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    placed = join_same(_total(counts, keys, value, "_n", "_upto", rows), total, keys)
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
-    picked = join_same(counted, total, keys).withColumns({"_lo": F.floor(at), "_hi": F.ceil(at), "_at": at})
-    return (
-        picked.filter(F.col("_lo").between(first, last) | F.col("_hi").between(first, last))
-        .groupBy(*keys).agg(
-            F.min(value).cast("double").alias("_a"), F.max(value).cast("double").alias("_b"),
-            F.max(F.col("_at") - F.col("_lo")).alias("_f"))
-        .select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias(out)))
+    marks = {name: (F.col("_total") - 1) * F.lit(q) for name, q in wanted.items()}
+    low = {n: F.floor(m).between(first, last) for n, m in marks.items()}
+    high = {n: F.ceil(m).between(first, last) for n, m in marks.items()}
+    near = reduce(lambda x, y: x | y, [*low.values(), *high.values()])
+    v = F.col(value).cast("double")
+    picks = [x for n, m in marks.items() for x in (
+        F.max(F.when(low[n], v)).alias(f"_a_{n}"), F.max(F.when(high[n], v)).alias(f"_b_{n}"), F.max(m - F.floor(m)).alias(f"_f_{n}"))]
+    return placed.filter(near).groupBy(*keys).agg(*picks).select(*keys, *[
+        (F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * F.col(f"_f_{n}")).alias(n) for n in wanted])

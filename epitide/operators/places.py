@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epitide.functions.scalar import strip_prefixes, strip_suffixes
+from epitide.sources.stage import settle
 
 CUTOFF = 0.74
 _EPS = 1e-9
@@ -102,15 +103,19 @@ def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
         .select("_key", "_lb", "_k", "_i", F.substring("_key", start + 1, size).alias("_piece")))
 
-    # Names: the substrings at which piece i of a key of length lb can still be found.
+    # Names: the substrings at which piece i of a key of length lb can still be found. Only lengths that
+    # keys have matter, so a very long text that cannot match costs nothing.
+    shortest, longest = right.agg(F.min("_lb")).scalar(), right.agg(F.max("_lb")).scalar()
     low, high = _length_limits(score, F.col("_la"), cutoff)
+    low, high = F.greatest(low, shortest), F.least(high, longest)
     shift = F.col("_la") - F.col("_lb")
     # Edits to the left and to the right of an intact piece share k, which limits how far it can move.
     # Without substitutions it moves left by lost and right by added characters at most; the same numbers.
     first = F.greatest(F.lit(0), start - F.floor((k - shift) / 2).cast("int"))
     last = F.least(F.col("_la") - size, start + F.floor((k + shift) / 2).cast("int"))
     probes = (
-        left.withColumn("_lb", F.explode(F.sequence(F.greatest(F.lit(1), low), high)))
+        left.withColumns({"_low": low, "_high": high}).filter(F.col("_low") <= F.col("_high"))
+        .withColumn("_lb", F.explode(F.sequence("_low", "_high")))
         .withColumn("_k", _damage(score, F.col("_la"), F.col("_lb"), cutoff))
         .filter((k >= 0) & (F.abs(shift) <= k))
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
@@ -138,8 +143,9 @@ def resolve(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUT
     The names are de-duplicated on the map side, so this is small next to the fact table.
     """
     names = a.select(on).filter(F.col(on).isNotNull()).distinct()
-    keys = dim.select(F.col(key).alias("match"), F.col(key).alias(on)).distinct()
-    exact = names.join(keys, on, "left")
+    dim = settle(dim.select(key).distinct(), "keys")
+    keys = dim.select(F.col(key).alias("match"), F.col(key).alias(on))
+    exact = settle(names.join(keys, on, "left"), "names")
     open_names = exact.filter(F.col("match").isNull()).select(on, (trim(F.col(on)) if trim else F.col(on)).alias("_trimmed"))
     guessed = closest(open_names, "_trimmed", dim, key, cutoff, score)
     fuzzy = open_names.join(guessed, "_trimmed", "left").select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epitide.model import cols
+from epitide.sources.stage import settle
 
 Metric = Callable[[Sequence[str], str], Column]
 
@@ -18,9 +19,9 @@ def ranked_entities(df: DataFrame, metric: Metric, n: int, entity: str = "entity
 
     Each entity is first reduced to its latest metric, so the ordering sees one row per entity.
     """
-    latest = (
+    latest = settle(
         df.withColumn("_m", metric([entity], date)).filter(F.col("_m").isNotNull())
-        .groupBy(entity).agg(F.max(date).alias("_d"), F.max_by("_m", date).alias("_m")))
+        .groupBy(entity).agg(F.max(date).alias("_d"), F.max_by("_m", date).alias("_m")), "latest")
     last_day = latest.agg(F.max("_d")).scalar()
     order = F.col("_m").desc() if largest else F.col("_m").asc()
     best = latest.filter(F.col("_d") == last_day).orderBy(order, entity).limit(n)
@@ -39,6 +40,7 @@ def top_groups(df: DataFrame, metric: Metric, values: str | Sequence[str], n: in
     `metric` ranks entities, `value` is what is shown for each group (default: the metric itself).
     """
     values = cols(values)
+    df = settle(df, "panel")
     top = ranked_entities(df, metric, n, entity, date, largest)
     labelled = df.select(entity, date, *values).join(top, entity, "left" if other else "inner")
     label = F.coalesce(F.when(F.col("position").isNotNull(), F.col(entity)), F.lit(other or ""))

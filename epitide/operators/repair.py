@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epitide.model import cols, day_number
+from epitide.sources.stage import settle
 
 
 def _asc(keys, date):
@@ -53,6 +54,7 @@ def densify_grid(df: DataFrame, keys: Sequence[str], date: str = "date", fill=0)
     entities, so the grid is an explode of the entity list rather than a product join.
     """
     rest = [c for c in df.columns if c not in keys and c != date]
+    df = settle(df, "grid")
     dates = df.agg(F.collect_set(date)).scalar()
     grid = df.select(*keys).distinct().withColumn(date, F.explode(dates))
     joined = grid.join(df, [*keys, date], "left")

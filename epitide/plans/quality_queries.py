@@ -10,6 +10,7 @@ from epitide.operators import quality
 from epitide.plans import inputs
 from epitide.plans.inputs import r6
 from epitide.plans.registry import query
+from epitide.sources.stage import settle
 
 W = "PARTITION BY entity ORDER BY date"
 
@@ -83,8 +84,8 @@ def q5(t):
 SELECT date, entity, source FROM (SELECT DISTINCT date FROM published) CROSS JOIN (SELECT DISTINCT entity FROM published) CROSS JOIN (SELECT DISTINCT source FROM published)
 EXCEPT SELECT date, entity, source FROM checked GROUP BY 1, 2, 3 HAVING bool_and(valid)""")
 def q6(t):
-    obs = inputs.published(t)
-    passed = _checked(t).groupBy("date", "entity", "source").agg(F.bool_and("valid").alias("ok")).filter("ok")
+    obs = settle(_checked(t), "cells")
+    passed = obs.groupBy("date", "entity", "source").agg(F.bool_and("valid").alias("ok")).filter("ok")
     return quality.missing_cells(passed, {"date": obs, "entity": obs, "source": obs})
 
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from epitide.functions.scalar import ratio
 from epitide.model import inline_table, melt
 from epitide.operators import merge, reshape
-from epitide.operators.ordered import exact_quantile
+from epitide.operators.ordered import exact_quantiles
 from epitide.plans import inputs
 from epitide.plans.inputs import r6
 from epitide.plans.registry import query
@@ -34,8 +33,7 @@ def a1(t):
 @query("a1_exact_quantiles", """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.25) AS lower
 FROM lineitem GROUP BY 1""")
 def a1_quantiles(t):
-    median = exact_quantile(t.lineitem, ["l_returnflag"], "l_extendedprice", 0.5, "median")
-    return median.join(exact_quantile(t.lineitem, ["l_returnflag"], "l_extendedprice", 0.25, "lower"), "l_returnflag")
+    return exact_quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", {"median": 0.5, "lower": 0.25})
 
 
 @query("a2_count_crosstab", f"""SELECT CAST(ts AS DATE) AS date, {_pivot_sql('event_type', EVENTS, 'COUNT(*) FILTER ({cond})', 'Cases ')} FROM events GROUP BY 1""")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from epitide.functions import calendar as cal
 from epitide.functions import scalar as sc
-from epitide.model import inline_table
 from epitide.operators import reshape
 from epitide.plans import inputs
 from epitide.plans.inputs import r6
@@ -213,11 +212,9 @@ def d2(t):
 @query("d3_epoch_weeks", """SELECT week, count(*) AS n, CASE WHEN week < 100 THEN DATE '1994-12-27' + 7 * week ELSE DATE '1995-01-01' + 7 * week END AS date
 FROM (SELECT CAST(floor((CAST(o_orderdate AS DATE) - DATE '1994-12-27') / 7) AS INTEGER) AS week FROM orders) GROUP BY 1, 3""")
 def d3(t):
-    anchors = inline_table(t.spark, "from_week int, to_week int, anchor date", [(0, 100, "1994-12-27"), (100, 100000, "1995-01-01")])
     weeks = t.orders.select(F.floor(F.datediff(F.to_date("o_orderdate"), F.lit("1994-12-27").cast("date")) / 7).cast("int").alias("week"))
     counts = weeks.groupBy("week").agg(F.count("*").alias("n"))
-    return counts.join(anchors, (F.col("week") >= F.col("from_week")) & (F.col("week") < F.col("to_week"))).select(
-        "week", "n", cal.epoch_week("week", F.col("anchor")).alias("date"))
+    return counts.withColumn("date", cal.anchored_week("week", [(0, "1994-12-27"), (100, "1995-01-01")]))
 
 
 @query("d4_months", """SELECT CAST(last_day(o_orderdate) AS DATE) AS month_end, CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS DATE) AS next_month,

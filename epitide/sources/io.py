@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,19 +13,7 @@ from epitide.functions.scalar import strip_prefixes
 from epitide.functions.text import file_date
 from epitide.model import nan_to_null
 from epitide.operators.merge import priority_merge
-
-
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder all executors can reach: below the checkpoint folder the cluster names.
-
-    Only a local session, where driver and executors are one machine, may go without that setting.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"{name}-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+from epitide.sources.stage import work_folder  # noqa: F401
 
 
 # ---- tables ---------------------------------------------------------------------------------------
