@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epitide.model import cols, day_number
+from epitide.operators.merge import latest_wins
 from epitide.sources.stage import settle
 
 
@@ -31,14 +32,21 @@ def _from_now_on(keys, date):
     return Window.partitionBy(*keys).orderBy(F.col(date).desc()).rowsBetween(Window.unboundedPreceding, 0)
 
 
+def _distinct_days(keys, date: str, other: Column) -> Column:
+    """`other`, the neighbouring row's date; two rows of one series on one day stop the job."""
+    message = F.concat(F.lit("repeated day "), F.col(date).cast("string"), F.lit(f" in one series of {list(keys)}: merge first"))
+    return F.when(other == F.col(date), F.raise_error(message).cast("date")).otherwise(other)
+
+
 def densify(df: DataFrame, keys: Sequence[str], date: str = "date", fill=None) -> DataFrame:
     """Every day between each entity's first and last row; new days hold null, or `fill`.
 
     Each row emits itself and the days up to the next row, so no calendar join is needed.
     """
     rest = [c for c in df.columns if c not in keys and c != date]
-    upto = F.coalesce(F.date_sub(F.lead(date).over(_asc(keys, date)), 1), F.col(date))
-    days = df.withColumn("_upto", upto).withColumn("_day", F.explode(F.sequence(F.col(date), F.col("_upto"))))
+    days = df.withColumn("_next", F.lead(date).over(_asc(keys, date)))
+    days = days.withColumn("_upto", F.coalesce(F.date_sub(_distinct_days(keys, date, F.col("_next")), 1), F.col(date)))
+    days = days.withColumn("_day", F.explode(F.sequence(F.col(date), F.col("_upto"))))
     own = F.col("_day") == F.col(date)
     values = [
         (F.when(own, F.col(c)) if fill is None else F.coalesce(F.when(own, F.col(c)), F.lit(fill))).alias(c)
@@ -132,13 +140,15 @@ def _one_cumulative(df: DataFrame, keys: Sequence[str], date: str, value: str) -
     strictly = Window.partitionBy(*keys).orderBy(day.desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     rows = df.withColumns({
+        "_next": F.lag(day).over(Window.partitionBy(*keys).orderBy(day.desc())),
         "_v": F.when(v.isNotNull(), F.min(v).over(later)), "_nv": F.min(v).over(strictly), "_nd": F.last(valid_day, ignorenulls=True).over(strictly),
         "_lo": F.min(day).over(whole), "_hi": F.max(day).over(whole), "_first": F.min(valid_day).over(whole),
     })
     # A series without any valid value still shows its days.
     start = F.when(day == F.col("_first"), F.col("_lo")).when(F.col("_first").isNull() & (day == F.col("_lo")), day).otherwise(F.date_add(day, 1))
     stop = F.coalesce("_nd", "_hi")
-    emits = (v.isNotNull() | (F.col("_first").isNull() & (day == F.col("_lo")))) & (start <= stop)
+    checked = F.coalesce(_distinct_days(keys, date, F.col("_next")), day).isNotNull()
+    emits = checked & (v.isNotNull() | (F.col("_first").isNull() & (day == F.col("_lo")))) & (start <= stop)
     days = rows.filter(emits).withColumn("_day", F.explode(F.sequence(start, stop)))
 
     def at(x):
@@ -150,12 +160,16 @@ def _one_cumulative(df: DataFrame, keys: Sequence[str], date: str, value: str) -
     return days.select(*keys, today.alias(date), at(today).alias(value), (at(today) - at(F.date_sub(today, 1))).alias("_daily_0"))
 
 
-def weekly_to_daily(df: DataFrame, keys: Sequence[str], date: str = "date", values: str | Sequence[str] = "value") -> DataFrame:
+def weekly_to_daily(df: DataFrame, keys: Sequence[str], date: str = "date", values: str | Sequence[str] = "value",
+                    arrival: str | None = None) -> DataFrame:
     """A week's figure, divided by 7, on each of the 7 days that end on its report date.
 
     The series starts on the first report date; days more than a week before the next report stay null.
+    Where reports may be repeated, `arrival` orders them and the first one counts.
     """
     values = cols(values)
+    if arrival:
+        df = latest_wins(df, [*keys, date], arrival, newest=False)
     days = densify(df.select(*keys, date, *values), keys, date)
     ahead = Window.partitionBy(*keys).orderBy(day_number(date)).rangeBetween(0, 6)
     return days.withColumns({v: F.min(F.col(v) / 7).over(ahead) for v in values})
@@ -171,12 +185,15 @@ def daily_to_cumulative(df: DataFrame, keys: Sequence[str], date: str = "date",
 
 
 def fill_gaps(df: DataFrame, keys: Sequence[str], date: str = "date", values: Sequence[str] = (),
-              cumulative: Sequence[str] = ()) -> DataFrame:
+              cumulative: Sequence[str] = (), arrival: str | None = None) -> DataFrame:
     """Days strictly between the first and last report, dips removed on cumulatives, all interpolated.
 
-    Days on which every column is still missing are dropped.
+    Days on which every column is still missing are dropped. Where reports may be repeated, `arrival`
+    orders them and the first one counts.
     """
     both = [*values, *cumulative]
+    if arrival:
+        df = latest_wins(df, [*keys, date], arrival, newest=False)
     whole = Window.partitionBy(*keys)
     inner = densify(df.select(*keys, date, *both), keys, date).withColumns({
         "_lo": F.min(date).over(whole), "_hi": F.max(date).over(whole),

@@ -187,3 +187,19 @@ def test_cumulative_one_and_many_columns_agree(spark):
     assert one.keys() == two.keys()
     for k in one:
         assert one[k] == pytest.approx(two[k])
+
+
+def test_repeated_days_are_refused_or_resolved(spark):
+    rows = [("a", day(0), 7.0, 2), ("a", day(7), 14.0, 5), ("a", day(7), 70.0, 4)]
+    df = spark.createDataFrame(rows, "entity string, date date, value double, arrived int")
+    for op in (repair.densify, repair.cumulative_to_daily, repair.weekly_to_daily):
+        with pytest.raises(Exception, match="repeated day"):
+            op(df.drop("arrived"), ["entity"]).collect()
+    got = values(repair.weekly_to_daily(df, ["entity"], arrival="arrived"), "value")
+    assert got[("a", day(7))] == (10.0,) and got[("a", day(0))] == (1.0,)
+
+
+def test_one_sort_and_all_missing_series(spark):
+    rows = [("a", day(0), None), ("a", day(3), None), ("b", day(1), 4.0)]
+    got = values(repair.cumulative_to_daily(panel(spark, rows), ["entity"], keep=True), "value", "value_daily")
+    assert got == {**{("a", day(i)): (None, None) for i in range(4)}, ("b", day(1)): (4.0, None)}

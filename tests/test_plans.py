@@ -2,28 +2,17 @@
 
 import re
 
-import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
 from epitide.operators import merge, repair
-from epitide.plans import REGISTRY, Tables
-from epitide.plans import inputs
+from epitide.plans import Tables, inputs
 
 
 def physical(df):
     return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
 
 
-EAGER = {"s7_incremental_stream"}
-
-
-@pytest.mark.parametrize("name", [n for n in REGISTRY if n not in EAGER])
-def test_no_product_joins(spark, name):
-    plan = physical(REGISTRY[name].run(spark, DATA))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 def test_merge_shuffles_once_for_many_sources(spark):
     base = spark.range(100).select(F.col("id").alias("entity"), F.lit(1.0).alias("value"))
     plan = physical(merge.priority_merge(merge.stack_sources(*[base] * 6), ["entity"]))

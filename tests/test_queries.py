@@ -12,6 +12,8 @@ QUERIES, SQL = entry.queries(), entry.oracle_sql()
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, DATA)
+    plan = df._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name in SQL:
         problems, _ = compare(df, duck, SQL[name])
         assert not problems
