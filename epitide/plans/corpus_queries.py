@@ -193,11 +193,11 @@ def x10(t):
     return corpus.people_summary(people, ["entity"], "age", "segment", "HOUSEHOLD", "BUILDING")
 
 
-@query("x11_resolved_tokens", """WITH s AS (SELECT c_custkey, n_name AS a, 'NATION_' || (c_custkey % 25) AS b FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 3 <> 0)
+@query("x11_resolved_tokens", """WITH s AS (SELECT c_custkey, n_name AS a, 'NATION_' || (c_custkey % 25) AS b FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'BUILDING')
 SELECT c_custkey, a AS name FROM s UNION ALL SELECT c_custkey, b FROM s""")
 def x11(t):
     k = F.col("c_custkey")
-    text = F.concat(F.col("n_name"), F.lit(", N"), (k % 25).cast("string"), F.when(k % 3 == 0, F.lit(" Atlantis")).otherwise(""))
+    text = F.concat(F.col("n_name"), F.lit(", N"), (k % 25).cast("string"), F.when(F.col("c_mktsegment") == "BUILDING", F.lit(" Atlantis")).otherwise(""))
     docs = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", text.alias("text"))
     dim = places.alias_table(gazetteer(t), "name", "aliases")
     return corpus.resolve_tokens(docs, "c_custkey", "text", dim, "alias", "name", cutoff=0.99, score="edit")

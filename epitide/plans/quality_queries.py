@@ -108,15 +108,15 @@ def q8(t):
 
 def manifests(t):
     """What is cached and what is offered: document slices with different lengths and dates."""
-    d = t.documents.select(F.col("doc_id"), F.col("n_chars"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 300).cast("int")).alias("modified"))
+    d = t.documents.select("doc_id", "n_chars", "lang", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 300).cast("int")).alias("modified"))
     k = F.col("doc_id") % 6
-    cached = d.filter(k != 0).select("doc_id", "modified", F.when(k == 1, F.lit(0)).when(k == 2, F.col("n_chars") - 1).when(k == 3, F.col("n_chars") + 5).otherwise(F.col("n_chars")).alias("size"))
+    cached = d.filter("lang <> 'es'").select("doc_id", "modified", F.when(k == 1, F.lit(0)).when(k == 2, F.col("n_chars") - 1).when(k == 3, F.col("n_chars") + 5).otherwise(F.col("n_chars")).alias("size"))
     remote = d.filter("lang <> 'de'").select("doc_id", F.when(k == 4, F.date_add("modified", 3)).otherwise(F.col("modified")).alias("modified"), F.col("n_chars").alias("size"))
     return cached, remote
 
 
 @query("q9_freshness_actions", """WITH d AS (SELECT doc_id, n_chars, lang, DATE '2024-01-01' + CAST(doc_id % 300 AS INTEGER) AS m, doc_id % 6 AS k FROM documents),
-c AS (SELECT doc_id, m AS cm, CASE k WHEN 1 THEN 0 WHEN 2 THEN n_chars - 1 WHEN 3 THEN n_chars + 5 ELSE n_chars END AS cs FROM d WHERE k <> 0),
+c AS (SELECT doc_id, m AS cm, CASE k WHEN 1 THEN 0 WHEN 2 THEN n_chars - 1 WHEN 3 THEN n_chars + 5 ELSE n_chars END AS cs FROM d WHERE lang <> 'es'),
 r AS (SELECT doc_id, CASE WHEN k = 4 THEN m + 3 ELSE m END AS rm, n_chars AS rs FROM d WHERE lang <> 'de'),
 j AS (SELECT *, COALESCE(cs IS NULL OR cs <> rs OR rm > cm, false) AS stale FROM c FULL JOIN r USING (doc_id))
 SELECT doc_id, CASE WHEN rs IS NULL AND rm IS NULL THEN 'gone' WHEN stale AND DATE '2024-11-01' - rm > 200 THEN 'too old' WHEN cs IS NULL THEN 'new' WHEN cs = 0 THEN 'fetch'
