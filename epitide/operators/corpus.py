@@ -112,7 +112,7 @@ def date_ranges(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: f
 
 # ---- links --------------------------------------------------------------------------------------
 
-LINK = r"(?is)<a\b[^>]*?\bhref=\"([^\"]*)\"[^>]*>(.*?)</a>"
+LINK = r"(?is)<a\b[^>]*?\bhref=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 
 def links(df: DataFrame, page: str, url: str, html: str, ext: str | None = None, match: str | None = None) -> DataFrame:
@@ -120,7 +120,7 @@ def links(df: DataFrame, page: str, url: str, html: str, ext: str | None = None,
     found = F.arrays_zip(*[F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(i)).alias(n) for i, n in ((1, "href"), (2, "label"))])
     label = F.trim(F.regexp_replace(F.regexp_replace(F.col("_a.label"), r"(?s)<[^>]*>", " "), r"\s+", " "))
     all_links = df.select(page, F.col(url).alias("_url"), F.posexplode(found).alias("_pos", "_a")).select(
-        page, "_pos", "_url", F.col("_a.href").alias("_href"), label.alias("_label")).filter((F.col("_href") != "") & has_extension(F.col("_href"), ext))
+        page, "_pos", "_url", F.trim(F.regexp_replace("_a.href", "&amp;", "&")).alias("_href"), label.alias("_label")).filter((F.col("_href") != "") & has_extension(F.col("_href"), ext))
     if match:
         all_links = all_links.filter(F.col("_label").rlike(match))
     return all_links.groupBy(page, absolute_url(F.col("_href"), F.col("_url")).alias("link")).agg(F.min("_pos").alias("position"))

@@ -91,7 +91,10 @@ def _segment(length: Column, k: Column, i: Column) -> tuple[Column, Column]:
 
 def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score: str, cutoff: float) -> DataFrame:
     """Distinct (name, key) pairs among which every pair at or above the cutoff is found."""
-    left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct().withColumn("_la", F.length("_name"))
+    # Names are few bytes but much work, so their tasks are numbered here and not merged by size.
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct().repartition(tasks, "_name").withColumn(
+        "_la", F.length("_name"))
     right = dim.select(F.col(key).alias("_key")).filter(F.length("_key") > 0).distinct().withColumn("_lb", F.length("_key"))
     k, i = F.col("_k"), F.col("_i")
     start, size = _segment(F.col("_lb"), k, i)
@@ -120,8 +123,8 @@ def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score
         .filter((k >= 0) & (F.abs(shift) <= k))
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
         .withColumn("_at", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
-        .select("_name", "_lb", "_k", "_i", F.substring("_name", F.col("_at") + 1, size).alias("_piece")).distinct())
-    pairs = probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key", "_k").distinct()
+        .select("_name", "_lb", "_k", "_i", F.substring("_name", F.col("_at") + 1, size).alias("_piece")))
+    pairs = probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key", "_k").distinct().repartition(tasks, "_name", "_key")
     return pairs.filter(F.levenshtein("_name", "_key") <= F.col("_k")).select("_name", "_key")
 
 

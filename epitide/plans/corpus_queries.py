@@ -102,9 +102,9 @@ def x3(t):
 
 # ---- X4 - X6 --------------------------------------------------------------------------------------
 
-_LINKS_SQL = r"""l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>', 1)) AS href,
-  unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>', 2)) AS label, unnest(range(len(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>', 1)))) AS pos FROM pages),
-a AS (SELECT page_id, pos, label, href, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+') AS origin, url FROM l WHERE href <> ''),
+_LINKS_SQL = r"""l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref=["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href,
+  unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref=["'']([^"'']*)["''][^>]*>(.*?)</a>', 2)) AS label, unnest(range(len(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref=["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)))) AS pos FROM pages),
+a AS (SELECT page_id, pos, label, trim(replace(href, '&amp;', '&')) AS href, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+') AS origin, url FROM l WHERE href <> ''),
 u AS (SELECT page_id, pos, trim(regexp_replace(regexp_replace(label, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS label, href,
   CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href WHEN starts_with(href, '//') THEN regexp_extract(url, '^[a-zA-Z]+:') || href
   WHEN starts_with(href, '/') THEN origin || href WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href ELSE origin || '/?' || href END AS link FROM a)"""

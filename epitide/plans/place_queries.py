@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from epitide.functions import calendar as cal
@@ -9,6 +10,7 @@ from epitide.model import inline_table
 from epitide.operators import places
 from epitide.plans import inputs
 from epitide.plans.registry import query
+from epitide.sources.stage import settle
 
 
 @query("j1_dimension_join", f"""WITH {inputs.DAILY}, {inputs.PLACES}
@@ -86,7 +88,8 @@ s AS (SELECT w, d, 1 - levenshtein(w, d) / greatest(length(w), length(d)) AS sco
   WHERE least(length(w), length(d)) >= 0.85 * greatest(length(w), length(d)) - 1e-9)
 SELECT w, d AS match, round(score, 6) AS score FROM s WHERE score >= 0.85 - 1e-9 QUALIFY row_number() OVER (PARTITION BY w ORDER BY score DESC, d DESC) = 1""")
 def j2_vocabulary(t):
-    return places.closest(vocabulary(t.documents), "w", vocabulary(t.benchmark, "d"), "d", 0.85, "edit").select(
+    dictionary = settle(vocabulary(t.benchmark, "d"), "dictionary")
+    return places.closest(vocabulary(t.documents), "w", dictionary, "d", 0.85, "edit").select(
         "w", "match", F.round("score", 6).alias("score"))
 
 
@@ -159,7 +162,6 @@ c AS (SELECT entity, year, month, SUM(value) OVER (PARTITION BY entity, year < 1
 closing AS (SELECT entity, arg_max(total, (year, month)) AS last FROM c WHERE year < 1999 GROUP BY 1)
 SELECT entity, year, month, CASE WHEN year < 1999 THEN total ELSE COALESCE(total + last, total) END AS total FROM c LEFT JOIN closing USING (entity)""")
 def j8(t):
-    from pyspark.sql import Window
     monthly = inputs.daily(t).groupBy("entity", F.year("date").alias("year"), F.month("date").alias("month")).agg(F.sum("value").alias("value"))
     def running(df):
         w = Window.partitionBy("entity").orderBy("year", "month").rowsBetween(Window.unboundedPreceding, 0)
