@@ -145,19 +145,20 @@ def _one_cumulative(df: DataFrame, keys: Sequence[str], date: str, value: str) -
         "_lo": F.min(day).over(whole), "_hi": F.max(day).over(whole), "_first": F.min(valid_day).over(whole),
     })
     # A series without any valid value still shows its days.
-    start = F.when(day == F.col("_first"), F.col("_lo")).when(F.col("_first").isNull() & (day == F.col("_lo")), day).otherwise(F.date_add(day, 1))
-    stop = F.coalesce("_nd", "_hi")
+    empty = F.col("_first").isNull() & (day == F.col("_lo"))
     checked = F.coalesce(_distinct_days(keys, date, F.col("_next")), day).isNotNull()
-    emits = checked & (v.isNotNull() | (F.col("_first").isNull() & (day == F.col("_lo")))) & (start <= stop)
-    days = rows.filter(emits).withColumn("_day", F.explode(F.sequence(start, stop)))
-
-    def at(x):
-        span = F.try_divide(F.datediff(x, day).cast("double"), F.datediff(F.col("_nd"), day).cast("double"))
-        return (F.when(x < day, F.lit(None)).when(x == day, F.col("_v")).when(x == F.col("_nd"), F.col("_nv"))
-                .otherwise(F.col("_v") + (F.col("_nv") - F.col("_v")) * span))
-
-    today = F.col("_day")
-    return days.select(*keys, today.alias(date), at(today).alias(value), (at(today) - at(F.date_sub(today, 1))).alias("_daily_0"))
+    spans = rows.filter(checked & (v.isNotNull() | empty)).select(
+        *keys, day.alias("_from"), "_v", "_nv", (F.col("_nv") - F.col("_v")).alias("_rise"),
+        F.datediff("_nd", day).cast("double").alias("_days"),
+        F.when(day == F.col("_first"), F.col("_lo")).when(empty, day).otherwise(F.date_add(day, 1)).alias("_start"),
+        F.coalesce("_nd", "_hi").alias("_stop")).filter(F.col("_start") <= F.col("_stop"))
+    days = spans.withColumn(date, F.explode(F.sequence("_start", "_stop"))).withColumn("_n", F.datediff(F.col(date), F.col("_from")))
+
+    def after(n):
+        return F.when(n == 0, F.col("_v")).when(n > 0, F.col("_v") + F.col("_rise") * (n / F.col("_days")))
+
+    today = F.when(F.col("_n") == F.col("_days"), F.col("_nv")).otherwise(after(F.col("_n")))
+    return days.select(*keys, date, today.alias(value), (today - after(F.col("_n") - 1)).alias("_daily_0"))
 
 
 def weekly_to_daily(df: DataFrame, keys: Sequence[str], date: str = "date", values: str | Sequence[str] = "value",
