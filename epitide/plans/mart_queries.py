@@ -200,14 +200,15 @@ def tests_and_positivity(t):
 
 
 @query("mart_tests_by_region", f"""WITH {inputs.PLACED}, {inputs.NATIONAL}, k AS (SELECT region AS entity, date + CAST(6 - dayofweek(date) AS INTEGER) AS date, COUNT(*) / 6 AS value FROM placed GROUP BY 1, 2),
-{sqltext.dense('k', 'value')}, {sqltext.interpolated('dense', 'value')}, s AS (SELECT f.entity, f.date, f.value / SUM(f.value) OVER (PARTITION BY f.date) * nat.n AS est FROM filled f LEFT JOIN nat USING (date))
-SELECT date, {', '.join(f'''round(SUM(est) FILTER (entity = '{x}'), 12) AS "Tests {x}"''' for x in REGIONS)} FROM s GROUP BY 1""")
+{sqltext.dense('k', 'value')}, {sqltext.interpolated('dense', 'value')}, s AS (SELECT f.entity, f.date, f.value / SUM(f.value) OVER (PARTITION BY f.date) * nat.n AS est FROM filled f LEFT JOIN nat USING (date)),
+sm AS (SELECT entity, date, CASE WHEN COUNT(est) OVER w >= 7 THEN AVG(est) OVER w END AS est FROM s WINDOW w AS ({W} {CENTRE7}))
+SELECT date, {', '.join(f'''round(SUM(est) FILTER (entity = '{x}'), 6) AS "Tests {x}"''' for x in REGIONS)} FROM sm GROUP BY 1""")
 def tests_by_region(t):
     weekly = inputs.placed_orders(t).groupBy(F.col("region").alias("entity"), week_bucket("date").alias("stop")).agg(F.count("*").alias("value"))
     daily = repair.interval_rate(weekly.withColumn("start", F.date_sub("stop", 6)), ["entity"], "start", "stop", "value")
     est = alloc.allocate(daily, inputs.national(t), ["date"], "value", "n", "est")
-    wide = reshape.value_crosstab(est, ["date"], "entity", REGIONS, "est", prefix="Tests ")
-    return wide.withColumns({f"Tests {x}": F.round(f"Tests {x}", 12) for x in REGIONS})
+    smooth = windows.moving_average(est, ["entity"], "date", "est", 7, center=True)
+    return rounded(reshape.value_crosstab(smooth, ["date"], "entity", REGIONS, "est_ma", prefix="Tests "), *[f"Tests {x}" for x in REGIONS])
 
 
 # ---- hospital -----------------------------------------------------------------------------------
