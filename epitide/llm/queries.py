@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import mixing, sharding, urlfilter
+from epitide.llm import mixing, sharding, tokenids, urlfilter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -120,3 +120,19 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.slots(table(spark, folder, "documents"), "doc_id", "text", [1.0] * 24)
+
+
+# ---- 8: token ids ---------------------------------------------------------------------------------
+
+END_ID = 2
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenids.encoded(table(spark, folder, "documents"), "doc_id", "text", tokenizer_path(), END_ID).withColumnRenamed("key", "doc_id")
