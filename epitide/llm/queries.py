@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import mixing, sharding, tokenids, urlfilter
+from epitide.llm import mixing, sharding, simhash, tokenids, urlfilter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -122,6 +122,14 @@ def op9_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.slots(table(spark, folder, "documents"), "doc_id", "text", [1.0] * 24)
 
 
+# ---- 7: SimHash -----------------------------------------------------------------------------------
+
+@query()
+def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.groups(table(spark, folder, "documents"), "doc_id", "text").select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 # ---- 8: token ids ---------------------------------------------------------------------------------
 
 END_ID = 2
