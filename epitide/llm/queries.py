@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import mixing, sharding, simhash, tokenids, urlfilter
+from epitide.llm import mixing, quality, sharding, simhash, tokenids, urlfilter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -122,6 +122,15 @@ def op9_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.slots(table(spark, folder, "documents"), "doc_id", "text", [1.0] * 24)
 
 
+# ---- 6: quality -----------------------------------------------------------------------------------
+
+@query()
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The site of a document is its source (host) and its language below it (path)."""
+    labels = quality.one_label(table(spark, folder, "labels"), "doc_id", "quality", "toxic")
+    return quality.classify(table(spark, folder, "documents"), labels, "doc_id", "text", "source", "lang").withColumnRenamed("id", "doc_id")
+
+
 # ---- 7: SimHash -----------------------------------------------------------------------------------
 
 @query()
