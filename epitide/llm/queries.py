@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import mixing, quality, sharding, simhash, tokenids, urlfilter
+from epitide.llm import decontaminate, mixing, quality, sharding, simhash, tokenids, urlfilter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -153,3 +153,11 @@ def tokenizer_path() -> str:
 @query()
 def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenids.encoded(table(spark, folder, "documents"), "doc_id", "text", tokenizer_path(), END_ID).withColumnRenamed("key", "doc_id")
+
+
+# ---- 10: decontamination --------------------------------------------------------------------------
+
+@query()
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"), "doc_id", "text", "item_id", "text").select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "n_words", "similarity")
