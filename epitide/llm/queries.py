@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import decontaminate, mixing, quality, sharding, simhash, tokenids, urlfilter
+from epitide.llm import decontaminate, mixing, quality, sharding, simhash, tokencount, tokenids, urlfilter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# ---- 1: token counts ------------------------------------------------------------------------------
+
+@query()
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.token_counts(table(spark, folder, "documents"), "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
+
+
 # ---- 2: mixing ------------------------------------------------------------------------------------
 
 MIX_SQL = f"""
