@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import decontaminate, mixing, quality, sharding, simhash, tokencount, tokenids, urlfilter
+from epitide.llm import decontaminate, mixing, quality, sharding, simhash, tokencount, tokenids, urlfilter, vectors
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -131,6 +131,13 @@ def op9_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.slots(table(spark, folder, "documents"), "doc_id", "text", [1.0] * 24)
 
 
+# ---- 4: vectors -----------------------------------------------------------------------------------
+
+@query()
+def op4_vector_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding").withColumnRenamed("id", "vec_id")
+
+
 # ---- 6: quality -----------------------------------------------------------------------------------
 
 @query()
