@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import decontaminate, mixing, quality, sharding, simhash, tokencount, tokenids, urlfilter, vectors
+from epitide.llm import decontaminate, mixing, passages, quality, sharding, simhash, tokencount, tokenids, urlfilter, vectors
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -138,6 +138,14 @@ def op4_vector_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding").withColumnRenamed("id", "vec_id")
 
 
+# ---- 5: passages ----------------------------------------------------------------------------------
+
+@query()
+def op5_passage_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.passages(table(spark, folder, "documents"), "doc_id", "text").withColumnsRenamed(
+        {"id": "doc_id", "rep_id": "rep_doc_id"})
+
+
 # ---- 6: quality -----------------------------------------------------------------------------------
 
 @query()
