@@ -175,7 +175,8 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, l2: float = 0.05, steps: int = 6
 def train(documents: DataFrame, labels: DataFrame, id: str, text: str, sample: int = TRAIN_DOCS) -> Model:
     """`labels` has (id, low, toxic). The sample is the `sample` labelled ids of smallest hash; only it reaches the driver."""
     chosen = labels.filter("low IS NOT NULL AND toxic IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = pick(documents, id=id, text=text).join(chosen, "id").dropDuplicates(["id"]).select("low", "toxic", "text")
+    # At most `sample` rows of three small columns: a proven bound for the broadcast.
+    rows = pick(documents, id=id, text=text).join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("low", "toxic", "text")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
