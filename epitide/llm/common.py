@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: a word is a run of anything but ASCII white space.
@@ -40,3 +41,15 @@ def batches_of(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = 8
         step = max(1, min(rows, int(rows if not lengths else size * batch.num_rows / max(lengths, 1))))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Hand whole texts to Python a few at a time while the jobs of this block run, so that a worker holds little of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -31,13 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from epitide.llm.common import batches_of, pick
+from epitide.llm.common import batches_of, pick, small_batches
 from epitide.sources.stage import work_folder
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 18
 BLOCK_DOCS = 1 << 14
 PART_KEYS = 1 << 16   # keys of one part of the index, about
-KNOWN = 400_000       # chunks whose ids a worker remembers
+KNOWN = 250_000       # chunks whose ids a worker remembers, per generation
+SPACE = "\u0120"        # how byte-level vocabularies write a space
 
 PAYLOAD = ("shard int, block int, first bigint, n_ids bigint, n_docs int, keys array<bigint>, lengths array<int>, payload binary")
 INDEX = ("part int, n int, pilots binary, fingerprints binary, shards array<int>, blocks array<int>, positions array<int>, "
@@ -49,9 +50,10 @@ INDEX = ("part int, n int, pilots binary, fingerprints binary, shards array<int>
 class Encoder:
     """Ids of whole texts as bytes, by the tokenizers library.
 
-    With a byte-level pre-tokenizer a text falls apart before every single space between two words, so the ids of
-    " word" are looked up or encoded once. Where white space meets white space that is not so: these texts are encoded
-    whole, as are all texts for tokenizers of another kind.
+    With a byte-level pre-tokenizer a text falls apart before every single space between two words, and ids do not depend
+    on what stands around such a chunk, so that only chunks not met lately are encoded. Where white space meets white
+    space chunks are not independent: these texts are encoded whole, as are texts with a special token's name and all
+    texts for tokenizers of another kind. Chunks are remembered in two generations, of which the older is dropped whole.
     """
 
     def __init__(self, path: str):
@@ -59,43 +61,80 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self.tokenizer.to_str())
-        before = spec.get("pre_tokenizer") or {}
+        before, special = spec.get("pre_tokenizer") or {}, spec.get("added_tokens", [])
         self.by_chunk = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-                         and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
-                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec.get("added_tokens", [])))
-        self.missing: list = []
-        missing = self.missing
-
-        class Known(dict):
-            def __missing__(self, chunk):
-                missing.append(chunk)
-
-        self.known = Known()
+                         and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"))
+        self.special = tuple(t["content"] for t in special)
+        self.known, self.old = {}, {}
+        names = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(names.values()) + 1, bool)  # ids of tokens that begin with a space
+        self.spaced[[i for name, i in names.items() if name.startswith(SPACE)]] = True
 
     def _pack(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(i)}I", *i) for i in (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
 
+    def _pack_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, each after a space: encoded as one text, which comes apart where a token begins with a space."""
+        out = []
+        for at in range(0, len(chunks), 512):
+            part = chunks[at:at + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            if len(cuts) == len(part):
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
+            else:
+                out += self._pack([" " + c for c in part])
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_chunk:
             return self._pack(texts)
-        known, missing = self.known, self.missing
-        if len(known) > KNOWN:
-            known.clear()
-        split = [t.split(" ") for t in texts]
-        found = []
-        for chunks in split:
-            chunks[0] = (chunks[0],)  # not after a space
-            found.append(list(map(known.__getitem__, chunks)))
-        if missing:
-            new = list(dict.fromkeys(missing))
-            missing.clear()
-            plain = [c[0] if isinstance(c, tuple) else c for c in new]
-            safe = [i for i, p in enumerate(plain) if p and not p[0].isspace() and not p[-1].isspace()]
-            known.update(dict.fromkeys(new, False))
-            known.update(zip([new[i] for i in safe], self._pack([plain[i] if isinstance(new[i], tuple) else " " + plain[i] for i in safe])))
-            found = [list(map(known.__getitem__, c)) if None in f else f for c, f in zip(split, found)]
-        whole = [i for i, f in enumerate(found) if False in f]
-        out = [b"" if False in f else b"".join(f) for f in found]
+        if len(self.known) > KNOWN:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        whole, split, found, gaps, new = [], [], [], [], {}
+        for i, text in enumerate(texts):
+            chunks = text.split(" ")
+            ids = list(map(known.get, chunks))
+            ids[0] = None  # the first chunk has no space before it
+            if not all(chunks) or any(s in text for s in self.special):
+                whole.append(i)
+                split.append(None)
+                found.append(None)
+                continue
+            at, open_ = 0, []
+            try:
+                while True:
+                    at = ids.index(None, at + 1)
+                    chunk = chunks[at]
+                    ids[at] = got = old.get(chunk)
+                    if got is None:
+                        new[chunk] = None
+                        open_.append(at)
+                    else:
+                        known[chunk] = got
+            except ValueError:
+                pass
+            split.append(chunks)
+            found.append(ids)
+            gaps.append((i, open_))
+        if new:
+            # A chunk that begins or ends in white space cannot stand alone.
+            alone = [c for c in new if not (c[0].isspace() or c[-1].isspace())]
+            new.update(zip(alone, self._pack_chunks(alone)))
+            known.update((c, ids) for c, ids in new.items() if ids is not None)
+        out = [b""] * len(texts)
+        first = self._pack([split[i][0] for i, _ in gaps])
+        for (i, open_), ids in zip(gaps, first):
+            chunks, parts = split[i], found[i]
+            parts[0] = ids
+            for at in open_:
+                parts[at] = new[chunks[at]]
+            if chunks[0][0].isspace() or chunks[0][-1].isspace() or None in parts:
+                whole.append(i)
+            else:
+                out[i] = b"".join(parts)
         for i, ids in zip(whole, self._pack([texts[i] for i in whole])):
             out[i] = ids
         return out
@@ -145,7 +184,8 @@ def write(df: DataFrame, key: str, text: str, path: str, tokenizer: str, end_id:
     rows = pick(df, key=key, text=text).select(
         F.col("key").cast("bigint").alias("key"), "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("at"))
     dealt = rows.repartitionByRange("key", "h", "at").sortWithinPartitions("key", "h", "at").select("key", "text")
-    dealt.mapInArrow(lambda b: _blocks(b, tokenizer, end_id), PAYLOAD).write.option("compression", "zstd").parquet(f"{path}/payload")
+    with small_batches(spark):
+        dealt.mapInArrow(lambda b: _blocks(b, tokenizer, end_id), PAYLOAD).write.option("compression", "zstd").parquet(f"{path}/payload")
     payload = read_payload(spark, path)
     docs = payload.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
     firsts = payload.select("shard", "block", F.posexplode("keys").alias("position", "key")).filter("key IS NOT NULL").groupBy("key").agg(
