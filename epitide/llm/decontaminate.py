@@ -117,10 +117,13 @@ def _similarities(a: pd.Series, b: pd.Series) -> pd.Series:
 def _pass(documents: DataFrame, bench: DataFrame, similarity: float, radius: int) -> DataFrame:
     """(id, h, item, at, n_words, similarity) of all windows that pass, for one chunk of the benchmark."""
     spark = documents.sparkSession
+    kind = documents.schema["id"].dataType.simpleString()
     known = bench.select(F.explode("shingles").alias("s")).distinct().toArrow().column("s").to_numpy()
+    if not len(known):
+        item = bench.schema["item"].dataType.simpleString()
+        return spark.createDataFrame([], f"id {kind}, h bigint, item {item}, at int, n_words int, similarity double")
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect())
     shared = spark.sparkContext.broadcast((np.sort(known.view(np.uint64)), sizes))
-    kind = documents.schema["id"].dataType.simpleString()
     windows = settle(documents.mapInArrow(
         lambda b: _windows(b, shared, similarity), f"id {kind}, h bigint, at int, size int, fp bigint, shingles array<bigint>"), "windows")
     left = _blocks(windows, radius, "id", "h", "at", "shingles")

@@ -85,13 +85,18 @@ def url_sql() -> str:
     for i in range(u.LEVELS):
         ctes.append(f"""c{i} AS (SELECT host, template, steps[{i + 1}] AS seg, COUNT(*) AS n, COUNT(bad) AS lab, COALESCE(SUM(bad), 0) AS bad
   FROM {last} WHERE len(steps) > {i} GROUP BY ALL),
-p{i} AS (SELECT host, template, SUM(n) AS n, SUM(lab) AS lab, SUM(bad) AS bad FROM c{i} GROUP BY ALL),
-b{i} AS (SELECT c.host, c.template, c.seg, c.lab, p.lab - c.lab AS others, CAST(c.bad AS DOUBLE) AS bad, CAST(p.bad AS DOUBLE) AS all_bad, CAST(p.lab AS DOUBLE) AS all_lab
+p{i} AS (SELECT host, template, SUM(n) AS total FROM c{i} GROUP BY ALL),
+r{i} AS (SELECT host, template, c.seg, CAST(c.lab AS DOUBLE) AS lab, CAST(c.bad AS DOUBLE) AS bad, CAST(c.bad AS DOUBLE) / CAST(c.lab AS DOUBLE) AS rate
   FROM c{i} c JOIN p{i} p USING (host, template)
-  WHERE c.n >= {u.SUPPORT} AND c.n >= {u.SHARE} * p.n AND NOT regexp_matches(c.seg, '^[0-9]+([.][A-Za-z0-9]+)?$') AND c.lab > 0 AND p.lab > c.lab),
-k{i} AS (SELECT host, template, seg, TRUE AS stays FROM b{i}
-  WHERE abs(bad / lab - (all_bad - bad) / others) > {u.Z} * sqrt(all_bad / all_lab * (1 - all_bad / all_lab) * (CAST(1 AS DOUBLE) / lab + CAST(1 AS DOUBLE) / others))),
-l{i + 1} AS (SELECT l.* REPLACE (CASE WHEN len(steps) > {i} THEN l.template || '/' || CASE WHEN k.stays THEN steps[{i + 1}] ELSE '*' END ELSE l.template END AS template)
+  WHERE c.n >= {u.SUPPORT} AND c.n >= {u.SHARE} * p.total AND c.lab > 0 AND NOT regexp_matches(c.seg, '^[0-9]+([.][A-Za-z0-9]+)?$')),
+g{i} AS (SELECT *, LAG(lab) OVER o AS lab0, LAG(bad) OVER o AS bad0 FROM r{i} WINDOW o AS (PARTITION BY host, template ORDER BY rate, seg)),
+a{i} AS (SELECT *, (bad + bad0) / (lab + lab0) AS pool FROM g{i}),
+b{i} AS (SELECT *, CASE WHEN rate - bad0 / lab0 > {u.Z} * sqrt(pool * (1 - pool) * (1 / lab + 1 / lab0)) THEN 1 ELSE 0 END AS apart FROM a{i}),
+d{i} AS (SELECT *, SUM(apart) OVER (PARTITION BY host, template ORDER BY rate, seg ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS class FROM b{i}),
+e{i} AS (SELECT *, MAX(class) OVER (PARTITION BY host, template) AS last_class FROM d{i}),
+k{i} AS (SELECT host, template, seg, MIN(seg) OVER w || CASE WHEN COUNT(*) OVER w > 1 THEN '+' ELSE '' END AS name
+  FROM e{i} WHERE last_class > 0 WINDOW w AS (PARTITION BY host, template, class)),
+l{i + 1} AS (SELECT l.* REPLACE (CASE WHEN len(steps) > {i} THEN l.template || '/' || COALESCE(k.name, '*') ELSE l.template END AS template)
   FROM {last} l LEFT JOIN k{i} k ON l.host = k.host AND l.template = k.template AND k.seg = l.steps[{i + 1}])""")
         last = f"l{i + 1}"
     return f"""

@@ -1,8 +1,9 @@
 """URL filtering by rules and by a learned tree of path templates.
 
 Per host, the segments of the paths form a tree. Going down from the host, a segment becomes a wildcard where it is
-variable (rare below its parent, or a number). A frequent segment stays a branch of its own only if its share of bad
-pages differs from that of its siblings (two-proportion z test); similar branches are merged into the wildcard. Each
+variable (rare below its parent, or a number) or nothing is labelled. The frequent branches are ranked by their share of
+bad pages and merged with the next one unless the two shares differ (two-proportion z test); what is one class in the
+end is a wildcard, otherwise each class is a branch, named by its least segment, with "+" if there are more. Each
 template so found gets a smoothed share of bad pages: its labelled pages, shrunk to its host, which is shrunk to all
 pages. Templates whose share reaches a threshold are blocked. Below the last level of the tree, paths are told apart
 by whether they go on.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epitide.sources.stage import settle
@@ -24,7 +25,7 @@ from epitide.sources.stage import settle
 LEVELS = 3         # depth of the tree
 SUPPORT = 20       # pages that a branch needs at least
 SHARE = 0.02       # and its least share of its parent's pages
-Z = 1.96           # least difference of a branch from its siblings, in standard errors
+Z = 1.96           # least difference of neighbouring branches, in standard errors
 STRENGTH = 10.0    # labelled pages that the prior is worth
 LIMIT = 0.5        # smoothed share of bad pages from which a template is blocked
 
@@ -50,10 +51,6 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def _counts() -> list[Column]:
-    return [F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad")]
-
-
 def templates(pages: DataFrame, levels: int = LEVELS, support: int = SUPPORT, share: float = SHARE, z: float = Z) -> DataFrame:
     """`pages` (id, host, path, bad: 1, 0 or null) with the template of each path.
 
@@ -66,17 +63,22 @@ def templates(pages: DataFrame, levels: int = LEVELS, support: int = SUPPORT, sh
         df = settle(df.withColumn("seg", F.get("steps", F.lit(level))), "tree")
         child = df.filter("seg IS NOT NULL").groupBy("host", "template", "seg").agg(
             F.count("*").alias("n"), F.count("bad").alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-        parent = child.groupBy("host", "template").agg(*_counts())
-        both = child.filter(F.col("n") >= support).filter(~F.col("seg").rlike(r"^[0-9]+(\.[A-Za-z0-9]+)?$")).alias("c").join(
-            parent.alias("p"), ["host", "template"]).filter(F.col("c.n") >= share * F.col("p.n"))
-        pool = F.col("p.bad") / F.col("p.lab")
-        others = F.col("p.lab") - F.col("c.lab")
-        gap = F.abs(F.col("c.bad") / F.col("c.lab") - (F.col("p.bad") - F.col("c.bad")) / others)
-        error = F.sqrt(pool * (1 - pool) * (1 / F.col("c.lab") + 1 / others))
-        kept = both.filter((F.col("c.lab") > 0) & (others > 0)).filter(gap > z * error).select(
-            "host", "template", "seg", F.lit(True).alias("stays"))
+        parent = child.groupBy("host", "template").agg(F.sum("n").alias("all"))
+        # At most 1 / share branches of a parent are frequent, so that these windows are short.
+        frequent = child.filter((F.col("n") >= support) & (F.col("lab") > 0) & ~F.col("seg").rlike(r"^[0-9]+(\.[A-Za-z0-9]+)?$")).join(
+            parent, ["host", "template"]).filter(F.col("n") >= share * F.col("all")).withColumn("rate", F.col("bad") / F.col("lab"))
+        siblings = Window.partitionBy("host", "template")
+        ranked = siblings.orderBy("rate", "seg")
+        placed = frequent.withColumns({"lab0": F.lag("lab").over(ranked), "bad0": F.lag("bad").over(ranked)})
+        pool = (F.col("bad") + F.col("bad0")) / (F.col("lab") + F.col("lab0"))
+        error = F.sqrt(pool * (1 - pool) * (1 / F.col("lab") + 1 / F.col("lab0")))
+        apart = F.coalesce((F.col("rate") - F.col("bad0") / F.col("lab0") > z * error).cast("int"), F.lit(0))
+        classes = placed.withColumn("apart", apart).withColumn("class", F.sum("apart").over(ranked.rowsBetween(Window.unboundedPreceding, 0)))
+        alike = Window.partitionBy("host", "template", "class")
+        kept = classes.withColumn("last", F.max("class").over(siblings)).filter("last > 0").select("host", "template", "seg", F.concat(
+            F.min("seg").over(alike), F.when(F.count("*").over(alike) > 1, "+").otherwise("")).alias("name"))
         df = df.join(kept, ["host", "template", "seg"], "left").withColumn("template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-            F.concat("template", F.lit("/"), F.when(F.col("stays"), F.col("seg")).otherwise("*")))).drop("stays")
+            F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*"))))).drop("name")
     more = F.when(F.size("steps") > levels, F.lit("/**")).otherwise("")
     return df.select("id", "host", "path", "bad", F.concat("template", more).alias("template"))
 
