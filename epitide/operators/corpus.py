@@ -7,10 +7,9 @@ long conversation is spread over many tasks and never collected into one row.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epitide.functions.calendar import previous_day_of_month, to_gregorian_year
@@ -30,27 +29,57 @@ SHORT_MONTHS = ["ม.ค.", "ก.พ.", "มี.ค.", "เม.ย.", "พ.ค."
 
 
 def month_names(spark, full: Sequence[str] = FULL_MONTHS, short: Sequence[str] = SHORT_MONTHS) -> DataFrame:
-    rows = [(name, i % 12 + 1) for names in (full, short) for i, name in enumerate(names)]
-    return inline_table(spark, "name string, month int", rows)
+    """(name, month, start): names to be matched closely, and their unambiguous starts, which must be met exactly."""
+    names = [(name, i % 12 + 1) for group in (full, short) for i, name in enumerate(group)]
+    starts: dict[str, set[int]] = {}
+    for name, month in names:
+        for n in range(3, len(name)):
+            starts.setdefault(name[:n], set()).add(month)
+    known = {name for name, _ in names}
+    short_forms = [(s, min(m), True) for s, m in starts.items() if len(m) == 1 and s not in known]
+    return inline_table(spark, "name string, month int, start boolean", [(*n, False) for n in names] + short_forms)
+
+
+def _resolve_months(df: DataFrame, word: str, months: DataFrame, cutoff: float, out: str) -> DataFrame:
+    """Month number of a possibly misspelt or shortened month word, looked up once per distinct word."""
+    names = months.filter(~F.col("start"))
+    close = places.resolve(df, names, word, "name", cutoff).join(
+        names.select(F.col("name").alias("match"), F.col("month").alias("_close")), "match", "left").select(word, "_close")
+    starts = months.filter("start").select(F.col("name").alias(word), F.col("month").alias("_start"))
+    numbers = close.join(starts, word, "left").select(word, F.coalesce("_close", "_start").alias(out))
+    return df.join(numbers, word, "left")
 
 
-def _resolve_months(df: DataFrame, word: str, months: DataFrame, cutoff: float, out: str, score: str) -> DataFrame:
-    """Month number of a possibly misspelt month word, looked up once per distinct word."""
-    words = places.resolve(df, months, word, "name", cutoff, score).filter(F.col("match").isNotNull())
-    numbers = words.join(months.withColumnRenamed("name", "match"), "match").select(word, F.col("month").alias(out))
-    return df.join(numbers, word, "left")
+# A text is read as tokens: numbers, words (a letter and what follows it up to a space or digit) and single other marks.
+TOKEN = r"[0-9]+|\p{L}[^\s0-9]*|[^\s0-9\p{L}]"
+# Words and marks that stand between the two ends of a range.
+DASHES, UNTIL = ("-", "\u2013"), ("to", "\u0e16\u0e36\u0e07")
+
+
+def _shape(tokens: Column) -> Column:
+    """One letter per token: y a year 25xx, n another number, d a dash, s a slash, t a word for 'until', w a word, o else.
+
+    What can follow what in a date is then a question to this short string, and its places are token numbers.
+    """
+    def letter(t):
+        return (F.when(t.rlike("^25[0-9]{2}$"), "y").when(t.rlike("^[0-9]"), "n").when(t.isin(*DASHES), "d").when(t == "/", "s")
+                .when(t.isin(*UNTIL), "t").when(t.rlike(r"^\p{L}"), "w").otherwise("o"))
 
+    return F.array_join(F.transform(tokens, letter), "")
 
-def text_dates(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: float = 0.60, score: str = "blocks") -> DataFrame:
+
+def text_dates(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: float = 0.60) -> DataFrame:
     """(doc, pos, date) for every 'day month year' in a text; month names may be misspelt.
 
-    Years are Buddhist, two digits mean 25xx. pos counts candidate places in the text.
+    Years are Buddhist, two digits mean 25xx. pos is the number of the day among the tokens of the text.
     """
-    pattern = F.lit(r"([0-9]+)(?=\s*([^ ]+)\s*((?:25)?[0-9][0-9]))")
-    found = F.arrays_zip(*[F.regexp_extract_all(F.col(text), pattern, F.lit(i)).alias(n) for i, n in ((1, "day"), (2, "word"), (3, "year"))])
-    cells = df.select(doc, F.posexplode(found).alias("pos", "_c")).select(
-        doc, "pos", F.col("_c.day").try_cast("int").alias("_day"), F.col("_c.word").alias("_word"), F.col("_c.year").alias("_year"))
-    dated = _resolve_months(settle(cells.filter(F.col("_day") <= 31), "dates"), "_word", months, cutoff, "_month", score)
+    tokens = df.select(doc, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)).alias("_t"))
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("_t") - 3, F.lit(0))), lambda i: (
+        F.get("_t", i).rlike("^[0-9]{1,2}$") & F.get("_t", i + 1).rlike(r"^\p{L}") & F.get("_t", i + 2).rlike("^(25)?[0-9]{2}$")))
+    cells = tokens.select(doc, "_t", F.explode(starts).alias("pos")).select(
+        doc, "pos", F.get("_t", F.col("pos")).cast("int").alias("_day"), F.get("_t", F.col("pos") + 1).alias("_word"),
+        F.get("_t", F.col("pos") + 2).cast("int").alias("_year"))
+    dated = _resolve_months(settle(cells.filter(F.col("_day") <= 31), "dates"), "_word", months, cutoff, "_month")
     year = to_gregorian_year("_year")
     date = F.concat_ws("-", year.cast("string"), F.lpad(F.col("_month").cast("string"), 2, "0"), F.lpad(F.col("_day").cast("string"), 2, "0"))
     return dated.filter(F.col("_month").isNotNull()).select(doc, "pos", date.try_cast("date").alias("date")).filter(F.col("date").isNotNull())
@@ -61,45 +90,40 @@ def last_text_date(df: DataFrame, doc: str, text: str, months: DataFrame, **opti
         F.min_by("date", "pos").alias("first"), F.max_by("date", "pos").alias("last"), F.count("*").alias("n"))
 
 
-# The four layouts of a date range, most specific first.
-RANGE_LAYOUTS = [
-    r"([0-9]+)[/-]([0-9]+)[/-]([0-9]+) *[-–] *([0-9]+)[/-]([0-9]+)[/-]([0-9]+)",
-    r"(?<!/)([0-9]+) *[-–] *([0-9]+)/([0-9]+)/(25[0-9][0-9])",
-    r"(?<!/)([0-9]+) *[-–] *([0-9]+) *([^ ]+) *(25[0-9][0-9])",
-    r"(?<!/)([0-9]+) *([^\s\d]+) *(-|–|to|ถึง) *([0-9]+) *([^\s\d]+) *(25[0-9][0-9])",
+_NUMBER, _SEPARATOR = "[ny]", "[sd]"
+_NUMERIC = _SEPARATOR.join([_NUMBER] * 3)
+# Shapes of a date range, the most telling first, each with the places of its parts, counted in tokens from its start:
+# both dates in numbers; one month and year for both days; the same with the month in words; a month word for each day.
+RANGE_SHAPES = [
+    (f"{_NUMERIC}d{_NUMERIC}", {"d1": 0, "m1": 2, "y1": 4, "d2": 6, "m2": 8, "y2": 10}),
+    (f"(?<!s){_NUMBER}d{_NUMBER}snsy", {"d1": 0, "d2": 2, "m2": 4, "y2": 6}),
+    (f"(?<!s){_NUMBER}d{_NUMBER}wy", {"d1": 0, "d2": 2, "w2": 3, "y2": 4}),
+    (f"(?<!s){_NUMBER}w[dt]{_NUMBER}wy", {"d1": 0, "w1": 1, "d2": 3, "w2": 4, "y2": 5}),
 ]
 
 
-def date_ranges(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: float = 0.85, score: str = "blocks") -> DataFrame:
-    """(doc, start, end) of the first date range in a text, in one of four layouts; null if there is none."""
-    hits = [F.col(text).rlike(p) for p in RANGE_LAYOUTS]
-    layout = F.when(hits[0], 0).when(hits[1], 1).when(hits[2], 2).when(hits[3], 3)
-    # Where each layout has day, month and year of the two dates (0: not stated there).
-    at = {"_d1": (1, 1, 1, 1), "_m1": (2, 0, 0, 2), "_y1": (3, 0, 0, 0), "_d2": (4, 2, 2, 4), "_m2": (5, 3, 3, 5), "_y2": (6, 4, 4, 6)}
-
-    def groups(pattern):
-        size = re.compile(pattern).groups
-        return F.transform(F.sequence(F.lit(1), F.lit(size)), lambda g: F.call_function("regexp_extract", F.col(text), F.lit(pattern), g))
-
-    found = F.when(F.col("_l") == 0, groups(RANGE_LAYOUTS[0]))
-    for i in range(1, len(RANGE_LAYOUTS)):
-        found = found.when(F.col("_l") == i, groups(RANGE_LAYOUTS[i]))
+def date_ranges(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: float = 0.85) -> DataFrame:
+    """(doc, start, end) of the first date range in a text, in one of four shapes; null if there is none."""
+    tokens = df.select(doc, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)).alias("_t"))
+    shaped = tokens.withColumn("_shape", _shape(F.col("_t")))
+    places_ = [F.regexp_instr("_shape", F.lit(pattern)) for pattern, _ in RANGE_SHAPES]
+    which = F.coalesce(*[F.when(p > 0, i) for i, p in enumerate(places_)])
+    at = F.coalesce(*[F.when(p > 0, p - 1) for p in places_])
+    found = shaped.select(doc, "_t", which.alias("_l"), at.alias("_at"))
 
-    def picked(where):
-        place = F.get(F.array(*[F.lit(w) for w in where]), F.col("_l"))
-        return F.when(place > 0, F.get(F.col("_g"), place - 1))
+    def part(name):
+        cases = [F.when(F.col("_l") == i, F.get("_t", F.col("_at") + where[name])) for i, (_, where) in enumerate(RANGE_SHAPES) if name in where]
+        return F.coalesce(*cases)
 
-    parts = df.select(doc, text, layout.alias("_l")).select(doc, "_l", found.alias("_g")).select(
-        doc, "_l", *[picked(w).alias(c) for c, w in at.items()])
-    parts = settle(parts.withColumns({c: F.when(F.col("_l") >= 2, F.col(m)) for c, m in (("_w1", "_m1"), ("_w2", "_m2"))}), "ranges")
-    parts = _resolve_months(parts, "_w1", months, cutoff, "_n1", score)
-    parts = _resolve_months(parts, "_w2", months, cutoff, "_n2", score)
+    parts = settle(found.select(doc, "_l", *[part(n).alias(f"_{n}") for n in ("d1", "m1", "w1", "y1", "d2", "m2", "w2", "y2")]), "ranges")
+    parts = _resolve_months(parts, "_w1", months, cutoff, "_n1")
+    parts = _resolve_months(parts, "_w2", months, cutoff, "_n2")
 
     def day(y, m, d):
         return F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), *[F.lpad(x.cast("string"), 2, "0") for x in (m, d)]).try_cast("date")
 
     def month(n):
-        return F.coalesce(F.col(f"_n{n}").cast("string"), F.when(F.col("_l") < 2, F.col(f"_m{n}")))
+        return F.coalesce(F.col(f"_n{n}").cast("string"), F.col(f"_m{n}"))
 
     years = parts.withColumns({
         "_g2": to_gregorian_year(F.col("_y2").try_cast("int"), guess=True),
@@ -128,18 +152,20 @@ def links(df: DataFrame, page: str, url: str, html: str, ext: str | None = None,
 
 # ---- sequences ----------------------------------------------------------------------------------
 
-def positions(df: DataFrame, keys: Sequence[str], order: str, out: str = "pos") -> DataFrame:
-    """1, 2, 3 ... along a unique numeric order within keys."""
-    return running_total(df.withColumn("_one", F.lit(1)), keys, order, "_one", out).drop("_one")
+def positions(df: DataFrame, keys: Sequence[str], order: str, out: str = "pos", width: float | None = None) -> DataFrame:
+    """1, 2, 3 ... along a unique numeric order within keys. `width` splits long keys, as in `running_total`."""
+    return running_total(df.withColumn("_one", F.lit(1)), keys, order, "_one", out, width).drop("_one")
 
 
 def runs(df: DataFrame, keys: Sequence[str], order: str, condition: Column, out: str = "run") -> DataFrame:
-    """Number of the alternating run each item is in; run 0 holds items before the first that meets the condition."""
-    placed = positions(df.withColumn("_hit", F.coalesce(condition, F.lit(False))), keys, order, "_pos")
-    before = placed.select(*keys, (F.col("_pos") + 1).alias("_pos"), F.col("_hit").alias("_prev"))
-    changes = placed.join(before, [*keys, "_pos"], "left").withColumn(
-        "_change", (F.col("_hit") != F.coalesce("_prev", F.lit(False))).cast("int"))
-    return running_total(changes, keys, order, "_change", out).drop("_hit", "_prev", "_pos", "_change")
+    """Number of the alternating run each item is in; run 0 holds items before the first that meets the condition.
+
+    One shuffle and one sort; only the columns that are asked for later travel. A sequence is in one task.
+    """
+    along = Window.partitionBy(*keys).orderBy(order)
+    hit = df.withColumn("_hit", F.coalesce(condition, F.lit(False)))
+    changes = hit.withColumn("_change", (F.col("_hit") != F.coalesce(F.lag("_hit").over(along), F.lit(False))).cast("int"))
+    return changes.withColumn(out, F.sum("_change").over(along.rowsBetween(Window.unboundedPreceding, 0))).drop("_hit", "_change")
 
 
 def pairs(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
@@ -167,8 +193,9 @@ def report_statistics(df: DataFrame, keys: Sequence[str], text: str, prio: str,
     return priority_merge(parsed, keys, list(metrics), prio)
 
 
-# A place name with its count in brackets, and an optional second bracket with a sub-count.
-PLACE_COUNT = r"([A-Za-z][\w. ]*?) *\((\d[\d,]*)\)(?: *\([A-Za-z][\w ]*? (\d[\d,]*)\))?"
+# A place name in any script with its count in brackets, and an optional second bracket with a sub-count.
+_NAME = r"\p{L}[\p{L}\p{M}\p{N}_. ]*?"
+PLACE_COUNT = rf"({_NAME}) *\((\d[\d,]*)\)(?: *\({_NAME} (\d[\d,]*)\))?"
 
 
 def place_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -208,10 +235,10 @@ def people_summary(df: DataFrame, keys: Sequence[str], age: str, gender: str, fe
 
 
 def resolve_tokens(df: DataFrame, doc: str, text: str, dim: DataFrame, key: str, name: str, cutoff: float = places.CUTOFF,
-                   score: str = "blocks", split: str = r"[\s,]+") -> DataFrame:
+                   split: str = r"[\s,]+") -> DataFrame:
     """(doc, name): the places named in a run-together text, only if every token resolves."""
     tokens = settle(df.select(doc, F.explode(F.split(F.trim(F.col(text)), split)).alias("_token")).filter("_token <> ''"), "tokens")
-    found = places.resolve(tokens, dim, "_token", key, cutoff, score)
+    found = places.resolve(tokens, dim, "_token", key, cutoff)
     looked = tokens.join(found, "_token", "left").join(dim.select(F.col(key).alias("match"), F.col(name).alias("_name")), "match", "left")
     whole = looked.groupBy(doc).agg(F.bool_and(F.col("match").isNotNull()).alias("_all")).filter("_all").select(doc)
     return looked.join(whole, doc, "left_semi").select(doc, F.col("_name").alias(name))

@@ -26,16 +26,16 @@ def priority_merge(df: DataFrame, keys: Sequence[str], values: str | Sequence[st
                    prio: str | Column = "prio", provenance: str | None = None) -> DataFrame:
     """Per key and value column, the first non-null value in order of `prio` (low number wins).
 
-    `provenance` names a column: its value on the winning row is returned as `<value>_<provenance>`.
+    `provenance` names a column: its value on the winning row is returned as `<value>_<provenance>`. Of
+    rows with one priority the least value wins, then the least provenance, however the rows are dealt;
+    value and provenance come from one row. A null priority comes last.
     """
     p = F.col(prio) if isinstance(prio, str) else prio
-    out = []
-    for v in cols(values):
-        rank = F.when(F.col(v).isNotNull(), p)
-        out.append(F.min_by(F.col(v), rank).alias(v))
-        if provenance:
-            out.append(F.min_by(F.col(provenance), rank).alias(f"{v}_{provenance}"))
-    return df.groupBy(*keys).agg(*out)
+    more = [F.col(provenance).alias("s")] if provenance else []
+    best = [F.min(F.when(F.col(v).isNotNull(), F.struct(p.isNull().alias("n"), p.alias("p"), F.col(v).alias("v"), *more))).alias(f"_best_{v}") for v in cols(values)]
+    out = [x for v in cols(values) for x in (
+        F.col(f"_best_{v}.v").alias(v), *([F.col(f"_best_{v}.s").alias(f"{v}_{provenance}")] if provenance else []))]
+    return df.groupBy(*keys).agg(*best).select(*keys, *out)
 
 
 def combine_first(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,13 +50,14 @@ def combine_first(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> D
 def latest_wins(df: DataFrame, keys: Sequence[str], arrival: str | Sequence[str], newest: bool = True) -> DataFrame:
     """One whole row per key: the last to arrive (or the first, with newest=False).
 
-    max_by over the row as a struct keeps map-side combining, which row_number would not.
+    Of rows that arrived together the greatest (least) in its other columns is taken, so the choice does
+    not depend on how rows are dealt. A maximum over the row as a struct keeps map-side combining, which
+    row_number would not.
     """
-    order = F.struct(*[F.col(a) for a in cols(arrival)])
-    rest = [c for c in df.columns if c not in keys]
+    first = cols(arrival)
+    rest = first + [c for c in df.columns if c not in keys and c not in first]
     row = F.struct(*[F.col(c) for c in rest])
-    pick = F.max_by(row, order) if newest else F.min_by(row, order)
-    picked = df.groupBy(*keys).agg(pick.alias("_row"))
+    picked = df.groupBy(*keys).agg((F.max(row) if newest else F.min(row)).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 

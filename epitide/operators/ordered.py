@@ -1,29 +1,21 @@
-"""Exact running totals, ranks and quantiles that split a hot group over many tasks.
-
-A plain ordered window sends all rows of one key to one task. Here keys with many rows are cut into
-value ranges; rows are totalled per (key, range), the few range totals are accumulated, and the
-ordered window then runs inside each (key, range). The cuts come from a sample chosen by the hash of
-the value, so a task that is run again sees the same cuts, and results are exact for any cuts: they
-only decide how evenly the work spreads. Where no key is above the size limit, a plain window is used.
-The input is settled first, because sizes, cuts, totals and rows each read it.
+"""Exact running totals, ranks and quantiles within keys.
+
+A plain ordered window sends all rows of a key to one task. A caller who knows that keys can be large
+passes `width`: the order column is then cut into pieces of that width, rows are totalled per (key,
+piece), the totals are accumulated, and the ordered window runs inside each (key, piece). The pieces
+depend on the values and the width alone, never on how many rows there are, and nothing is run or
+written while the plan is built. Floating amounts are summed as decimals with six places, so that the
+results are the same to the last bit for any width and any order of execution.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epitide.sources.stage import settle
-
-ROWS_PER_RANGE = 100_000
-MAX_RANGES = 1024
-SAMPLE_PER_RANGE = 8
-_HASHES = 2**31
-
 
 def join_same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on equal keys where null equals null."""
@@ -32,82 +24,59 @@ def join_same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner
     return a.join(right, on, how).drop(*[f"_on_{k}" for k in keys])
 
 
-def _position(cuts: Column, value: Column) -> Column:
-    """How many of the ascending cuts are below the value, in two steps instead of one long pass."""
-    step = isqrt(MAX_RANGES)
-    blocks = F.size(F.filter(F.filter(cuts, lambda c, i: (i + 1) % step == 0), lambda c: c < value))
-    inside = F.slice(cuts, blocks * step + 1, F.lit(step))
-    return blocks * step + F.size(F.filter(inside, lambda c: c < value))
-
-
-def _ranged(df: DataFrame, keys: Sequence[str], order: str, rows: int) -> DataFrame:
-    """Adds `_range`: 0 for small keys, otherwise the value range of the row within its key."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_size")).filter(F.col("_size") > rows).withColumn(
-        "_ranges", F.least(F.lit(MAX_RANGES), F.ceil(F.col("_size") / rows)).cast("int"))
-    chance = F.col("_ranges") * SAMPLE_PER_RANGE / F.col("_size") * _HASHES
-    sample = join_same(df.select(*keys, order), sizes, keys).filter(F.pmod(F.xxhash64(order), F.lit(_HASHES)) < chance)
-    picked = sample.groupBy(*keys, "_ranges").agg(F.array_sort(F.collect_set(order)).alias("_s"))
-    spaced = F.transform(
-        F.sequence(F.lit(1), F.col("_ranges") - 1),
-        lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_ranges")).cast("int")))
-    cuts = picked.select(*keys, F.array_distinct(F.array_compact(spaced)).alias("_cuts"))
-    return join_same(df, cuts, keys, "left").withColumn(
-        "_range", F.when(F.col("_cuts").isNull(), 0).otherwise(_position(F.col("_cuts"), F.col(order)))).drop("_cuts")
-
-
-def _total(df: DataFrame, keys: Sequence[str], order: str, amount: str, out: str, rows: int) -> DataFrame:
-    """Running total over a settled table: a plain window unless some key is too large for one task."""
-    large = df.groupBy(*keys).agg(F.count("*").alias("_size")).filter(F.col("_size") > rows)
-    if large.isEmpty():
-        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
-    tagged = _ranged(df, keys, order, rows)
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    base = (
-        tagged.groupBy(*keys, "_range").agg(F.sum(amount).alias("_sum"))
-        .withColumn("_base", F.sum("_sum").over(before)).filter("_range > 0").drop("_sum"))
-    within = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    running = F.coalesce(F.col("_base"), F.lit(0)) + F.coalesce(F.sum(amount).over(within), F.lit(0))
-    return join_same(tagged, base, [*keys, "_range"], "left").withColumn(out, running).drop("_base", "_range")
-
-
-def running_total(df: DataFrame, keys: Sequence[str], order: str, amount: str, out: str,
-                  rows: int = ROWS_PER_RANGE) -> DataFrame:
+def _exact(df: DataFrame, amount: str) -> Column:
+    floating = df.schema[amount].dataType.simpleString() in ("double", "float")
+    return F.col(amount).cast("decimal(38,6)") if floating else F.col(amount)
+
+
+def running_total(df: DataFrame, keys: Sequence[str], order: str, amount: str, out: str, width: float | None = None) -> DataFrame:
     """Adds `out`: sum of `amount` over rows of the key up to and including this `order` value.
 
     `order` must be numeric, not null and unique per key (aggregate first if it is not).
     """
-    return _total(settle(df, "running"), keys, order, amount, out, rows)
+    exact = _exact(df, amount)
+    kind = "double" if df.schema[amount].dataType.simpleString() in ("double", "float") else "bigint"
+    tagged = df if width is None else df.withColumn("_piece", F.floor(F.col(order) / F.lit(width)))
+    parts = list(keys) if width is None else [*keys, "_piece"]
+    within = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    total = F.coalesce(F.sum(exact).over(within), F.lit(0))
+    if width is None:
+        return tagged.withColumn(out, total.cast(kind))
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    base = tagged.groupBy(*parts).agg(F.sum(exact).alias("_sum")).withColumn("_base", F.sum("_sum").over(before)).drop("_sum")
+    running = tagged.withColumn("_own", total)
+    return join_same(running, base, parts).withColumn(
+        out, (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_own")).cast(kind)).drop("_base", "_own", "_piece")
 
 
 def _counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return settle(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), "counts")
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, rows: int = ROWS_PER_RANGE) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: float | None = None) -> DataFrame:
     """(keys, value, _n, _upto): distinct non-null values with their count and running count."""
-    return _total(_counts(df, keys, value), keys, value, "_n", "_upto", rows)
+    return running_total(_counts(df, keys, value), keys, value, "_n", "_upto", width)
 
 
-def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", rows: int = ROWS_PER_RANGE) -> DataFrame:
+def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", width: float | None = None) -> DataFrame:
     """Ascending rank of `value` within keys, ties averaged; missing values have no rank."""
-    ranks = value_counts(df, keys, value, rows).select(
+    ranks = value_counts(df, keys, value, width).select(
         *keys, value, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(out))
     return join_same(df, ranks, [*keys, value], "left")
 
 
-def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.5, out: str = "median",
-                   rows: int = ROWS_PER_RANGE) -> DataFrame:
+def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.5, out: str = "median", width: float | None = None) -> DataFrame:
     """Quantile per key with linear interpolation between order statistics, one row per key."""
-    return exact_quantiles(df, keys, value, {out: q}, rows)
+    return exact_quantiles(df, keys, value, {out: q}, width)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float],
-                    rows: int = ROWS_PER_RANGE) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float], width: float | None = None) -> DataFrame:
     """Several quantiles of one value (output name to fraction) from one ordering."""
-    counts = _counts(df, keys, value)
-    total = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    placed = join_same(_total(counts, keys, value, "_n", "_upto", rows), total, keys)
+    counted = value_counts(df, keys, value, width)
+    if width is None:
+        placed = counted.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
+    else:
+        placed = join_same(counted, _counts(df, keys, value).groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
     marks = {name: (F.col("_total") - 1) * F.lit(q) for name, q in wanted.items()}
     low = {n: F.floor(m).between(first, last) for n, m in marks.items()}

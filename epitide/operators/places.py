@@ -9,12 +9,9 @@ pair that could reach the cutoff is lost.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from difflib import SequenceMatcher
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from epitide.functions.scalar import strip_prefixes, strip_suffixes
 from epitide.sources.stage import settle
@@ -25,52 +22,25 @@ _EPS = 1e-9
 
 # ---- scores -----------------------------------------------------------------------------------
 
-@F.pandas_udf(T.DoubleType())
-def matching_blocks_ratio(word: pd.Series, candidate: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio. Only distinct candidate pairs get here."""
-    matcher = SequenceMatcher()
-    last = None
-    out = []
-    for w, c in zip(word, candidate):
-        if w != last:
-            matcher.set_seq2(w)
-            last = w
-        matcher.set_seq1(c)
-        out.append(matcher.ratio())
-    return pd.Series(out, dtype="float64")
-
-
 def edit_similarity(word: Column, candidate: Column) -> Column:
     """1 - Levenshtein distance / longer length; stays in the JVM."""
     longer = F.greatest(F.length(word), F.length(candidate))
     return 1 - F.try_divide(F.levenshtein(word, candidate).cast("double"), longer.cast("double"))
 
 
-def _matched(la: Column, lb: Column, cutoff: float) -> Column:
-    """Characters that must match, in order, for the matching-blocks ratio to reach the cutoff."""
-    return F.ceil((la + lb) * cutoff / 2 - _EPS).cast("int")
-
-
-def _damage(score: str, la: Column, lb: Column, cutoff: float) -> Column:
-    """Most edits that can separate two names of these lengths if they reach the cutoff.
-
-    Matching blocks allow no substitution: every unmatched character of either name counts.
-    """
-    if score == "edit":
-        return F.floor(F.greatest(la, lb) * (1 - cutoff) + _EPS).cast("int")
-    return la + lb - 2 * _matched(la, lb, cutoff)
+def _damage(la: Column, lb: Column, cutoff: float) -> Column:
+    """Most edits that can separate two names of these lengths if they reach the cutoff."""
+    return F.floor(F.greatest(la, lb) * (1 - cutoff) + _EPS).cast("int")
 
 
-def _most_damage(score: str, lb: Column, cutoff: float) -> Column:
+def _most_damage(lb: Column, cutoff: float) -> Column:
     """The same over all names that could match a key of length lb."""
-    la = _length_limits(score, lb, cutoff)[1]
-    return F.floor((F.greatest(la, lb) if score == "edit" else la + lb) * (1 - cutoff) + _EPS).cast("int")
+    return _damage(_length_limits(lb, cutoff)[1], lb, cutoff)
 
 
-def _length_limits(score: str, n: Column, cutoff: float) -> tuple[Column, Column]:
+def _length_limits(n: Column, cutoff: float) -> tuple[Column, Column]:
     """Shortest and longest name that can still match one of length n."""
-    low, high = (cutoff, 1 / cutoff) if score == "edit" else (cutoff / (2 - cutoff), (2 - cutoff) / cutoff)
-    return F.ceil(n * low - _EPS).cast("int"), F.floor(n * high + _EPS).cast("int")
+    return F.ceil(n * cutoff - _EPS).cast("int"), F.floor(n / cutoff + _EPS).cast("int")
 
 
 # ---- candidates ---------------------------------------------------------------------------------
@@ -89,18 +59,15 @@ def _segment(length: Column, k: Column, i: Column) -> tuple[Column, Column]:
     return F.when(whole, start).otherwise(0), F.when(whole, size).otherwise(0)
 
 
-def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score: str, cutoff: float) -> DataFrame:
+def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float) -> DataFrame:
     """Distinct (name, key) pairs among which every pair at or above the cutoff is found."""
-    # Names are few bytes but much work, so their tasks are numbered here and not merged by size.
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct().repartition(tasks, "_name").withColumn(
-        "_la", F.length("_name"))
+    left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct().withColumn("_la", F.length("_name"))
     right = dim.select(F.col(key).alias("_key")).filter(F.length("_key") > 0).distinct().withColumn("_lb", F.length("_key"))
     k, i = F.col("_k"), F.col("_i")
     start, size = _segment(F.col("_lb"), k, i)
 
     # Keys: their pieces for every edit bound that a name of fitting length can give.
-    widest = _most_damage(score, F.col("_lb"), cutoff)
+    widest = _most_damage(F.col("_lb"), cutoff)
     pieces = (
         right.withColumn("_k", F.explode(F.sequence(F.lit(0), widest)))
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
@@ -108,8 +75,9 @@ def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score
 
     # Names: the substrings at which piece i of a key of length lb can still be found. Only lengths that
     # keys have matter, so a very long text that cannot match costs nothing.
-    shortest, longest = right.agg(F.min("_lb")).scalar(), right.agg(F.max("_lb")).scalar()
-    low, high = _length_limits(score, F.col("_la"), cutoff)
+    limits = right.agg(F.struct(F.min("_lb").alias("lo"), F.max("_lb").alias("hi"))).scalar()
+    shortest, longest = limits["lo"], limits["hi"]
+    low, high = _length_limits(F.col("_la"), cutoff)
     low, high = F.greatest(low, shortest), F.least(high, longest)
     shift = F.col("_la") - F.col("_lb")
     # Edits to the left and to the right of an intact piece share k, which limits how far it can move.
@@ -119,27 +87,26 @@ def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, score
     probes = (
         left.withColumns({"_low": low, "_high": high}).filter(F.col("_low") <= F.col("_high"))
         .withColumn("_lb", F.explode(F.sequence("_low", "_high")))
-        .withColumn("_k", _damage(score, F.col("_la"), F.col("_lb"), cutoff))
+        .withColumn("_k", _damage(F.col("_la"), F.col("_lb"), cutoff))
         .filter((k >= 0) & (F.abs(shift) <= k))
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
         .withColumn("_at", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
         .select("_name", "_lb", "_k", "_i", F.substring("_name", F.col("_at") + 1, size).alias("_piece")))
-    pairs = probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key", "_k").distinct().repartition(tasks, "_name", "_key")
+    pairs = probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key", "_k").distinct()
     return pairs.filter(F.levenshtein("_name", "_key") <= F.col("_k")).select("_name", "_key")
 
 
-def closest(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float = CUTOFF, score: str = "blocks") -> DataFrame:
-    """(name, match, score): best dimension key per name at or above the cutoff; ties to the later key."""
-    pairs = candidate_pairs(names, name, dim, key, score, cutoff)
-    value = edit_similarity(F.col("_name"), F.col("_key")) if score == "edit" else matching_blocks_ratio("_name", "_key")
-    scored = pairs.withColumn("_score", value).filter(F.col("_score") >= cutoff - _EPS)
+def closest(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float = CUTOFF) -> DataFrame:
+    """(name, match): best dimension key per name at or above the cutoff; ties to the later key."""
+    pairs = candidate_pairs(names, name, dim, key, cutoff)
+    scored = pairs.withColumn("_score", edit_similarity(F.col("_name"), F.col("_key"))).filter(F.col("_score") >= cutoff - _EPS)
     best = scored.groupBy("_name").agg(F.max(F.struct("_score", "_key")).alias("_best"))
     return best.select(F.col("_name").alias(name), F.col("_best._key").alias("match"), F.col("_best._score").alias("score"))
 
 
 # ---- joins --------------------------------------------------------------------------------------
 
-def resolve(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUTOFF, score: str = "blocks",
+def resolve(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUTOFF,
             trim: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per distinct name of `a`: (on, match, how) with how = exact, fuzzy or null.
 
@@ -150,13 +117,13 @@ def resolve(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUT
     keys = dim.select(F.col(key).alias("match"), F.col(key).alias(on))
     exact = settle(names.join(keys, on, "left"), "names")
     open_names = exact.filter(F.col("match").isNull()).select(on, (trim(F.col(on)) if trim else F.col(on)).alias("_trimmed"))
-    guessed = closest(open_names, "_trimmed", dim, key, cutoff, score)
+    guessed = closest(open_names, "_trimmed", dim, key, cutoff)
     fuzzy = open_names.join(guessed, "_trimmed", "left").select(
         on, "match", F.when(F.col("match").isNotNull(), F.lit("fuzzy")).alias("how"))
     return exact.filter(F.col("match").isNotNull()).select(on, "match", F.lit("exact").alias("how")).unionByName(fuzzy)
 
 
-def fuzzy_join(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUTOFF, score: str = "blocks",
+def fuzzy_join(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUTOFF,
                trim: Callable[[Column], Column] | None = None, replace_with: str | None = None,
                require_match: bool = False) -> DataFrame:
     """Left join on nearly equal names; an exact match always wins.
@@ -164,7 +131,7 @@ def fuzzy_join(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float =
     Columns of `a` that the dimension also has are taken from the dimension. `replace_with` names a
     dimension column that replaces the name. `require_match` fails the job on an unmatched name.
     """
-    names = resolve(a, dim, on, key, cutoff, score, trim)
+    names = resolve(a, dim, on, key, cutoff, trim)
     attributes = dim.withColumnRenamed(key, "match") if key != "match" else dim
     lookup = names.join(attributes, "match", "left").drop("how")
     overlap = [c for c in a.columns if c in dim.columns and c != on]
@@ -177,10 +144,10 @@ def fuzzy_join(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float =
     return out.drop("match")
 
 
-def match_audit(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUTOFF, score: str = "blocks",
+def match_audit(a: DataFrame, dim: DataFrame, on: str, key: str, cutoff: float = CUTOFF,
                 trim: Callable[[Column], Column] | None = None) -> DataFrame:
     """Names that had no exact match, what they were taken for (null if nothing) and how often they occur."""
-    names = resolve(a, dim, on, key, cutoff, score, trim).filter(~F.col("how").eqNullSafe("exact"))
+    names = resolve(a, dim, on, key, cutoff, trim).filter(~F.col("how").eqNullSafe("exact"))
     counts = a.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("count"))
     return counts.join(names, on).select(on, F.col("match").alias("guess"), "count")
 
@@ -209,17 +176,17 @@ def trim_place(c: Column, prefixes: Sequence[str] = (), suffixes: Sequence[str]
 
 
 def canonical_places(df: DataFrame, aliases: DataFrame, on: str, attach: Sequence[str] = (), cutoff: float = CUTOFF,
-                     score: str = "blocks", prefixes: Sequence[str] = (), suffixes: Sequence[str] = ()) -> DataFrame:
+                     prefixes: Sequence[str] = (), suffixes: Sequence[str] = ()) -> DataFrame:
     """Replace a free-text place by its canonical name and attach dimension columns."""
     dim = aliases.select("alias", F.col("name").alias("_canonical"), *attach)
-    return fuzzy_join(df, dim, on, "alias", cutoff, score,
+    return fuzzy_join(df, dim, on, "alias", cutoff,
                       trim=lambda c: trim_place(c, prefixes, suffixes), replace_with="_canonical")
 
 
 def standardise(df: DataFrame, column: str, mapping: DataFrame, source: str, target: str, out: str,
-                default: str | None = "Unknown", cutoff: float = CUTOFF, score: str = "blocks") -> DataFrame:
+                default: str | None = "Unknown", cutoff: float = CUTOFF) -> DataFrame:
     """Map a category column through a dictionary; unmapped ones keep their text (default=None) or get `default`."""
-    named = fuzzy_join(df, mapping.select(F.col(source), F.col(target).alias("_to")), column, source, cutoff, score)
+    named = fuzzy_join(df, mapping.select(F.col(source), F.col(target).alias("_to")), column, source, cutoff)
     fallback = F.col(column) if default is None else F.lit(default)
     return named.withColumn(out, F.coalesce(F.col("_to"), fallback)).drop("_to")
 

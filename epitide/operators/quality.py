@@ -81,8 +81,9 @@ def extract_differences(a: DataFrame, b: DataFrame, keys: Sequence[str], values:
 def missing_cells(have: DataFrame, domains: Mapping[str, DataFrame]) -> DataFrame:
     """Work list: every combination of the parameter domains that `have` does not hold.
 
-    Each domain (dates, waves, places) is a short list; all but the first are attached as one array
-    and unfolded, then the cells already there are removed by an anti join.
+    The first domain may be any list of rows (the entities). The others must be short lists such as
+    calendar days or waves: each is attached as one array and unfolded. Then the cells already there are
+    removed by an anti join.
     """
     names = list(domains)
     grid = domains[names[0]].select(names[0]).distinct()

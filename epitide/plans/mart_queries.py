@@ -294,7 +294,7 @@ SELECT place, CAST(SUM(n) FILTER (kind = 'beds') AS BIGINT) AS "n beds", CAST(CO
 def bed_supply(t):
     aliases = places.alias_table(gazetteer(t), "name", "aliases", ["region"])
     amounts = t.supplier.select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, "beds").otherwise("vents").alias("kind"), inputs.units("s_acctbal").alias("n"))
-    named = places.canonical_places(free_text_places(t).join(amounts, "s_suppkey"), aliases, "place", score="edit", cutoff=0.99, prefixes=["Prov."], suffixes=[" State"])
+    named = places.canonical_places(free_text_places(t).join(amounts, "s_suppkey"), aliases, "place", cutoff=0.99, prefixes=["Prov."], suffixes=[" State"])
     now = reshape.wide(named, ["place"], "kind", ["beds", "vents"], ["n"])
     before = now.select("place", F.lit(-1).cast("bigint").alias("n vents"))
     return merge.combine_first(now, before, ["place"])

@@ -85,12 +85,20 @@ def p1(t):
 @query("p1_combine_first_wide", f"""WITH {inputs.PUBLISHED},
 w AS (SELECT entity, date, source, MAX(CASE WHEN metric = 'value' THEN value END) AS value,
              MAX(CASE WHEN metric = 'cases' THEN value END) AS cases FROM published GROUP BY 1, 2, 3)
-SELECT entity, date, COALESCE(a.value, b.value) AS value, COALESCE(a.cases, b.cases) AS cases
-FROM (SELECT * FROM w WHERE source = 'F') a FULL JOIN (SELECT * FROM w WHERE source = 'O') b USING (entity, date)""")
+SELECT entity, date, COALESCE(a.value, b.value, c.value) AS value, COALESCE(a.cases, b.cases, c.cases) AS cases
+FROM (SELECT * FROM w WHERE source = 'F') a FULL JOIN (SELECT * FROM w WHERE source = 'O') b USING (entity, date) FULL JOIN (SELECT * FROM w WHERE source = 'P') c USING (entity, date)""")
 def p1_wide(t):
     wide = inputs.published(t).groupBy("entity", "date", "source").pivot("metric", ["value", "cases"]).agg(F.first("value"))
-    a, b = (wide.filter(F.col("source") == s).drop("source") for s in ("F", "O"))
-    return merge.combine_first(a, b, ["entity", "date"])
+    a, b, c = (wide.filter(F.col("source") == s).drop("source") for s in inputs.SOURCES_IN_ORDER)
+    return merge.combine_first(merge.combine_first(a, b, ["entity", "date"]), c, ["entity", "date"])
+
+
+@query("p1_equal_priorities", """WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS date, o_totalprice AS price, o_orderstatus AS status FROM orders)
+SELECT o_custkey, MIN(price) AS price, arg_min(status, (price, status)) AS price_status FROM o GROUP BY 1""")
+def p1_ties(t):
+    """All rows of one priority: the least value and, with it, its own source."""
+    rows = t.orders.select("o_custkey", F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"), F.lit(0).alias("prio"))
+    return merge.priority_merge(rows, ["o_custkey"], "price", provenance="status")
 
 
 @query("p2_merge_with_source", f"""WITH {inputs.PUBLISHED},

@@ -64,32 +64,43 @@ SELECT p_partkey, m.written, x.match AS matched, k.parts, k.first_brand FROM mis
 LEFT JOIN kinds k ON k.p_type = x.match""")
 def j2(t):
     dim = kinds(t).withColumn("matched", F.col("p_type"))
-    return places.fuzzy_join(misspelt(t), dim, "written", "p_type", score="edit", trim=_trim).select(
+    return places.fuzzy_join(misspelt(t), dim, "written", "p_type", trim=_trim).select(
         "p_partkey", "written", "matched", "parts", "first_brand")
 
 
-@query("j2_fuzzy_join_blocks")
+@query("j2_fuzzy_join_blocks", f"""WITH {EDIT_MATCH}
+SELECT p_partkey, x.match AS written, k.parts, k.first_brand FROM misspelt m LEFT JOIN matched x ON x.written = m.written
+LEFT JOIN kinds k ON k.p_type = x.match""")
 def j2_blocks(t):
-    dim = kinds(t).withColumn("matched", F.col("p_type"))
-    return places.fuzzy_join(misspelt(t), dim, "written", "p_type", trim=_trim).select(
-        "p_partkey", "written", "matched", "parts", "first_brand")
+    """The written name replaced by the matched one."""
+    return places.fuzzy_join(misspelt(t), kinds(t), "written", "p_type", trim=_trim, replace_with="p_type").select(
+        "p_partkey", "written", "parts", "first_brand")
 
 
-WORDS = r"""words AS (SELECT DISTINCT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM {0}) WHERE regexp_full_match(w, '[a-z]{{4,}}'))"""
+WORDS = r"""words AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS w FROM {0}))"""
 
 
 def vocabulary(df, column="w"):
-    words = df.select(F.explode(F.split(F.lower("text"), " ")).alias(column))
-    return words.filter(F.col(column).rlike("^[a-z]{4,}$")).distinct()
+    """Every word of the texts: runs of letters of any script, lower-cased."""
+    return df.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias(column)).distinct()
+
+
+# The SQL engine counts edits in bytes, so each accented letter stands there as one capital or digit, which no word has.
+_ACCENTED, _SINGLE = "ßàáâãäåæçèéêëìíîïñòóôõöùúûüýÿœ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123"
+assert len(_ACCENTED) == len(_SINGLE)
+
+
+def _bytes(word):
+    return f"translate({word}, '{_ACCENTED}', '{_SINGLE}')"
 
 
 @query("j2_fuzzy_vocabulary", f"""WITH {WORDS.format('documents')}, dict AS (SELECT w AS d FROM ({'WITH ' + WORDS.format('benchmark')} SELECT w FROM words)),
-s AS (SELECT w, d, 1 - levenshtein(w, d) / greatest(length(w), length(d)) AS score FROM words, dict
+s AS (SELECT w, d, 1 - levenshtein({_bytes('w')}, {_bytes('d')}) / greatest(length(w), length(d)) AS score FROM words, dict
   WHERE least(length(w), length(d)) >= 0.85 * greatest(length(w), length(d)) - 1e-9)
 SELECT w, d AS match, round(score, 6) AS score FROM s WHERE score >= 0.85 - 1e-9 QUALIFY row_number() OVER (PARTITION BY w ORDER BY score DESC, d DESC) = 1""")
 def j2_vocabulary(t):
     dictionary = settle(vocabulary(t.benchmark, "d"), "dictionary")
-    return places.closest(vocabulary(t.documents), "w", dictionary, "d", 0.85, "edit").select(
+    return places.closest(vocabulary(t.documents), "w", dictionary, "d", 0.85).select(
         "w", "match", F.round("score", 6).alias("score"))
 
 
@@ -110,7 +121,7 @@ def free_text_places(t):
 @query("j3_alias_canonical_names", """SELECT s_suppkey, n_name AS place, r_name AS region FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def j3(t):
     aliases = places.alias_table(gazetteer(t), "name", "aliases", ["region"])
-    return places.canonical_places(free_text_places(t), aliases, "place", ["region"], score="edit", cutoff=0.99,
+    return places.canonical_places(free_text_places(t), aliases, "place", ["region"], cutoff=0.99,
                                    prefixes=["Prov."], suffixes=[" State"]).select("s_suppkey", "place", "region")
 
 
@@ -118,7 +129,7 @@ def j3(t):
 SELECT m.written, x.match AS guess, COUNT(*) AS count FROM misspelt m LEFT JOIN matched x ON x.written = m.written
 WHERE m.written IS NOT NULL AND COALESCE(x.how, '') <> 'exact' GROUP BY 1, 2""")
 def j4(t):
-    return places.match_audit(misspelt(t), kinds(t), "written", "p_type", score="edit", trim=_trim)
+    return places.match_audit(misspelt(t), kinds(t), "written", "p_type", trim=_trim)
 
 
 _GROUPS = [("HOUSEHOLD", "Home"), ("FURNITURE", "Home"), ("MACHINERY", "Works"), ("BUILDING", "Works")]
@@ -130,8 +141,8 @@ _GROUPS = [("HOUSEHOLD", "Home"), ("FURNITURE", "Home"), ("MACHINERY", "Works"),
 def j5(t):
     mapping = inline_table(t.spark, "segment string, kind string", _GROUPS)
     people = t.customer.select("c_custkey", "c_mktsegment")
-    once = places.standardise(people, "c_mktsegment", mapping, "segment", "kind", "kind", score="edit")
-    return places.standardise(once, "c_mktsegment", mapping, "segment", "kind", "kind_or_own", default=None, score="edit").select(
+    once = places.standardise(people, "c_mktsegment", mapping, "segment", "kind", "kind")
+    return places.standardise(once, "c_mktsegment", mapping, "segment", "kind", "kind_or_own", default=None).select(
         "c_custkey", "kind", "kind_or_own")
 
 

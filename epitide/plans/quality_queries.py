@@ -86,7 +86,7 @@ EXCEPT SELECT date, entity, source FROM checked GROUP BY 1, 2, 3 HAVING bool_and
 def q6(t):
     obs = settle(_checked(t), "cells")
     passed = obs.groupBy("date", "entity", "source").agg(F.bool_and("valid").alias("ok")).filter("ok")
-    return quality.missing_cells(passed, {"date": obs, "entity": obs, "source": obs})
+    return quality.missing_cells(passed, {"entity": obs, "date": obs, "source": obs})
 
 
 @query("q7_repeated_keys", """SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""")

@@ -33,7 +33,7 @@ def a1(t):
 @query("a1_exact_quantiles", """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.25) AS lower
 FROM lineitem GROUP BY 1""")
 def a1_quantiles(t):
-    return exact_quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", {"median": 0.5, "lower": 0.25})
+    return exact_quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", {"median": 0.5, "lower": 0.25}, width=5_000.0)
 
 
 @query("a2_count_crosstab", f"""SELECT CAST(ts AS DATE) AS date, {_pivot_sql('event_type', EVENTS, 'COUNT(*) FILTER ({cond})', 'Cases ')} FROM events GROUP BY 1""")
@@ -158,14 +158,15 @@ def a14(t):
 
 @query("a15_type_totals_merged", f"""WITH {inputs.PLACED},
 a AS (SELECT date, CAST(SUM(amount) FILTER (type = '1-URGENT') AS BIGINT) AS urgent, CAST(SUM(amount) FILTER (type = '5-LOW') AS BIGINT) AS low FROM placed WHERE status = 'F' GROUP BY 1),
-b AS (SELECT date, CAST(SUM(amount) FILTER (type = '1-URGENT') AS BIGINT) AS urgent, CAST(SUM(amount) FILTER (type = '5-LOW') AS BIGINT) AS low FROM placed WHERE status = 'O' GROUP BY 1)
-SELECT date, COALESCE(a.urgent, b.urgent) AS urgent, COALESCE(a.low, b.low) AS low FROM a FULL JOIN b USING (date)""")
+b AS (SELECT date, CAST(SUM(amount) FILTER (type = '1-URGENT') AS BIGINT) AS urgent, CAST(SUM(amount) FILTER (type = '5-LOW') AS BIGINT) AS low FROM placed WHERE status = 'O' GROUP BY 1),
+c AS (SELECT date, CAST(SUM(amount) FILTER (type = '1-URGENT') AS BIGINT) AS urgent, CAST(SUM(amount) FILTER (type = '5-LOW') AS BIGINT) AS low FROM placed WHERE status = 'P' GROUP BY 1)
+SELECT date, COALESCE(a.urgent, b.urgent, c.urgent) AS urgent, COALESCE(a.low, b.low, c.low) AS low FROM a FULL JOIN b USING (date) FULL JOIN c USING (date)""")
 def a15(t):
     def totals(status):
         part = inputs.placed_orders(t).filter(F.col("status") == status)
         return reshape.value_crosstab(part, ["date"], "type", ["1-URGENT", "5-LOW"], "amount").withColumnsRenamed(
             {"1-URGENT": "urgent", "5-LOW": "low"})
-    return merge.priority_merge(merge.stack_sources(totals("F"), totals("O")), ["date"], ["urgent", "low"])
+    return merge.priority_merge(merge.stack_sources(totals("F"), totals("O"), totals("P")), ["date"], ["urgent", "low"])
 
 
 @query("a16_drop_duplicates", """SELECT DISTINCT l_orderkey, l_linenumber, arg_min(l_partkey, (l_shipdate, l_partkey, l_suppkey)) OVER (PARTITION BY l_orderkey, l_linenumber) AS l_partkey FROM lineitem""")

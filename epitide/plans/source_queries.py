@@ -102,12 +102,30 @@ def s7(t):
     return io.replace_tail(cached, fresh, "date")
 
 
+@query("s7_first_load", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice AS price FROM orders""")
+def s7_first(t):
+    """Nothing is cached yet."""
+    rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("price"))
+    return io.replace_tail(rows.limit(0), rows, "date")
+
+
+@query("s7_composite_key", """WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) END AS year, CAST(month(o_orderdate) AS INTEGER) AS month, o_totalprice AS price FROM orders)
+SELECT o_orderkey, year, month, CASE WHEN year IS NULL OR (year, month) >= (1999, 4) THEN price + 1 ELSE price END AS price FROM r""")
+def s7_composite(t):
+    """The key is (year, month); the cache ends with April 1999; some rows have no year."""
+    when = F.to_date("o_orderdate")
+    rows = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, F.year(when)).alias("year"), F.month(when).alias("month"), F.col("o_totalprice").alias("price"))
+    cached = rows.filter("year IS NULL OR year < 1999 OR (year = 1999 AND month <= 4)")
+    return io.replace_tail(cached, rows.withColumn("price", F.col("price") + 1), ["year", "month"])
+
+
 @query("s7_incremental_stream", f"""WITH {inputs.PUBLISHED}, w AS (SELECT entity, date, source, MAX(value) FILTER (metric = 'value') AS value, MAX(value) FILTER (metric = 'cases') AS cases FROM published GROUP BY 1, 2, 3)
-SELECT entity, date, COALESCE(o.value, f.value) AS value, COALESCE(o.cases, f.cases) AS cases FROM (SELECT * FROM w WHERE source = 'F') f FULL JOIN (SELECT * FROM w WHERE source = 'O') o USING (entity, date)""")
+SELECT entity, date, COALESCE(p.value, o.value, f.value) AS value, COALESCE(p.cases, o.cases, f.cases) AS cases FROM (SELECT * FROM w WHERE source = 'F') f FULL JOIN (SELECT * FROM w WHERE source = 'O') o USING (entity, date)
+FULL JOIN (SELECT * FROM w WHERE source = 'P') p USING (entity, date)""")
 def s7_stream(t):
     folder = io.work_folder(t.spark, "s7")
     wide = inputs.published(t).groupBy("entity", "date", "source").pivot("metric", ["value", "cases"]).agg(F.max("value"))
-    for source in ("F", "O"):
+    for source in inputs.SOURCES_IN_ORDER:
         arrived = wide.filter(F.col("source") == source).drop("source")
         arrived.write.mode("append").parquet(f"{folder}/in")
         incremental.load_new_files(t.spark, f"{folder}/in", arrived.schema, f"{folder}/store", f"{folder}/checkpoint")
@@ -134,7 +152,8 @@ def s9(t):
 def sheet(t):
     """A spreadsheet with three header rows and a totals row: quantity by place, year, status and return flag."""
     facts = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    wanted = [(y, s, r) for y in (1996, 1997) for s in ("F", "O") for r in ("R", "N")]
+    years = sorted(r[0] for r in facts.select(F.year("l_shipdate")).distinct().collect())  # one row per calendar year
+    wanted = [(y, s, r) for y in years for s in ("F", "O") for r in ("R", "N")]
 
     def cell(y, s, r):
         flag = F.col("l_returnflag") == "R" if r == "R" else F.col("l_returnflag") != "R"
@@ -156,7 +175,7 @@ def sheet(t):
 
 
 @query("s10_sheet_to_rows", """WITH f AS (SELECT n_name AS place, CAST(year(l_shipdate) AS VARCHAR) AS year, l_linestatus AS s, l_returnflag = 'R' AS pos, l_quantity AS q
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE year(l_shipdate) IN (1996, 1997))
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
 SELECT place, year, SUM(q) FILTER (s = 'F' AND NOT pos) AS "Type F Tests", SUM(q) FILTER (s = 'F' AND pos) AS "Type F Pos", SUM(q) FILTER (s = 'O' AND NOT pos) AS "Type O Tests", SUM(q) FILTER (s = 'O' AND pos) AS "Type O Pos" FROM f GROUP BY 1, 2""")
 def s10(t):
     tidy = io.tidy_sheet(sheet(t), "row", "place", {0: "year", 1: "test", 2: "outcome"}, ["Total"])

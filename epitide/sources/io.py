@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,11 +98,18 @@ def union_snapshots(*weeks: DataFrame) -> DataFrame:
 
 # ---- incremental loads -----------------------------------------------------------------------------------
 
-def replace_tail(cached: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
-    """Cached rows before the last key value held, fresh rows from it on (the last key may have changed)."""
-    boundary = cached.agg(F.max(key)).scalar()
-    kept = cached.filter(F.col(key) < boundary)
-    return kept.unionByName(fresh.filter(F.col(key) >= boundary))
+def replace_tail(cached: DataFrame, fresh: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Cached rows before the last key held, fresh rows from it on (the last key may have changed).
+
+    A key of several columns is compared column by column. An empty cache takes all fresh rows. Rows with
+    a missing key have no place in the order: the fresh ones replace the cached ones.
+    """
+    names = [key] if isinstance(key, str) else list(key)
+    whole = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+    place = F.struct(*names)
+    boundary = cached.filter(whole).agg(F.max(place)).scalar()
+    kept = cached.filter(whole & (place < boundary))
+    return kept.unionByName(fresh.filter(~whole | boundary.isNull() | (place >= boundary)))
 
 
 def load_is_complete(df: DataFrame, total: int) -> bool:

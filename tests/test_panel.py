@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from epitide.sources import io
 from epitide.operators import alloc, forecast, merge, ordered, rank, repair, reshape, windows
 
 D = dt.date
@@ -108,8 +109,8 @@ def test_average_rank_against_pandas_with_few_ranges(spark):
     rows = [(f"e{i}", day(i % 3), None if i % 11 == 0 else float(rnd.randrange(12))) for i in range(200)]
     df = pd.DataFrame(rows, columns=["entity", "date", "value"])
     want = df.groupby("date")["value"].rank()
-    for per in (3, 20, 1000):
-        got = values(ordered.average_rank(panel(spark, rows), ["date"], "value", rows=per), "rank")
+    for width in (None, 0.5, 3, 1000):
+        got = values(ordered.average_rank(panel(spark, rows), ["date"], "value", width=width), "rank")
         for (e, d, _), w in zip(rows, want):
             g = got[(e, d)][0]
             assert (g is None and math.isnan(w)) or g == w
@@ -119,7 +120,7 @@ def test_running_total_and_quantile_with_a_hot_key(spark):
     rnd = random.Random(2)
     rows = [("hot" if rnd.random() < 0.8 else f"k{i % 7}", i, float(rnd.randrange(1000))) for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, i int, v double")
-    got = {r["i"]: r["t"] for r in ordered.running_total(df, ["k"], "i", "v", "t", rows=40).collect()}
+    got = {r["i"]: r["t"] for r in ordered.running_total(df, ["k"], "i", "v", "t", width=40).collect()}
     seen = defaultdict(float)
     for k, i, v in rows:
         seen[k] += v
@@ -127,10 +128,35 @@ def test_running_total_and_quantile_with_a_hot_key(spark):
     pdf = pd.DataFrame(rows, columns=["k", "i", "v"])
     for q in (0.0, 0.25, 0.5, 0.9, 1.0):
         want = pdf.groupby("k")["v"].quantile(q)
-        med = {r["k"]: r["m"] for r in ordered.exact_quantile(df, ["k"], "v", q, "m", rows=25).collect()}
+        med = {r["k"]: r["m"] for r in ordered.exact_quantile(df, ["k"], "v", q, "m", width=25).collect()}
         assert med == pytest.approx(want.to_dict())
 
 
+def test_running_totals_of_doubles_are_the_same_for_any_width(spark):
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(i % 2, i, rnd.random() * 1e6) for i in range(2000)], "k int, i int, v double")
+    got = [{r["i"]: r["t"] for r in ordered.running_total(df.repartition(n), ["k"], "i", "v", "t", width).collect()}
+           for n, width in ((1, None), (5, 7), (3, 100), (4, 5000))]
+    assert all(g == got[0] for g in got)
+
+
+def test_ties_do_not_depend_on_how_rows_are_dealt(spark):
+    rows = [(i % 5, float((i * 7919) % 101), "abc"[i % 3], 1, i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, value double, source string, prio int, day int")
+    merged = [sorted(map(tuple, merge.priority_merge(df.repartition(n), ["k"], provenance="source").collect())) for n in (1, 3, 8)]
+    latest = [sorted(map(tuple, merge.latest_wins(df.repartition(n), ["k"], "day").collect())) for n in (1, 3, 8)]
+    assert merged[0] == merged[1] == merged[2] and latest[0] == latest[1] == latest[2]
+    assert all((k, v, s) in {(r[0], r[1], r[2]) for r in rows} for k, v, s in merged[0])
+
+
+def test_tail_replacement(spark):
+    old = spark.createDataFrame([(2020, 1, "a"), (2020, 2, "b"), (None, 1, "c")], "y int, w int, v string")
+    new = spark.createDataFrame([(2020, 1, "A"), (2020, 2, "B"), (2021, 1, "D"), (2020, None, "E")], "y int, w int, v string")
+    assert sorted(r["v"] for r in io.replace_tail(old, new, ["y", "w"]).collect()) == ["B", "D", "E", "a"]
+    assert sorted(r["v"] for r in io.replace_tail(old.limit(0), new, ["y", "w"]).collect()) == ["A", "B", "D", "E"]
+    assert sorted(r["v"] for r in io.replace_tail(old, new, "y").collect()) == ["A", "B", "D", "E"]
+
+
 def test_bands_edges(spark):
     rows = [(-1.0,), (0.0,), (9.9,), (10.0,), (139.0,), (140.0,), (None,)]
     got = [r["b"] for r in spark.createDataFrame(rows, "age double").withColumn("b", reshape.band("age", [10, 70])).collect()]
