@@ -56,8 +56,12 @@ _SLOPE = f"""sl AS (SELECT entity, date, n, list(n) OVER w AS items, COUNT(n) OV
 slope AS (SELECT entity, date, n, CASE WHEN c >= 3 THEN CAST(items[CAST(ceil(len(items) / 2) AS INTEGER) + 1] - items[1] AS DOUBLE) / len(items) END AS slope FROM sl)"""
 
 
-@query("r2_bottom_groups", f"""WITH {GRID}, {_SLOPE},
-low AS (SELECT entity, row_number() OVER (ORDER BY slope, entity) AS position FROM slope WHERE date = (SELECT MAX(date) FROM slope WHERE slope IS NOT NULL) QUALIFY position <= 4)
+# The slope is needed on the last day alone, and its window reaches three rows back: the last month is plenty.
+@query("r2_bottom_groups", f"""WITH {GRID}, edge AS (SELECT MAX(date) AS last_day FROM grid),
+recent AS (SELECT entity, date, n FROM grid, edge WHERE date > last_day - 31),
+sl AS (SELECT entity, date, list(n) OVER ({W} {CENTRE7}) AS items FROM recent),
+slope AS (SELECT entity, CAST(items[CAST(ceil(len(items) / 2) AS INTEGER) + 1] - items[1] AS DOUBLE) / len(items) AS slope FROM sl, edge WHERE date = last_day),
+low AS (SELECT entity, row_number() OVER (ORDER BY slope, entity) AS position FROM slope QUALIFY position <= 4)
 SELECT date, entity AS "group", CAST(position AS INTEGER) AS position, n AS shown FROM grid JOIN low USING (entity)""")
 def r2(t):
     return rank.top_groups(grid(t), windows.increasing("n", 7), "n", 4, value=lambda k, d: F.col("n"), other=None, largest=False)

@@ -95,8 +95,8 @@ def _bytes(word):
 
 
 @query("j2_fuzzy_vocabulary", f"""WITH {WORDS.format('documents')}, dict AS (SELECT w AS d FROM ({'WITH ' + WORDS.format('benchmark')} SELECT w FROM words)),
-s AS (SELECT w, d, 1 - levenshtein({_bytes('w')}, {_bytes('d')}) / greatest(length(w), length(d)) AS score FROM words, dict
-  WHERE least(length(w), length(d)) >= 0.85 * greatest(length(w), length(d)) - 1e-9)
+a AS (SELECT w, length(w) AS lw, {_bytes('w')} AS bw FROM words), b AS (SELECT d, length(d) AS ld, {_bytes('d')} AS bd FROM dict),
+s AS (SELECT w, d, 1 - levenshtein(bw, bd) / greatest(lw, ld) AS score FROM a, b WHERE least(lw, ld) >= 0.85 * greatest(lw, ld) - 1e-9)
 SELECT w, d AS match, round(score, 6) AS score FROM s WHERE score >= 0.85 - 1e-9 QUALIFY row_number() OVER (PARTITION BY w ORDER BY score DESC, d DESC) = 1""")
 def j2_vocabulary(t):
     dictionary = settle(vocabulary(t.benchmark, "d"), "dictionary")
