@@ -21,8 +21,8 @@ OBS = T.StructType([
     T.StructField("prio", T.IntegerType()),
 ])
 
-# Rule tables, dictionaries and band lists are part of the program, not of the data. This is the
-# bound under which they are inlined into the plan; anything larger has to be read as a table.
+# Rule tables, dictionaries and band lists are part of the program, not of the data. Short ones become
+# expressions of the plan; a longer one becomes a local relation with the same rows.
 MAX_INLINE_ROWS = 2_000
 
 
@@ -31,13 +31,11 @@ def cols(names: str | Sequence[str]) -> list[str]:
 
 
 def inline_table(spark: SparkSession, schema: str, rows: Iterable[Sequence]) -> DataFrame:
-    """A literal table as part of the plan (no Python worker, size known to the optimizer)."""
+    """A literal table; a short one as part of the plan (no Python worker, size known to the optimizer)."""
     rows = list(rows)
-    if len(rows) > MAX_INLINE_ROWS:
-        raise ValueError(f"{len(rows)} literal rows: store them as a table and read it instead")
     fields = T.StructType.fromDDL(schema).fields
-    if not rows:
-        return spark.createDataFrame([], T.StructType(fields))
+    if not rows or len(rows) > MAX_INLINE_ROWS:
+        return spark.createDataFrame([tuple(row) for row in rows], T.StructType(fields))
     structs = [
         F.struct(*[
             (F.array(*[F.lit(x) for x in v]) if isinstance(v, (list, tuple)) else F.lit(v))

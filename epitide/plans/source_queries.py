@@ -75,8 +75,7 @@ def s5(t):
         # The date in a file's name ranks it; Spark names the files, so the folder carries the date here.
         wide.filter(F.col("source") == source).drop("source").write.mode("overwrite").parquet(f"{folder}/{day}_tests")
     schema = "entity string, date date, value double, cases double"
-    files = t.spark.read.schema(schema).parquet(f"{folder}/*_tests").withColumn(
-        "file_date", io.file_date(F.concat(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2), F.lit(".x"))))
+    files = io.read_dated_files(t.spark, f"{folder}/*_tests", schema)
     return io.fold_newest_first(files, ["entity", "date"], ["value", "cases"])
 
 

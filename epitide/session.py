@@ -22,8 +22,3 @@ def session(app: str = "epitide", master: str | None = None, **extra: str) -> Sp
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints, or None where it names none."""
-    return spark.conf.get("spark.checkpoint.dir", None)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-
-from pyspark.errors import AnalysisException
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,8 +67,13 @@ def flatten_ages(df: DataFrame, payload: str, keys: Sequence[str], prefix: str =
 # ---- file sets ----------------------------------------------------------------------------------------
 
 def read_dated_files(spark: SparkSession, path: str, schema: str, form: str = "parquet") -> DataFrame:
-    """All files of a set in one scan, with the date in each file's name as `file_date`."""
-    return spark.read.schema(schema).format(form).load(path).withColumn("file_date", file_date(F.col("_metadata.file_path")))
+    """All files of a set in one scan, with the date in each file's name as `file_date`.
+
+    Where a file is one part of a folder that has a date in its name, as Spark writes them, that date holds.
+    """
+    place = F.col("_metadata.file_path")
+    folder = F.concat(F.element_at(F.split(place, "/"), -2), F.lit(".x"))
+    return spark.read.schema(schema).format(form).load(path).withColumn("file_date", F.coalesce(file_date(folder), file_date(place)))
 
 
 def fold_newest_first(df: DataFrame, keys: Sequence[str], values: Sequence[str], repair: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
