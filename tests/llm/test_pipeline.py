@@ -5,7 +5,7 @@ import struct
 import zlib
 
 from brute import leaks, near, roots, simhash, words
-from odd_rows import DATA
+from odd_rows import DATA, none, odd  # noqa: F401
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -55,3 +55,13 @@ def test_stages(spark):
                 assert (r.start, r.n_tokens, r.ids_crc32, r.indexed) == (at, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)), True)
                 at += len(ids)
         before = rows
+
+
+def test_stages_on_odd_rows_and_on_nothing(spark, odd, none):
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for docs in (odd.select(columns), none.select(columns)):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = settle(stage(spark, docs, DATA), name)
+            assert name == "token_ids" or docs.columns == columns
+        rows = docs.collect()
+        assert sorted(r.start for r in rows) == [sum(x.n_tokens for x in rows if x.start < r.start) for r in sorted(rows, key=lambda r: r.start)]
