@@ -133,29 +133,26 @@ class Model:
 
 def _select(rows: list[np.ndarray], y: np.ndarray, least: int) -> np.ndarray:
     """All shape features that occur, and the words that flawed documents have more often than chance allows (G test)."""
-    everything, inside = np.zeros(FEATURES), np.zeros(FEATURES)
+    everything, inside = np.zeros(FEATURES, np.int32), np.zeros(FEATURES, np.int32)
     for r, flawed in zip(rows, y):
         everything[r] += 1
         if flawed:
             inside[r] += 1
-    share = y.sum() / len(y)
-    outside, expected = everything - inside, np.maximum(everything * share, 1e-9)
+    some = np.flatnonzero(inside >= least)
+    some = some[some >= SHAPES]
+    n, k, share = everything[some].astype(float), inside[some].astype(float), y.sum() / len(y)
     with np.errstate(divide="ignore", invalid="ignore"):
-        gain = 2 * (np.where(inside > 0, inside * np.log(inside / expected), 0) + np.where(
-            outside > 0, outside * np.log(outside / np.maximum(everything - expected, 1e-9)), 0))
-    words = (inside >= least) & (inside > expected) & (gain > G_TEST)
-    words[:SHAPES] = everything[:SHAPES] > 0
-    return np.flatnonzero(words)
+        gain = 2 * (k * np.log(k / (n * share)) + np.where(n > k, (n - k) * np.log((n - k) / (n * (1 - share))), 0))
+    return np.concatenate([np.flatnonzero(everything[:SHAPES]), some[(k > n * share) & (gain > G_TEST)]])
 
 
 def _fit(rows: list[np.ndarray], y: np.ndarray, l2: float = 0.05, steps: int = 600):
     """Logistic regression with an L2 penalty by accelerated gradient steps; numpy on the bounded sample only."""
     numbers = _select(rows, y, MIN_DOCS)
-    place = np.full(FEATURES, -1)
+    place = np.full(FEATURES, -1, np.int32)
     place[numbers] = np.arange(len(numbers))
-    doc = np.concatenate([np.full(len(r), i) for i, r in enumerate(rows)])
-    feature = place[np.concatenate(rows)]
-    doc, feature = doc[feature >= 0], feature[feature >= 0]
+    used = [p[p >= 0] for p in (place[r] for r in rows)]  # of each document's features only the selected ones
+    doc, feature = np.repeat(np.arange(len(rows)), [len(u) for u in used]), np.concatenate(used)
     n, d = len(y), len(numbers)
     w, b = np.zeros(d), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     odds = b
@@ -185,7 +182,7 @@ def train(documents: DataFrame, labels: DataFrame, id: str, text: str, sample: i
 
     got = rows.mapInArrow(extracted, "low int, toxic int, found array<int>").toArrow()
     # In an order that the cluster cannot change, so that the same sample always gives the same model.
-    found = [np.asarray(v.as_py(), np.int32) for v in got.column("found")]
+    found = [v.values.to_numpy() for v in got.column("found")]
     ys = {f: np.asarray(got.column(f).to_pylist(), float) for f in FLAWS}
     order = sorted(range(len(found)), key=lambda i: (found[i].tobytes(), ys["low"][i], ys["toxic"][i]))
     # Near copies have the same least words: one of them speaks for all, or their every word would look telling.
