@@ -221,6 +221,26 @@ def test_passages_that_the_smallest_document_does_not_hold(spark):
     assert {(r.rep_id, r.id) for r in got} == {(20 + i, 21 + i) for i in range(0, 12, 2)}
 
 
+def around(line, i, left, right, size=60):
+    """A text around `line` with `left` words before and `right` words after it from a shared passage, the rest its own."""
+    n, m = left[1] if left else 0, right[1] if right else 0
+    own = [prose(f"own left {i}", size - n), prose(f"own right {i}", size - m)]
+    return " ".join([own[0], *([prose(left[0], n)] if left else []), line, *([prose(right[0], m)] if right else []), own[1]])
+
+
+def test_passages_around_a_line_at_their_start_or_end(spark):
+    """A passage begins or ends with a line that a smaller document and many others hold."""
+    line = prose("line", 8)
+    rows = [(i, around(line, i, None, None)) for i in range(1, 30)]
+    rows += [(100 + i, around(line, 100 + i, (f"p{i // 2}", 4), (f"q{i // 2}", 45))) for i in range(10)]
+    rows += [(200 + i, around(line, 200 + i, (f"r{i // 2}", 45), (f"s{i // 2}", 4))) for i in range(10)]
+    # 301 and 302 agree with 300 on one side of the line only, with each other on both.
+    rows += [(300, around(line, 300, ("t", 30), None)), (301, around(line, 301, ("t", 30), ("u", 30))), (302, around(line, 302, ("t", 30), ("u", 30)))]
+    for hashes in (1, 2):
+        got = passages.passages(spark.createDataFrame(rows, "d long, t string"), "d", "t", hashes=hashes).collect()
+        assert {(r.rep_id, r.id) for r in got} == {(k + i, k + i + 1) for k in (100, 200) for i in range(0, 10, 2)} | {(301, 302)}
+
+
 # ---- 6: quality ---------------------------------------------------------------------------------------
 
 def quality_inputs(spark, folder=DATA):
