@@ -241,6 +241,35 @@ def test_passages_around_a_line_at_their_start_or_end(spark):
         assert {(r.rep_id, r.id) for r in got} == {(k + i, k + i + 1) for k in (100, 200) for i in range(0, 10, 2)} | {(301, 302)}
 
 
+def least_line():
+    """A line with a shingle that is least in any passage under the first hash function."""
+    seed = passages.mixed(np.arange(1, 2, dtype=np.uint64))
+    return min((prose(f"line {k}", 8) for k in range(3000)), key=lambda x: passages.mixed(passages.shingles(x.split()) ^ seed).min())
+
+
+def test_passages_of_a_document_that_repeats_a_line(spark):
+    """The smallest document holds a line in other contexts before and after the passage that others share with it."""
+    line = least_line()
+    shared = prose("left", 25) + " " + line + " " + prose("right", 25)
+    first = " ".join([prose("a", 60), line, prose("b", 60), shared, prose("c", 60), line, prose("d", 60)])
+    row = " ".join([prose("e", 9), line, prose("f", 9), shared, prose("g", 9), line, prose("h", 9)])  # the middle one of three in a row
+    for text in (first, row):
+        rows = [(1, text)] + [(i, " ".join([prose(f"y{i}", 50), shared, prose(f"z{i}", 50)])) for i in range(2, 6)]
+        got = passages.passages(spark.createDataFrame(rows, "d long, t string"), "d", "t", hashes=1).collect()
+        assert {r.id for r in got if r.rep_id == 1} == {2, 3, 4, 5}
+
+
+def test_extents_reach_the_shortest_passage(spark):
+    long = prose("long", 160)
+    rows = [(i, " ".join([prose(f"l{i}", 40), *([prose(f"own{i // 3}", 80)] * 2), long, prose(f"r{i}", 40)])) for i in range(6)]
+    got = passages.passages(spark.createDataFrame(rows, "d long, t string"), "d", "t", min_words=150, hashes=1).collect()
+    assert {r.id for r in got} == {1, 2, 3, 4, 5}
+    v = np.sort(np.random.default_rng(6).permutation(2000))[::-1].astype(np.uint64) << np.uint64(40) | passages._TOP
+    v[[0, -1]] = 0
+    at, left, right = passages.compact_windows(v, 150)
+    assert at.tolist()[-1] == 1998 and left.max() == 149
+
+
 # ---- 6: quality ---------------------------------------------------------------------------------------
 
 def quality_inputs(spark, folder=DATA):
