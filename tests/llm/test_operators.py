@@ -270,6 +270,19 @@ def test_extents_reach_the_shortest_passage(spark):
     assert at.tolist()[-1] == 1998 and left.max() == 149
 
 
+def test_near_copies_around_a_line_of_many_documents(spark):
+    """Pairs of documents hold the same text around a line that smaller documents hold; one word differs on each side, near the line."""
+    line = least_line()
+    rows = [(i, around(line, i, None, None)) for i in range(1, 30)]
+    for i in range(24):
+        left, right = prose(f"p{i // 2}", 43).split(), prose(f"q{i // 2}", 43).split()
+        if i % 2:
+            left[-9 - i % 5], right[8 + i % 5] = "other", "another"
+        rows.append((100 + i, " ".join([prose(f"own left {100 + i}", 60), *left, line, *right, prose(f"own right {100 + i}", 60)])))
+    got = passages.passages(spark.createDataFrame(rows, "d long, t string"), "d", "t", hashes=1).collect()
+    assert {(r.rep_id, r.id) for r in got} == {(100 + i, 101 + i) for i in range(0, 24, 2)}
+
+
 # ---- 6: quality ---------------------------------------------------------------------------------------
 
 def quality_inputs(spark, folder=DATA):
