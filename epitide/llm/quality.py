@@ -20,6 +20,7 @@ gives an empty table; `classify` ignores other columns and `keep_good` passes th
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +58,24 @@ BINS = {
 _OFFSETS = dict(zip(BINS, np.cumsum([0, *[len(b) + 1 for b in BINS.values()]]).tolist()))
 SHAPES = sum(len(b) + 1 for b in BINS.values())
 _LETTERS = str.maketrans("", "", "0123456789")
+_UPPER, _LOWER = string.ascii_uppercase.encode(), string.ascii_lowercase.encode()
+RUN = 400  # words of the runs that variety is measured in
+
+
+def variety(words: list[str]) -> float:
+    """Mean share of distinct words over the consecutive runs of RUN words; the last run ends with the text."""
+    if len(words) <= RUN:
+        return len(set(words)) / max(len(words), 1)
+    ends = [*range(RUN, len(words), RUN), len(words)]
+    return sum(len(set(words[e - RUN:e])) for e in ends) / (RUN * len(ends))
+
+
+def cases(text: str) -> tuple[int, int]:
+    """How many upper-case and lower-case letters a text has."""
+    if text.isascii():
+        raw = text.encode()
+        return len(raw) - len(raw.translate(None, _UPPER)), len(raw) - len(raw.translate(None, _LOWER))
+    return sum(map(str.isupper, text)), sum(map(str.islower, text))
 
 
 def shape(text: str, words: list[str]) -> list[int]:
@@ -65,16 +84,14 @@ def shape(text: str, words: list[str]) -> list[int]:
     spaces = n - len("".join(text.split())) if text else 0
     letters = sum(map(len, words))
     lines = [x for x in text.split("\n") if x.strip()]
-    raw = text.encode()
-    capitals = sum(map(raw.count, (b"A", b"E", b"I", b"N", b"O", b"R", b"S", b"T")))
-    smalls = sum(map(raw.count, (b"a", b"e", b"i", b"n", b"o", b"r", b"s", b"t")))
+    capitals, smalls = cases(text)
     measures = {
         "upper": capitals / max(capitals + smalls, 1),
         "marks": max(n - spaces - letters, 0) / n if text else 0.0,
         "digits": 1 - len(text.translate(_LETTERS)) / n if text else 0.0,
         "bars": text.count("|") / n,
         "length": letters / max(len(words), 1),
-        "variety": len(set(words)) / max(len(words), 1) if len(words) < 400 else len(set(words[:400]) | set(words[-400:])) / 800,
+        "variety": variety(words),
         "repeats": sum(a == b for a, b in zip(words, words[1:])) / max(len(words) - 1, 1),
         "lines": len(set(lines)) / max(len(lines), 1),
         "size": len(words),

@@ -329,6 +329,18 @@ def test_labels(spark):
     assert sorted(tuple(r) for r in quality.one_label(rows, "d", "q", "t").collect()) == [(1, 1, 0), (3, 0, 1)]
 
 
+def test_measures_see_the_whole_text():
+    def bins(text):
+        got = quality.shape(text, quality.WORDS.findall(text.lower()))
+        return {k: v - quality._OFFSETS[k] for k, v in zip(quality.BINS, got)}
+
+    own = [f"w{i}" for i in range(2000)]
+    assert {bins(" ".join(own[:n]))["variety"] for n in (1, 399, 400, 401, 799, 800, 2000)} == {len(quality.BINS["variety"])}
+    assert quality.variety(own[:400] + ["again"] * 4000 + own[400:800]) == pytest.approx((2 + 10 / 400) / 12)
+    assert bins("BCDFG HJKLM PQUVW")["upper"] == bins("ÄÖÜ БВГ")["upper"] == len(quality.BINS["upper"]) and bins("bcdfg äöü")["upper"] == 0
+    assert quality.cases("aBc D9") == (2, 2) and quality.cases("aBc Ä9ß") == (2, 3)
+
+
 # ---- 7: SimHash ---------------------------------------------------------------------------------------
 
 def test_masks_meet_at_four_bits():
