@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitide.llm import decontaminate, mixing, passages, quality, sharding, simhash, tokencount, tokenids, urlfilter, vectors
+from epitide.llm import decontaminate, katz, merkle, mixing, negatives, passages, quality, sharding, simhash, tokencount, tokenids, urlfilter, vectors
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -190,3 +190,103 @@ def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"), "doc_id", "text", "item_id", "text").select(
         F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "n_words", "similarity")
+
+
+# ---- 11: language model ---------------------------------------------------------------------------
+
+@query()
+def op11_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return katz.scores(table(spark, folder, "documents"), "doc_id", "text", held).withColumnRenamed("id", "doc_id")
+
+
+# ---- 12: hard negatives ---------------------------------------------------------------------------
+
+HARD_SQL = """
+WITH ints AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM ints a JOIN ints b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+hard AS (SELECT p.*, n.id AS negative_id, n.score AS negative_score FROM positives p
+  JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(row_number() OVER o AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM hard WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) QUALIFY row_number() OVER o <= 5"""
+
+
+@query(HARD_SQL)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), "vec_id", label, "embedding", F.col("vec_id") % 100 == 0)
+
+
+# ---- 13: manifest ---------------------------------------------------------------------------------
+
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+# The letters that tampering changes.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def manifest_sql(levels: int = 10, groups: int = 4) -> str:
+    """`levels` and `groups` bound the heights of a language's tree and of the upper tree that the text can follow (8^levels rows)."""
+    def leaf(text: str) -> str:
+        cells = [text if f == "text" else f"CAST({f} AS VARCHAR)" for f in FIELDS]
+        return "sha256(" + " || ".join(f"COALESCE(strlen({c}) || ':' || {c}, '-')" for c in cells) + ")"
+
+    def climb(base: str, part: str, height: int) -> list[str]:
+        out = []
+        for k in range(height):
+            out.append(f"""{base}{k}k AS (SELECT g, i // 8 AS run, list(node ORDER BY i) AS kids, COUNT(*) AS many, ANY_VALUE(n) AS n FROM {base}{k} GROUP BY g, i // 8)""")
+            out.append(f"""{base}{k + 1} AS (SELECT g, run AS i, sha256(array_to_string(kids, '')) AS node, (n + 7) // 8 AS n FROM {base}{k}k WHERE n > 1)""")
+        return out
+
+    def sides(base: str, k: int) -> tuple[str, str]:
+        kids, slot = f"{base}{k}k.kids", f"(({{i}} // {8 ** k}) % 8)"
+        return (f"array_to_string(list_slice({kids}, 1, CAST({slot} AS BIGINT)), '')", f"array_to_string(list_slice({kids}, CAST({slot} AS BIGINT) + 2, 8), '')")
+
+    def steps(base: str, height: int, rows: str, start: str, keep: str) -> tuple[list[str], str]:
+        out, last = [], rows
+        for k in range(height):
+            left, right = (s.format(i="p.i") for s in sides(base, k))
+            out.append(f"""{rows}{k}s AS (SELECT p.* REPLACE (
+    CASE WHEN {base}{k}k.n > 1 THEN sha256({left} || p.folded || {right}) ELSE p.folded END AS folded,
+    CASE WHEN {base}{k}k.n > 1 THEN p.beside || {left} || {right} ELSE p.beside END AS beside)
+  FROM {last} p LEFT JOIN {base}{k}k ON {base}{k}k.g = p.g AND {base}{k}k.run = p.i // {8 ** (k + 1)})""")
+            last = f"{rows}{k}s"
+        return out, last
+
+    low = f"translate(text, '{UPPER}', '{LOWER}')"
+    first, after = steps("t", levels, "p", "folded", "beside")
+    second, done = steps("u", groups, "q", "folded", "beside")
+    return f"""
+WITH crc(t) AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, z: xor(c >> 1, 3988292384 * (c & 1))))),
+hashed AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g, {leaf('text')} AS leaf, {leaf(low)} AS shown,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda k: CAST(ascii(substr(CAST(doc_id AS VARCHAR), k, 1)) AS BIGINT))),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+  FROM documents, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, COUNT(*) OVER (PARTITION BY g) AS n FROM hashed),
+t0 AS (SELECT g, i, leaf AS node, n FROM leaves),
+{", ".join(climb("t", "g", levels))},
+subs AS ({" UNION ALL ".join(f"SELECT g, node FROM t{k} WHERE n = 1" for k in range(levels + 1))}),
+named AS (SELECT g AS name, node, row_number() OVER (ORDER BY g) - 1 AS i, COUNT(*) OVER () AS n FROM subs),
+u0 AS (SELECT '' AS g, i, node, n FROM named),
+{", ".join(climb("u", "g", groups))},
+top AS ({" UNION ALL ".join(f"SELECT node AS root FROM u{k} WHERE n = 1" for k in range(groups + 1))}),
+p AS (SELECT *, CASE WHEN crc % 3 = 0 THEN shown ELSE leaf END AS folded, '' AS beside FROM leaves),
+{", ".join(first)},
+q AS (SELECT p.doc_id, p.leaf, named.node AS subroot, '' AS g, named.i AS i, p.folded, p.beside FROM {after} p JOIN named ON named.name = p.g),
+{", ".join(second)}
+SELECT doc_id, leaf, subroot, root, sha256(beside) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM {done}, top"""
+
+
+@query(manifest_sql())
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    own = {f: F.col(f) for f in FIELDS}
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(table(spark, folder, "documents"), "doc_id", "lang", own, {"text": F.translate("text", UPPER, LOWER)}, changed)
