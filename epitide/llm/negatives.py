@@ -24,6 +24,7 @@ vectors longer than 2^24 after scaling are an error, as their scores would leave
 from __future__ import annotations
 
 import math
+from copy import copy
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +37,7 @@ from epitide.llm.common import pick
 from epitide.sources.stage import settle
 
 STAGES = 4
-PLANES = 8
+PLANES = 6
 SCALE = 256
 BEST = 5
 LOW, HIGH = 80, 100     # per cent of the positive's score
@@ -95,12 +96,10 @@ class Asked:
     def along(self, codes: np.ndarray) -> np.ndarray:
         """Inner products of the quantised anchors with the unit code vectors: anchors x rows."""
         ones = np.bitwise_count(codes).sum(1).astype(np.float64)
-        weighted = np.zeros((len(self.low), len(codes)))
+        weighted = np.zeros((len(self.low), len(codes)), np.uint32)
         for j, plane in enumerate(self.planes):
-            hits = np.zeros(weighted.shape, np.uint32)
             for w in range(codes.shape[1]):
-                hits += np.bitwise_count(plane[:, w, None] & codes[None, :, w])
-            weighted += hits * float(1 << j)
+                weighted += np.bitwise_count(plane[:, w, None] & codes[None, :, w]).astype(np.uint32) << np.uint32(j)
         inside = self.low[:, None] * ones + self.step[:, None] * weighted
         return (2 * inside - self.total[:, None]) / self.root
 
@@ -178,17 +177,34 @@ class Block:
     def rows_of(self, a, r, s, positive) -> pd.DataFrame:
         return pd.DataFrame({"anchor": self.anchor[a], "positive": positive, "id": self.ids[r], "uid": self.uid[r], "score": s})
 
-    def search(self, fit: np.ndarray, low: np.ndarray, high: np.ndarray):
-        """Best fitting rows per anchor with low <= score <= high; bounds are per anchor."""
+    def part(self, anchors: np.ndarray, rows: np.ndarray) -> Block:
+        """The same for some of the anchors and rows."""
+        out = copy(self)
+        out.x, out.anchor, out.same = self.x[anchors], self.anchor[anchors], self.same[np.ix_(anchors, rows)]
+        out.rows, out.codes, out.along, out.last, out.norms, out.uid, out.ids = (
+            v[rows] for v in (self.rows, self.codes, self.along, self.last, self.norms, self.uid, self.ids))
+        return out
+
+    def search(self, fit: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Best fitting rows per anchor with low <= score <= high, for each column of the bounds (anchors x bands).
+
+        Estimates do not depend on the bands, so all bands share them; a pair is scored if any band needs it.
+        """
         def reach(lo, hi):
-            sure = best_surely(lo, (lo >= low[:, None]) & (hi <= high[:, None]) & (hi > -np.inf), BEST)
-            return (hi >= low[:, None]) & (lo <= high[:, None]) & (hi >= sure[:, None])
+            out = np.zeros(lo.shape, bool)
+            for k in range(low.shape[1]):
+                a, b = low[:, k, None], high[:, k, None]
+                sure = best_surely(lo, (lo >= a) & (hi <= b) & (hi > -np.inf), BEST)
+                out |= (hi >= np.maximum(a, sure[:, None])) & (lo <= b)
+            return out
 
         a, r, s = scored(self.x, self.rows, surviving(self.x, self.codes, self.along, self.last, self.norms, fit, reach))
-        within = (s >= low[a]) & (s <= high[a])
-        a, r, s = a[within], r[within], s[within]
-        first = top(a, r, s, self.ids, BEST)
-        return a[first], r[first], s[first]
+        out = []
+        for k in range(low.shape[1]):
+            within = np.flatnonzero((s >= low[a, k]) & (s <= high[a, k]))
+            within = within[top(a[within], r[within], s[within], self.ids, BEST)]
+            out.append((a[within], r[within], s[within]))
+        return out
 
 
 def _empty() -> pd.DataFrame:
@@ -196,23 +212,24 @@ def _empty() -> pd.DataFrame:
 
 
 def positives_of(pdf: pd.DataFrame) -> pd.DataFrame:
-    b = Block(pdf)
-    if not b.ok:
-        return _empty()
-    every = np.full(len(b.x), np.inf)
-    return b.rows_of(*b.search(b.same & (b.anchor[:, None] != b.uid[None, :]), -every, every), 0)
+    b, out = Block(pdf), [_empty()]
+    if b.ok:
+        labels, rows = b.asked["label"].to_numpy(), pdf.loc[~pdf["asked"], "label"].to_numpy()
+        for label in np.unique(labels):
+            own = b.part(labels == label, rows == label)
+            every = np.full((len(own.x), 1), np.inf)
+            out += [own.rows_of(*found, 0) for found in own.search(own.anchor[:, None] != own.uid[None, :], -every, every)]
+    return pd.concat(out)
 
 
 def negatives_of(pdf: pd.DataFrame) -> pd.DataFrame:
-    b = Block(pdf)
-    if not b.ok:
-        return _empty()
-    goals = b.asked["goals"].to_list()
-    out = [_empty()]
-    for k in range(max(map(len, goals))):
-        goal = np.array([g[k] if k < len(g) else -1 for g in goals], np.int64)
-        fit = ~b.same & (goal >= 0)[:, None]  # the band of a negative score is empty
-        out.append(b.rows_of(*b.search(fit, -(-LOW * goal // 100), HIGH * goal // 100), k))
+    b, out = Block(pdf), [_empty()]
+    if b.ok:
+        goals = b.asked["goals"].to_list()
+        goal = np.full((len(goals), max(map(len, goals))), -1)  # the band of a negative score is empty
+        for i, g in enumerate(goals):
+            goal[i, :len(g)] = g
+        out += [b.rows_of(*found, k) for k, found in enumerate(b.search(~b.same, -(-LOW * goal // 100), HIGH * goal // 100))]
     return pd.concat(out)
 
 
