@@ -81,24 +81,38 @@ def tidy(spark: SparkSession):
 
 # ---- columns of numbers as bytes --------------------------------------------------------------------
 
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of numbers, the like bytes of all numbers of a column side by side, compressed."""
+def pack(*columns: np.ndarray, rising: int = 0) -> bytes:
+    """Columns of numbers, the like bytes of all numbers of a column side by side, compressed.
+
+    The first `rising` columns are ascending and kept as differences; numbers that repeat much and are no integers as
+    places in a list of the different ones.
+    """
     out = []
-    for c in columns:
-        planes = np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes()
-        small = zstandard.compress(planes, 1)
-        out.append(struct.pack("<cQQ", c.dtype.char.encode(), len(c), len(small)) + small)
+    for i, c in enumerate(columns):
+        if c.dtype.kind == "f":
+            few, place = np.unique(c, return_inverse=True)
+            parts = [few, place.astype(np.uint32)]
+        else:
+            parts = [np.diff(c, prepend=c.dtype.type(0)) if i < rising else c]
+        for x in parts:
+            planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+            small = zstandard.compress(planes, 3)
+            out.append(struct.pack("<cBQQ", x.dtype.char.encode(), i < rising, len(x), len(small)) + small)
     return b"".join(out)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    out, at, head = [], 0, struct.calcsize("<cQQ")
+    parts, at, head = [], 0, struct.calcsize("<cBQQ")
     while at < len(data):
-        kind, n, size = struct.unpack_from("<cQQ", data, at)
+        kind, rising, n, size = struct.unpack_from("<cBQQ", data, at)
         dtype = np.dtype(kind.decode())
         planes = zstandard.decompress(data[at + head:at + head + size], max_output_size=max(1, n * dtype.itemsize))
-        out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(dtype.itemsize, n).T).view(dtype).ravel())
+        x = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(dtype.itemsize, n).T).view(dtype).ravel()
+        parts.append(np.cumsum(x, dtype=dtype) if rising else x)
         at += head + size
+    out, rest = [], iter(parts)
+    for x in rest:
+        out.append(x[next(rest)] if x.dtype.kind == "f" else x)
     return out
 
 
@@ -151,9 +165,12 @@ def _chunks(batches: Iterator[pa.RecordBatch], order: int, kind: pa.DataType, li
 
     def flush():
         nonlocal number, size
-        words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+        words, tokens, often = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")  # frequent words get small places, which take less room
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
         sizes = np.fromiter(map(len, hashes), np.uint32, len(hashes))
-        blob = pack(words, tokens.astype(np.uint32), sizes, np.array(leads, np.uint32), np.array(starts, np.uint8), np.array(helds, np.uint8))
+        blob = pack(words[order], place[tokens], sizes, np.array(leads, np.uint32), np.array(starts, np.uint8), np.array(helds, np.uint8))
         ends = pa.array([0, len(rows)], pa.int32())
         lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.concat_arrays(ids).cast(kind), pa.array(rows, pa.int64()), pa.array(helds, pa.bool_()))]
         out = pa.RecordBatch.from_arrays([pa.array([first + number], pa.int64()), pa.array([size], pa.int64()), *lists, pa.array([blob], pa.binary())],
@@ -207,6 +224,9 @@ class Level:
     def __init__(self, spectrum: dict[int, int], tokens: int, types: int):
         self.discount, self.tokens, self.types, self.unknown = Discount(spectrum), tokens, types, 1.0
 
+    def unigram(self, r: np.ndarray) -> np.ndarray:
+        return np.where(r > 0, self.discount.of(r) * r / max(self.tokens, 1), self.unknown)
+
 
 # ---- one chunk --------------------------------------------------------------------------------------
 
@@ -230,10 +250,11 @@ class Grams:
 
     def take(self, answers: pd.DataFrame) -> None:
         """Counts and global numbers out of the answers of all buckets."""
-        parts = [unpack(b) for b in answers.sort_values("bucket")["blob"]]
-        self.r, self.number = np.empty(len(self.n), np.int64), np.empty(len(self.n), np.uint64)
-        self.r[self.order] = np.concatenate([p[0] for p in parts]) if parts else []
-        self.number[self.order] = np.concatenate([p[1] for p in parts]) if parts else []
+        parts = [unpack(b)[::-1] for b in answers.sort_values("bucket")["blob"]]
+        self.r, self.number = np.empty(len(self.n), np.int64), np.zeros(len(self.n), np.uint64)
+        self.r[self.order] = np.concatenate([p[0] for p in parts])
+        if len(parts[0]) > 1:  # the highest level needs no numbers
+            self.number[self.order] = np.concatenate([p[1] for p in parts])
 
 
 class Chunk:
@@ -250,7 +271,7 @@ class Chunk:
         n = np.bincount(self.tok[self.event & self.learned], minlength=len(self.words))
         n[self.words == BEGIN] = self.begun  # how often it is a context; it is never a word
         none = np.zeros(len(self.words), np.uint64)
-        return Grams(self.tok, None, None, None, n, none, self.words, none.astype(np.float64), self.buckets, np.uint64(1 << 62))
+        return Grams(self.tok, None, None, None, n, none, self.words, none, self.buckets, np.uint64(1 << 62))
 
     def next(self, n: int, one: Grams, last: Grams, probability: np.ndarray) -> Grams:
         t = np.flatnonzero(self.pos >= n - 1)
@@ -262,7 +283,7 @@ class Chunk:
         suffix[place] = last.at[t]
         count = np.bincount(place[(self.event & self.learned)[t]], minlength=len(distinct))
         spread = (1 + last.r[context] // self.share).astype(np.uint64)
-        return Grams(at, context, word, suffix, count, last.number[context], one.number[word], probability[suffix], self.buckets, spread)
+        return Grams(at, context, word, suffix, count, last.number[context], one.number[word], one.r[word] if n == 2 else probability[suffix], self.buckets, spread)
 
 
 def walked(chunk: Chunk, answers: pd.DataFrame, levels: list[Level]) -> tuple[list[Grams], list[np.ndarray]]:
@@ -274,7 +295,7 @@ def walked(chunk: Chunk, answers: pd.DataFrame, levels: list[Level]) -> tuple[li
         g.take(own[own["bucket"] >= 0])
         keep = level.discount.of(g.r) * g.r
         if n == 1:
-            p = np.where(g.r > 0, keep / max(level.tokens, 1), level.unknown)
+            p = level.unigram(g.r)
         else:
             back = own[own["bucket"] < 0]
             ctx, alpha = back["ctx"].to_numpy(np.int64).astype(np.uint64), back["alpha"].to_numpy(np.float64)
@@ -297,7 +318,7 @@ def asks(chunk: Chunk, answers: pd.DataFrame, levels: list[Level]) -> pd.DataFra
     out = []
     for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)].astype(int)):
         o = g.order[a:b]
-        out.append((int(bucket[a]), pack(g.ctx[o], g.key[o], g.n[o].astype(np.uint32), g.q[o])))
+        out.append((int(bucket[a]), pack(g.ctx[o], g.key[o], g.n[o].astype(np.uint32), g.q[o], rising=1 if levels else 2)))
     return pd.DataFrame(out, columns=["bucket", "blob"])
 
 
@@ -323,7 +344,7 @@ def sums(chunk: Chunk, answers: pd.DataFrame, levels: list[Level]) -> pd.DataFra
 TOLD = "kind int, chunk bigint, bucket bigint, blob binary, need array<bigint>, spectrum array<bigint>, tokens bigint, types bigint"
 
 
-def tell(pdf: pd.DataFrame, first: bool) -> pd.DataFrame:
+def tell(pdf: pd.DataFrame, first: bool, last: bool) -> pd.DataFrame:
     """Answers to the chunks that asked a bucket (kind 0), and the bucket's part of the model (kind 1)."""
     parts = [unpack(b) for b in pdf["blob"]]
     ctx, key, n, q = (np.concatenate([p[k] for p in parts]) for k in range(4))
@@ -340,31 +361,33 @@ def tell(pdf: pd.DataFrame, first: bool) -> pd.DataFrame:
         own = place[at:at + len(part[0])]
         at += len(part[0])
         need = [] if first else np.unique(ctx[own][r[own] == 0]).astype(np.int64)
-        out.append((0, chunk, bucket, pack(r[own], number[own]), need, None, 0, 0))
+        out.append((0, chunk, bucket, pack(r[own]) if last else pack(number[own], r[own], rising=1), need, None, 0, 0))
     seen = (r > 0) & ((key != BEGIN) | (not first))
     spectrum = np.bincount(r[seen & (r <= SPECTRUM)], minlength=SPECTRUM + 1)
-    out.append((1, None, bucket, pack(ctx[seen], key[seen], r[seen], q[seen], number[seen]), None, spectrum, int(r[seen].sum()), int(seen.sum())))
+    out.append((1, None, bucket, pack(ctx[seen], number[seen], key[seen], r[seen], q[seen], rising=3 if first else 2), None, spectrum, int(r[seen].sum()), int(seen.sum())))
     frame = pd.DataFrame(out, columns=["kind", "chunk", "bucket", "blob", "need", "spectrum", "tokens", "types"])
     return frame.astype({"chunk": "Int64"})
 
 
-def tell_first(pdf: pd.DataFrame) -> pd.DataFrame:
-    return tell(pdf, True)
-
-
-def tell_next(pdf: pd.DataFrame) -> pd.DataFrame:
-    return tell(pdf, False)
+def _contexts(pdfs: Iterator[pd.DataFrame], discount: Discount, unigram) -> Iterator[pd.DataFrame]:
+    """(ctx, total, mass, lower) per context and bucket: training count, discounted count, lower-level mass of the words seen.
 
-
-def _contexts(pdfs: Iterator[pd.DataFrame], discount: Discount) -> Iterator[pd.DataFrame]:
-    """(ctx, total, mass, lower) per context and bucket: training count, discounted count, lower-level mass of the words seen."""
+    What the level below says of a word is its count there on the second level, and a probability above.
+    """
     for pdf in pdfs:
         for blob in pdf["blob"]:
-            ctx, _, r, q, _ = unpack(blob)
+            ctx, _, _, r, q = unpack(blob)
             if len(ctx):
                 starts = np.flatnonzero(np.r_[True, ctx[1:] != ctx[:-1]])
                 yield pd.DataFrame({"ctx": ctx[starts].astype(np.int64), "total": np.add.reduceat(r, starts),
-                                    "mass": np.add.reduceat(discount.of(r) * r, starts), "lower": np.add.reduceat(q, starts)})
+                                    "mass": np.add.reduceat(discount.of(r) * r, starts), "lower": np.add.reduceat(q if q.dtype.kind == "f" else unigram(q.astype(np.int64)), starts)})
+
+
+def _teller(first: bool, last: bool):
+    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        return tell(pdf, first, last)
+
+    return answer
 
 
 # ---- the operator -----------------------------------------------------------------------------------
@@ -382,14 +405,14 @@ def _cogrouped(chunks: DataFrame, answers: DataFrame, work, schema: str, buckets
     return chunks.select("chunk", "blob").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, f"chunk bigint, {schema}")
 
 
-def _learn(told: DataFrame, n: int) -> tuple[Level, DataFrame]:
+def _learn(told: DataFrame, n: int, levels: list[Level]) -> tuple[Level, DataFrame]:
     """What the driver keeps of a level (at most SPECTRUM numbers), and the backoff weights (ctx, alpha)."""
     model = told.filter("kind = 1")
     spectrum = {x["pos"]: x["n"] for x in model.select(F.posexplode("spectrum").alias("pos", "n")).groupBy("pos").agg(F.sum("n").alias("n")).filter("n > 0").collect()}
     total = model.agg(F.sum("tokens"), F.sum("types")).first()
     level = Level(spectrum, total[0] or 0, total[1] or 0)
-    discount = level.discount
-    sums_ = model.select("blob").mapInPandas(lambda pdfs: _contexts(pdfs, discount), "ctx bigint, total bigint, mass double, lower double").groupBy("ctx").agg(
+    discount, unigram = level.discount, (levels or [level])[0].unigram
+    sums_ = model.select("blob").mapInPandas(lambda pdfs: _contexts(pdfs, discount, unigram), "ctx bigint, total bigint, mass double, lower double").groupBy("ctx").agg(
         F.sum("total").alias("total"), F.sum("mass").alias("mass"), F.sum("lower").alias("lower"))
     if n == 1:
         whole = sums_.first()
@@ -418,8 +441,9 @@ def scores(df: DataFrame, id: str, text: str, held: Column, order: int = ORDER,
         answers, levels = spark.createDataFrame([], ANSWERS), []
         for n in range(1, order + 1):
             asked = _cogrouped(chunks, answers, asks, "bucket bigint, blob binary", buckets, limits.share, list(levels))
-            told = settle(asked.groupBy("bucket").applyInPandas(tell_first if n == 1 else tell_next, TOLD), f"level{n}")
-            level, weights = _learn(told, n)
+            answer = _teller(n == 1, n == order)
+            told = settle(asked.groupBy("bucket").applyInPandas(answer, TOLD), f"level{n}")
+            level, weights = _learn(told, n, levels)
             levels.append(level)
             replies = told.filter("kind = 0").select("chunk", F.lit(n).alias("level"), "bucket", "blob", F.lit(-1).cast("bigint").alias("ctx"), F.lit(1.0).alias("alpha"))
             answers = answers.unionByName(replies)
