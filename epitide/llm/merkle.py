@@ -87,11 +87,13 @@ def climb(leaves: DataFrame, arity: int = ARITY) -> list[DataFrame]:
     return levels
 
 
-def descend(levels: list[DataFrame], tops: DataFrame, arity: int = ARITY) -> DataFrame:
-    """The leaves with `path`: (left, right) from the leaf's level up, then what `tops` (grp, path) says of the group's root."""
-    known = None
+def descend(levels: list[DataFrame], tops: DataFrame | None = None, arity: int = ARITY) -> DataFrame:
+    """The leaves with `path`: (left, right) from the leaf's level up, then what `tops` (grp, path) says of the group's root (nothing, by default)."""
+    known, nothing = None, F.array().cast("array<struct<left:string,right:string>>")
     for nodes in reversed(levels):
-        roots = nodes.filter("n = 1").select("grp").join(tops, "grp").select("grp", F.lit(0).cast("bigint").alias("run"), F.col("path").alias("above"))
+        roots = nodes.filter("n = 1").select("grp")
+        roots = roots.withColumn("path", nothing) if tops is None else roots.join(tops, "grp")
+        roots = roots.select("grp", F.lit(0).cast("bigint").alias("run"), F.col("path").alias("above"))
         known = roots if known is None else known.unionByName(roots)
         own = F.array(F.struct("left", "right"))
         rows = siblings(nodes, arity).join(known, ["grp", "run"])
@@ -130,18 +132,16 @@ def manifest(df: DataFrame, key: str, group: str, fields: Mapping[str, Column],
     subroots = levels[0].filter("n = 1").select("grp", "node")
     for nodes in levels[1:]:
         subroots = subroots.union(nodes.filter("n = 1").select("grp", "node"))
-    upper = numbered(subroots.select(F.lit("").alias("grp"), F.col("grp").alias("name"), "node"), "grp", "name")
+    upper = numbered(subroots.select(F.substring("grp", 1, 0).alias("grp"), F.col("grp").alias("name"), "node"), "grp", "name")
     above = climb(upper.select("grp", "i", "n", "node"), arity)
     roots = above[0].filter("n = 1").select("node")
     for nodes in above[1:]:
         roots = roots.union(nodes.filter("n = 1").select("node"))
-    nothing = F.array().cast("array<struct<left:string,right:string>>")
-    tops = df.sparkSession.range(1).select(F.lit("").alias("grp"), nothing.alias("path"))
-    named = upper.select(F.col("name"), "i", F.col("node").alias("subroot"))
-    tops = settle(descend(above, tops, arity).join(named, "i").select(F.col("name").alias("grp"), "path", "subroot"), "tops")
-    root = roots.select(F.col("node").alias("root"), F.lit("").alias("_one"))
+    named = upper.select("name", "i", F.col("node").alias("subroot"))
+    tops = descend(above, None, arity).join(named, "i").select(F.col("name").alias("grp"), "path", "subroot")
+    tops = settle(tops.withColumn("root", roots.agg(F.max("node")).scalar()), "tops")
     paths = descend([leaves, *levels[1:]], tops.select("grp", "path"), arity)
-    subs = tops.withColumn("_one", F.lit("")).join(root, "_one").select("grp", "subroot", "root")
+    subs = tops.select("grp", "subroot", "root")
     return paths.join(subs, "grp").select(
         F.col("key").alias(key), F.col("node").alias("leaf"), "subroot", "root", proof(F.col("path")).alias("proof_sha256"),
         fold(F.coalesce("shown", "node"), F.col("path")).alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
