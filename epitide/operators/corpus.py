@@ -17,7 +17,8 @@ from epitide.functions.text import absolute_url, has_extension, number_near, num
 from epitide.model import inline_table
 from epitide.operators import places
 from epitide.operators.merge import priority_merge
-from epitide.operators.ordered import exact_quantile, running_total
+from epitide.operators.ordered import exact_quantile, join_same, running_total
+from epitide.operators.scan import run_numbers
 from epitide.sources.stage import settle
 
 # Thai month names, full and abbreviated, January first.
@@ -50,39 +51,46 @@ def _resolve_months(df: DataFrame, word: str, months: DataFrame, cutoff: float,
     return df.join(numbers, word, "left")
 
 
-# A text is read as tokens: numbers, words (a letter and what follows it up to a space or digit) and single other marks.
-TOKEN = r"[0-9]+|\p{L}[^\s0-9]*|[^\s0-9\p{L}]"
-# Words and marks that stand between the two ends of a range.
-DASHES, UNTIL = ("-", "\u2013"), ("to", "\u0e16\u0e36\u0e07")
+# A text is read as its numbers and the gaps between them: what can be a date is told by a number and the gap behind it.
+DIGITS = "[0-9]+"
+# A gap of one word, of a mark or word that leads on to a second date, or of both.
+GAP = "^\\s*(\\p{L}[^\\s–-]*)?\\s*([/–-]|to|ถึง)?\\s*$"
+ONE_WORD = r"^\s*(\p{L}\S*)\s*$"
+LEADS_ON = ("-", "–", "to", "ถึง")
 
 
-def _shape(tokens: Column) -> Column:
-    """One letter per token: y a year 25xx, n another number, d a dash, s a slash, t a word for 'until', w a word, o else.
+def _numbers_and_gaps(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """(doc, _n, _g): the numbers of a text, and the gaps; gap i stands before number i, the last one after the last."""
+    return df.filter(F.col(text).rlike(DIGITS)).select(
+        doc, F.regexp_extract_all(F.col(text), F.lit(DIGITS), F.lit(0)).alias("_n"), F.split(F.col(text), DIGITS, -1).alias("_g"))
 
-    What can follow what in a date is then a question to this short string, and its places are token numbers.
-    """
-    def letter(t):
-        return (F.when(t.rlike("^25[0-9]{2}$"), "y").when(t.rlike("^[0-9]"), "n").when(t.isin(*DASHES), "d").when(t == "/", "s")
-                .when(t.isin(*UNTIL), "t").when(t.rlike(r"^\p{L}"), "w").otherwise("o"))
 
-    return F.array_join(F.transform(tokens, letter), "")
+def _places(numbers: Column, holds) -> Column:
+    """One row per place of a number for which `holds`."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.size(numbers) - 1), holds)).alias("pos")
+
+
+def _iso(year: Column, month: Column, day: Column) -> Column:
+    parts = [F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")]
+    return F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2]).try_cast("date")
 
 
 def text_dates(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: float = 0.60) -> DataFrame:
-    """(doc, pos, date) for every 'day month year' in a text; month names may be misspelt.
+    """(doc, pos, date) for every date in words: two numbers, a day and a year, with one word between them.
 
-    Years are Buddhist, two digits mean 25xx. pos is the number of the day among the tokens of the text.
+    Month names may be misspelt. Years are Buddhist, two digits mean 25xx. pos is the number of the day among the numbers
+    of the text.
     """
-    tokens = df.select(doc, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)).alias("_t"))
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("_t") - 3, F.lit(0))), lambda i: (
-        F.get("_t", i).rlike("^[0-9]{1,2}$") & F.get("_t", i + 1).rlike(r"^\p{L}") & F.get("_t", i + 2).rlike("^(25)?[0-9]{2}$")))
-    cells = tokens.select(doc, "_t", F.explode(starts).alias("pos")).select(
-        doc, "pos", F.get("_t", F.col("pos")).cast("int").alias("_day"), F.get("_t", F.col("pos") + 1).alias("_word"),
-        F.get("_t", F.col("pos") + 2).cast("int").alias("_year"))
-    dated = _resolve_months(settle(cells.filter(F.col("_day") <= 31), "dates"), "_word", months, cutoff, "_month")
-    year = to_gregorian_year("_year")
-    date = F.concat_ws("-", year.cast("string"), F.lpad(F.col("_month").cast("string"), 2, "0"), F.lpad(F.col("_day").cast("string"), 2, "0"))
-    return dated.filter(F.col("_month").isNotNull()).select(doc, "pos", date.try_cast("date").alias("date")).filter(F.col("date").isNotNull())
+    def dated(i):
+        year = F.get("_n", i + 1)
+        return (F.length(F.get("_n", i)) <= 2) & F.get("_g", i + 1).rlike(ONE_WORD) & (
+            (F.length(year) == 2) | ((F.length(year) == 4) & F.startswith(year, F.lit("25"))))
+
+    cells = _numbers_and_gaps(df, doc, text).select(doc, "_n", "_g", _places(F.col("_n"), dated)).select(
+        doc, "pos", F.get("_n", F.col("pos")).cast("int").alias("_day"), F.regexp_extract(F.get("_g", F.col("pos") + 1), ONE_WORD, 1).alias("_word"),
+        F.get("_n", F.col("pos") + 1).cast("int").alias("_year"))
+    found = _resolve_months(settle(cells.filter(F.col("_day") <= 31), "dates"), "_word", months, cutoff, "_month")
+    return found.select(doc, "pos", _iso(to_gregorian_year("_year"), F.col("_month"), F.col("_day")).alias("date")).filter(F.col("date").isNotNull())
 
 
 def last_text_date(df: DataFrame, doc: str, text: str, months: DataFrame, **options) -> DataFrame:
@@ -90,48 +98,81 @@ def last_text_date(df: DataFrame, doc: str, text: str, months: DataFrame, **opti
         F.min_by("date", "pos").alias("first"), F.max_by("date", "pos").alias("last"), F.count("*").alias("n"))
 
 
-_NUMBER, _SEPARATOR = "[ny]", "[sd]"
-_NUMERIC = _SEPARATOR.join([_NUMBER] * 3)
-# Shapes of a date range, the most telling first, each with the places of its parts, counted in tokens from its start:
-# both dates in numbers; one month and year for both days; the same with the month in words; a month word for each day.
-RANGE_SHAPES = [
-    (f"{_NUMERIC}d{_NUMERIC}", {"d1": 0, "m1": 2, "y1": 4, "d2": 6, "m2": 8, "y2": 10}),
-    (f"(?<!s){_NUMBER}d{_NUMBER}snsy", {"d1": 0, "d2": 2, "m2": 4, "y2": 6}),
-    (f"(?<!s){_NUMBER}d{_NUMBER}wy", {"d1": 0, "d2": 2, "w2": 3, "y2": 4}),
-    (f"(?<!s){_NUMBER}w[dt]{_NUMBER}wy", {"d1": 0, "w1": 1, "d2": 3, "w2": 4, "y2": 5}),
-]
+# A piece of a date: any field but the day may be missing; `width` numbers belong to it.
+PIECE = "struct<day: int, month: int, word: string, year: int, width: int>"
 
 
-def date_ranges(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: float = 0.85) -> DataFrame:
-    """(doc, start, end) of the first date range in a text, in one of four shapes; null if there is none."""
-    tokens = df.select(doc, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)).alias("_t"))
-    shaped = tokens.withColumn("_shape", _shape(F.col("_t")))
-    places_ = [F.regexp_instr("_shape", F.lit(pattern)) for pattern, _ in RANGE_SHAPES]
-    which = F.coalesce(*[F.when(p > 0, i) for i, p in enumerate(places_)])
-    at = F.coalesce(*[F.when(p > 0, p - 1) for p in places_])
-    found = shaped.select(doc, "_t", which.alias("_l"), at.alias("_at"))
+def _piece(kind: Column, day: Column, month: Column | None, word: Column | None, year: Column | None, width: int) -> Column:
+    none = F.lit(None)
+    cells = [day, none if month is None else month, none if word is None else word, none if year is None else year]
+    fields = [c if i == 2 else c.try_cast("int") for i, c in enumerate(cells)]
+    return F.when(F.coalesce(kind, F.lit(False)), F.struct(*fields, F.lit(width)).cast(PIECE))
+
 
-    def part(name):
-        cases = [F.when(F.col("_l") == i, F.get("_t", F.col("_at") + where[name])) for i, (_, where) in enumerate(RANGE_SHAPES) if name in where]
-        return F.coalesce(*cases)
+def date_pieces(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """(doc, pos, piece, next): pieces of dates, and the place of the number after the mark that leads on, if one does.
 
-    parts = settle(found.select(doc, "_l", *[part(n).alias(f"_{n}") for n in ("d1", "m1", "w1", "y1", "d2", "m2", "w2", "y2")]), "ranges")
-    parts = _resolve_months(parts, "_w1", months, cutoff, "_n1")
-    parts = _resolve_months(parts, "_w2", months, cutoff, "_n2")
+    A piece is all numbers (day, month, year between slashes or dashes), a day, a month word and a year, a day and a
+    month word, or a bare day; at one place several readings may be possible.
+    """
+    here = F.col("pos")
 
-    def day(y, m, d):
-        return F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), *[F.lpad(x.cast("string"), 2, "0") for x in (m, d)]).try_cast("date")
+    def number(k):
+        return F.get("_n", here + k)
 
-    def month(n):
-        return F.coalesce(F.col(f"_n{n}").cast("string"), F.col(f"_m{n}"))
+    def gap(k):
+        return F.get("_g", here + k + 1)
 
-    years = parts.withColumns({
-        "_g2": to_gregorian_year(F.col("_y2").try_cast("int"), guess=True),
-        "_g1": to_gregorian_year(F.coalesce("_y1", "_y2").try_cast("int"), guess=True)})
-    ends = years.withColumn("end", day(F.col("_g2"), month(2), F.col("_d2")))
-    full_start = F.col("_l").isin(0, 3)
-    return ends.withColumn("start", F.when(full_start, day(F.col("_g1"), month(1), F.col("_d1"))).otherwise(
-        previous_day_of_month("end", F.col("_d1").try_cast("int")))).select(doc, "start", "end")
+    def word(k):
+        return F.regexp_extract(gap(k), GAP, 1)
+
+    def lead(k):
+        """What leads on in the gap behind number k; a word that does so may be the gap's only word."""
+        return F.when(F.regexp_extract(gap(k), GAP, 2).isin(*LEADS_ON), F.regexp_extract(gap(k), GAP, 2)).when(word(k).isin(*LEADS_ON), word(k))
+
+    def month_word(k):
+        return (word(k) != "") & ~word(k).isin(*LEADS_ON)
+
+    def tight(k):
+        return gap(k).isin("/", "-")
+
+    near = _numbers_and_gaps(df, doc, text).select(doc, "_n", "_g", _places(F.col("_n"), lambda i: (F.length(F.get("_n", i)) <= 2) & (
+        F.get("_g", i + 1).rlike(GAP) | F.get("_g", i + 1).rlike(r"^\s*\p{L}"))))
+    year = F.length(number(1)) == 4
+    open_word = F.regexp_extract(gap(0), r"^\s*(\p{L}\S*)", 1)
+    readings = [
+        (_piece(tight(0) & tight(1) & (F.length(number(1)) <= 2) & F.length(number(2)).isin(2, 4), number(0), number(1), None, number(2), 3), lead(2)),
+        (_piece(month_word(0) & (F.regexp_extract(gap(0), GAP, 2) == "") & year, number(0), None, word(0), number(1), 2), lead(1)),
+        (_piece(open_word != "", number(0), None, F.when(month_word(0), word(0)).otherwise(open_word), None, 1), F.when(month_word(0), lead(0))),
+        (_piece((word(0) == "") | ~month_word(0), number(0), None, None, None, 1), F.when(~F.endswith(F.get("_g", here), F.lit("/")), lead(0)))]
+    every = F.array_compact(F.array(*[F.when(p.isNotNull(), F.struct(p.alias("piece"), F.when(l.isNotNull(), here + p["width"]).alias("next"))) for p, l in readings]))
+    return near.select(doc, "pos", F.explode(every).alias("_r")).select(doc, "pos", "_r.*")
+
+
+def date_ranges(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: float = 0.85) -> DataFrame:
+    """(doc, start, end) of the first date range in a text, null if there is none; `doc` identifies a text.
+
+    Pieces that something leads on from are paired with the piece it leads to, and take from each other what they lack:
+    a month or a year stated once, on either side, holds for both. A bare day is the last such day up to the end.
+    """
+    pieces = settle(date_pieces(df, doc, text).select(doc, "pos", "next", "piece.*"), "pieces")
+    left = pieces.filter(F.col("next").isNotNull()).select(doc, "next", F.col("pos").alias("_at"), *[F.col(c).alias(f"_{c}1") for c in ("day", "month", "word", "year", "width")])
+    right = pieces.filter("month IS NOT NULL OR word IS NOT NULL").select(doc, F.col("pos").alias("next"), *[F.col(c).alias(f"_{c}2") for c in ("day", "month", "word", "year", "width")])
+    pairs = left.join(right, [doc, "next"])
+    for n in (1, 2):
+        pairs = _resolve_months(pairs, f"_word{n}", months, cutoff, f"_named{n}").withColumn(f"_month{n}", F.coalesce(f"_month{n}", f"_named{n}"))
+    stated1, stated2 = (to_gregorian_year(f"_year{n}", guess=True) for n in (1, 2))
+    pairs = pairs.withColumns({"_y1": F.coalesce(stated1, stated2), "_y2": F.coalesce(stated2, stated1)}).filter("_word1 IS NULL OR _month1 IS NOT NULL")
+    start, end = _iso(F.col("_y1"), F.col("_month1"), F.col("_day1")), _iso(F.col("_y2"), F.col("_month2"), F.col("_day2"))
+    pairs = pairs.withColumns({"start": start, "end": end})
+    turned = F.col("start") > F.col("end")  # a year stated once, across a new year
+    pairs = pairs.withColumns({
+        "start": F.when(turned & F.col("_year1").isNull(), F.add_months("start", -12)).otherwise(F.col("start")),
+        "end": F.when(turned & F.col("_year2").isNull(), F.add_months("end", 12)).otherwise(F.col("end"))})
+    pairs = pairs.withColumn("start", F.when(F.col("_month1").isNull(), previous_day_of_month("end", "_day1")).otherwise(F.col("start")))
+    rank = F.struct("_at", -F.col("_width1"), -F.col("_width2"))
+    best = pairs.filter("start <= end").groupBy(doc).agg(F.min_by(F.struct("start", "end"), rank).alias("_best"))
+    return join_same(df.select(doc), best, [doc], "left").select(doc, "_best.start", "_best.end")
 
 
 # ---- links --------------------------------------------------------------------------------------
@@ -157,32 +198,29 @@ def positions(df: DataFrame, keys: Sequence[str], order: str, out: str = "pos",
     return running_total(df.withColumn("_one", F.lit(1)), keys, order, "_one", out, width).drop("_one")
 
 
-def runs(df: DataFrame, keys: Sequence[str], order: str, condition: Column, out: str = "run") -> DataFrame:
+def runs(df: DataFrame, keys: Sequence[str], order: str, condition: Column, out: str = "run", width: float | None = None) -> DataFrame:
     """Number of the alternating run each item is in; run 0 holds items before the first that meets the condition.
 
-    One shuffle and one sort; only the columns that are asked for later travel. A sequence is in one task.
+    `width` splits long sequences, as in `scan.run_numbers`.
     """
-    along = Window.partitionBy(*keys).orderBy(order)
-    hit = df.withColumn("_hit", F.coalesce(condition, F.lit(False)))
-    changes = hit.withColumn("_change", (F.col("_hit") != F.coalesce(F.lag("_hit").over(along), F.lit(False))).cast("int"))
-    return changes.withColumn(out, F.sum("_change").over(along.rowsBetween(Window.unboundedPreceding, 0))).drop("_hit", "_change")
+    return run_numbers(df, keys, order, condition, out, width)
 
 
-def pairs(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
+def pairs(df: DataFrame, keys: Sequence[str], order: str, value: str, width: float | None = None) -> DataFrame:
     """Items paired up in order: first with second, third with fourth; an odd last item is left out."""
-    placed = positions(df.select(*keys, order, value), keys, order, "_pos")
+    placed = positions(df.select(*keys, order, value), keys, order, "_pos", width)
     two = placed.groupBy(*keys, F.floor((F.col("_pos") - 1) / 2).alias("pair")).agg(
         F.min_by(value, "_pos").alias("first"), F.max_by(value, "_pos").alias("second"), F.count("*").alias("_n"))
     return two.filter("_n = 2").drop("_n")
 
 
-def threads(df: DataFrame, thread: Sequence[str], order: str, text: str, condition: Column) -> DataFrame:
+def threads(df: DataFrame, thread: Sequence[str], order: str, text: str, condition: Column, width: float | None = None) -> DataFrame:
     """(thread, part, text): matching messages of a thread in order, repeated texts once.
 
-    The thread stays in rows, so a thread of any length is spread over tasks.
+    The thread stays in rows; with a `width` a thread of any length is numbered by many tasks.
     """
     firsts = df.filter(condition).groupBy(*thread, text).agg(F.min(order).alias("_at"))
-    return positions(firsts, thread, "_at", "part").select(*thread, "part", text)
+    return positions(firsts, thread, "_at", "part", width).select(*thread, "part", text)
 
 
 # ---- statistics from reports ----------------------------------------------------------------------
@@ -226,12 +264,12 @@ def table_lines(df: DataFrame, doc: str, text: str, numbers: int, ints: bool = T
         (F.size("numbers") == numbers) & (F.col("label") != ""))
 
 
-def people_summary(df: DataFrame, keys: Sequence[str], age: str, gender: str, female: str, male: str) -> DataFrame:
+def people_summary(df: DataFrame, keys: Sequence[str], age: str, gender: str, female: str, male: str, width: float | None = None) -> DataFrame:
     """Median, lowest and highest age and counts by gender per key."""
     basic = df.groupBy(*keys).agg(
         F.min(age).alias("age_min"), F.max(age).alias("age_max"), F.count(F.when(F.col(gender) == female, 1)).alias("female"),
         F.count(F.when(F.col(gender) == male, 1)).alias("male"), F.count("*").alias("n"))
-    return basic.join(exact_quantile(df, keys, age, 0.5, "age_median"), list(keys), "left")
+    return basic.join(exact_quantile(df, keys, age, 0.5, "age_median", width), list(keys), "left")
 
 
 def resolve_tokens(df: DataFrame, doc: str, text: str, dim: DataFrame, key: str, name: str, cutoff: float = places.CUTOFF,
@@ -256,6 +294,65 @@ def dictionary_counts(df: DataFrame, keys: Sequence[str], text: str, total: str,
     return df.select(*keys, *[counted(s).alias(c) for c, s in dictionary.items()])
 
 
+# Tokens of a text that is looked up: numbers, words, and single other marks.
+TOKEN = r"[0-9]+(?:,[0-9]{3})*|[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]"
+LONGEST_SPELLING = 16
+
+
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+
+
+def dictionary_hits(df: DataFrame, keys: Sequence[str], text: str, dictionary: DataFrame, spelling: str, category: str) -> DataFrame:
+    """(keys, pos, words, spelling, category): every place where a text has a spelling, case aside, whole words only.
+
+    A text is read once however many spellings there are: each of its tokens starts one phrase for every length a spelling
+    can have, and phrases meet the dictionary in one equi-join, which Spark broadcasts or shuffles by the dictionary's size.
+    At one place the longest spelling counts, in all its categories. Spellings of more than LONGEST_SPELLING tokens are an
+    error. `keys` identify a text.
+    """
+    known = dictionary.select(F.col(spelling).alias("spelling"), F.col(category).alias("category"), _tokens(F.col(spelling)).alias("_t")).filter(F.size("_t") > 0)
+    known = known.select("spelling", "category", F.size("_t").alias("words"), F.array_join("_t", " ").alias("_phrase")).distinct()
+    lengths = [r[0] for r in known.select("words").distinct().limit(LONGEST_SPELLING + 1).collect()]
+    if lengths and max(lengths) > LONGEST_SPELLING:
+        raise ValueError(f"a spelling has more than {LONGEST_SPELLING} words")
+    sizes = F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")
+    starts = df.select(*keys, _tokens(F.col(text)).alias("_t")).filter(F.size("_t") > 0).select(
+        *keys, "_t", F.explode(F.sequence(F.lit(0), F.size("_t") - 1)).alias("pos")).select(
+        *keys, "pos", F.slice("_t", F.col("pos") + 1, F.lit(max(lengths, default=1))).alias("_next"))
+    phrases = starts.select(*keys, "pos", "_next", F.explode(sizes).alias("words")).filter(F.size("_next") >= F.col("words")).select(
+        *keys, "pos", "words", F.array_join(F.slice("_next", F.lit(1), F.col("words")), " ").alias("_phrase"))
+    hits = phrases.join(known, ["_phrase", "words"]).drop("_phrase")
+    longest = F.max("words").over(Window.partitionBy(*keys, "pos"))
+    return hits.withColumn("_longest", longest).filter(F.col("words") == F.col("_longest")).select(*keys, "pos", "words", "spelling", "category")
+
+
+def dictionary_numbers(df: DataFrame, keys: Sequence[str], text: str, dictionary: DataFrame, spelling: str, category: str,
+                       until: str = r"\)", total: str | None = None) -> DataFrame:
+    """(keys, part, pos, spelling, category, value): the first number after each spelling, up to a required closing mark.
+
+    The text is cut at the marks; what follows the last one is closed by nothing and not read. A number above the text's
+    own total is not believed, and a spelling without a number gives nothing.
+    """
+    cut = F.split(F.col(text), until, -1)
+    more = [total] if total else []
+    parts = df.select(*keys, *more, F.posexplode(F.slice(cut, F.lit(1), F.greatest(F.size(cut) - 1, F.lit(0)))).alias("part", "_text"))
+    hits = dictionary_hits(parts, [*keys, "part"], "_text", dictionary, spelling, category)
+    read = hits.join(parts, [*keys, "part"])
+    after = F.slice(_tokens(F.col("_text")), F.col("pos") + F.col("words") + 1, F.size(_tokens(F.col("_text"))))
+    first = F.get(F.filter(after, lambda t: t.rlike("^[0-9]")), F.lit(0))
+    value = F.regexp_replace(first, ",", "").try_cast("bigint")
+    out = read.withColumn("value", value).filter("value IS NOT NULL")
+    if total:
+        out = out.filter(F.col("value") <= F.col(total))
+    return out.select(*keys, "part", "pos", "spelling", "category", "value")
+
+
+def first_numbers(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, category, value): per category what follows its first spelling in the text."""
+    return found.groupBy(*keys, "category").agg(F.min_by("value", F.struct("part", "pos", "spelling")).alias("value"))
+
+
 def layout_rows(df: DataFrame, keys: Sequence[str], kind: Column, numbers: Column, layouts: DataFrame) -> DataFrame:
     """(keys, metric, value): numbers of a row become named metrics by table kind and how many there are.
 

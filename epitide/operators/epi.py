@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +45,26 @@ def excess(df: DataFrame, keys: Sequence[str], value: str, years: Sequence[int],
     }).filter(F.col("p_score").isNotNull())
 
 
+def excess_over(df: DataFrame, groupings: Mapping[str, Sequence[str]], value: str, years: Sequence[int], start: int,
+                short: Sequence[int], long: Sequence[int]) -> DataFrame:
+    """`excess` for several groupings that need not nest (by region, by place, by band, by band and region) in one pass.
+
+    One aggregation with grouping sets reduces the facts to (grouping, its columns, year, month); baselines are then taken
+    within each grouping. `grouping` names the set; columns that are not part of it are null, and a null that is data
+    stays apart from them, as `grouping` is a key of its own.
+    """
+    columns = list(dict.fromkeys(c for cs in groupings.values() for c in cs))
+    sets = [[F.col(c) for c in (*cs, "year", "month")] for cs in groupings.values()]
+    ids = F.grouping_id(*columns, "year", "month")
+    reduced = df.groupingSets(sets, *columns, "year", "month").agg(F.sum(value).alias(value), ids.alias("_id"))
+    every = [*columns, "year", "month"]
+    known = {sum(1 << (len(every) - 1 - i) for i, c in enumerate(every) if c not in (*cs, "year", "month")): name for name, cs in groupings.items()}
+    if len(known) < len(groupings):
+        raise ValueError("two groupings have the same columns")
+    name = F.coalesce(*[F.when(F.col("_id") == i, n) for i, n in known.items()])
+    return excess(reduced.withColumn("grouping", name).drop("_id"), ["grouping", *columns], value, years, start, short, long)
+
+
 def expected(excess_df: DataFrame, known: DataFrame, keys: Sequence[str], value: str, cause: str, baseline: str = "pre5_avg") -> DataFrame:
     """Expected figures with the known cause on top, and the unexplained deviation in percent."""
     joined = excess_df.join(known.select(*keys, "date", cause), [*keys, "date"], "left")
@@ -98,11 +118,12 @@ def variant_mix(detailed: DataFrame, coarse: DataFrame, counts: DataFrame, date:
 
 
 def trend_table(df: DataFrame, entity: str, date: str, value: str, dim: DataFrame, style: str = "green_up",
-                sensitivity: float = 25, n: int = 7) -> DataFrame:
+                sensitivity: float = 25, n: int = 7, width: float | None = None) -> DataFrame:
     """Latest smoothed value per entity and its trend, joined to the dimension (entity, region, population).
 
     Styles: 'abs' the smoothed value itself, 'rank' change of rank among entities, otherwise change per
-    population against the overall peak. Input is one row per entity and day.
+    population against the overall peak. Input is one row per entity and day; `width` splits the values of a day
+    for the ranks.
     """
     smooth = windows.moving_average(df.select(entity, date, value), [entity], date, value, n, n // 2, True, "_s")
     smooth = settle(smooth.withColumnRenamed(f"{value}_s", "ma"), "smooth")
@@ -110,7 +131,7 @@ def trend_table(df: DataFrame, entity: str, date: str, value: str, dim: DataFram
     if "abs" in style:
         table = smooth.withColumn("trend", F.col("ma") * sensitivity)
     elif "rank" in style:
-        ranked = average_rank(smooth, [date], "ma", "_rank")
+        ranked = average_rank(smooth, [date], "ma", "_rank", width)
         peak = ranked.agg(F.max("_rank")).scalar()
         moved = F.col("_rank") - F.lag("_rank", windows.trend_lag(n, "rank")).over(order)
         table = ranked.withColumn("trend", F.try_divide(moved, peak) * sensitivity).drop("_rank")

@@ -7,7 +7,7 @@ combines on the map side, so a key with very many rows sends one row per task to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,27 +15,52 @@ from pyspark.sql import functions as F
 
 from epitide.model import cols
 
+SOURCES = "sources"  # metadata of a priority column: how many sources are stacked
+
 
 def stack_sources(*sources: DataFrame, prio: str = "prio") -> DataFrame:
-    """Union of sources, best first; a column absent from one source is null there."""
-    tagged = [s.withColumn(prio, F.lit(i)) for i, s in enumerate(sources)]
+    """Union of sources, best first; a column absent from one source is null there.
+
+    The priority column says in its metadata how many sources there are, so that a merge need not be told.
+    """
+    tagged = [s.withColumn(prio, F.lit(i).alias(prio, metadata={SOURCES: len(sources)})) for i, s in enumerate(sources)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
 def priority_merge(df: DataFrame, keys: Sequence[str], values: str | Sequence[str] = "value",
-                   prio: str | Column = "prio", provenance: str | None = None) -> DataFrame:
+                   prio: str | Column = "prio", provenance: str | None = None,
+                   levels: Sequence[int] | Mapping[int, str] | None = None, also: Mapping[str, Column] | None = None) -> DataFrame:
     """Per key and value column, the first non-null value in order of `prio` (low number wins).
 
     `provenance` names a column: its value on the winning row is returned as `<value>_<provenance>`. Of
     rows with one priority the least value wins, then the least provenance, however the rows are dealt;
     value and provenance come from one row. A null priority comes last.
+
+    `levels` lists the priorities there are, best first (the sources of `stack_sources` are known); as a mapping it
+    also names the provenance of each level, which then needs no column. With known levels each is one plain minimum,
+    so that numbers stay in hash aggregation; priorities that are not listed come after those that are. Without, the
+    minimum is taken over (priority, value) as a struct, for which Spark sorts. `also` adds further aggregates.
     """
+    more = [c.alias(n) for n, c in (also or {}).items()]
+    if levels is None and isinstance(prio, str) and prio in df.columns and not provenance:
+        levels = range(df.schema[prio].metadata.get(SOURCES, 0)) or None
     p = F.col(prio) if isinstance(prio, str) else prio
-    more = [F.col(provenance).alias("s")] if provenance else []
-    best = [F.min(F.when(F.col(v).isNotNull(), F.struct(p.isNull().alias("n"), p.alias("p"), F.col(v).alias("v"), *more))).alias(f"_best_{v}") for v in cols(values)]
+    if levels is not None and (provenance is None or isinstance(levels, Mapping)):
+        slots = [p == n for n in levels] + [~F.coalesce(p.isin(*levels), F.lit(False))]
+        picks = [F.min(F.when(slot, F.col(v))).alias(f"_{i}_{v}") for v in cols(values) for i, slot in enumerate(slots)]
+        found = df.groupBy(*keys).agg(*picks, *more)
+        names = [*levels.values()] if isinstance(levels, Mapping) else []
+        out = []
+        for v in cols(values):
+            out.append(F.coalesce(*[F.col(f"_{i}_{v}") for i in range(len(slots))]).alias(v))
+            if provenance:
+                out.append(F.coalesce(*[F.when(F.col(f"_{i}_{v}").isNotNull(), F.lit(n)) for i, n in enumerate(names)]).alias(f"{v}_{provenance}"))
+        return found.select(*keys, *out, *(also or {}))
+    source = [F.col(provenance).alias("s")] if provenance else []
+    best = [F.min(F.when(F.col(v).isNotNull(), F.struct(p.isNull().alias("n"), p.alias("p"), F.col(v).alias("v"), *source))).alias(f"_best_{v}") for v in cols(values)]
     out = [x for v in cols(values) for x in (
         F.col(f"_best_{v}.v").alias(v), *([F.col(f"_best_{v}.s").alias(f"{v}_{provenance}")] if provenance else []))]
-    return df.groupBy(*keys).agg(*best).select(*keys, *out)
+    return df.groupBy(*keys).agg(*best, *more).select(*keys, *out, *(also or {}))
 
 
 def combine_first(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,9 +1,11 @@
 """Joining dirty names to a dimension: exact, then fuzzy on the distinct unmatched names only.
 
-Candidate pairs come from an equi-join on text pieces rather than a product of the two name lists. A
-score of at least the cutoff bounds the number of edits by some k, and k edits leave at least one of
-k + 1 pieces of the key untouched: that piece must occur in the name, not far from its place. So no
-pair that could reach the cutoff is lost.
+Candidate pairs come from an equi-join on rare character grams rather than a product of the two name lists.
+A score of at least the cutoff bounds the number of edits by some k, and an edit touches q grams of length
+q at most. If both names put their grams in one order, the rarest first, then two names within k edits share
+a gram among the first k q + 1 of each, at places not more than k apart: so only that prefix is joined, and
+no pair that could reach the cutoff is lost. Below a cutoff of one half grams promise nothing; there the
+key is cut into k + 1 pieces, one of which must occur in the name as it is.
 """
 
 from __future__ import annotations
@@ -59,8 +61,60 @@ def _segment(length: Column, k: Column, i: Column) -> tuple[Column, Column]:
     return F.when(whole, start).otherwise(0), F.when(whole, size).otherwise(0)
 
 
+def _gram_size(cutoff: float) -> int:
+    """Longest grams of which the longer of two names keeps one: m + q - 1 grams less q floor((1 - cutoff) m) is at least one."""
+    return 3 if cutoff >= 2 / 3 else 2 if cutoff >= 1 / 2 else 0
+
+
+def _grams(text: Column, size: int) -> Column:
+    """All grams of a text that is padded on both sides, in order."""
+    padded = F.concat(F.lit("\x02" * (size - 1)), text, F.lit("\x03" * (size - 1)))
+    return F.transform(F.sequence(F.lit(1), F.length(text) + size - 1), lambda i: F.substring(padded, i, F.lit(size)))
+
+
+def _prefixes(texts: DataFrame, text: str, often: DataFrame, cutoff: float, size: int) -> DataFrame:
+    """(text, _len, _gram, _at): the rarest grams of each text by their number among the keys, as many as k edits cannot all touch.
+
+    Grams equal to the last one taken are taken too, wherever they are, as ties have no order.
+    """
+    rows = texts.select(text, F.length(text).alias("_len"), F.posexplode(_grams(F.col(text), size)).alias("_at", "_gram"))
+    ranked = rows.join(often, "_gram", "left").groupBy(text, "_len").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("_often", F.lit(0)).alias("o"), F.col("_gram").alias("g"), F.col("_at").alias("at")))).alias("_all"))
+    many = F.least(F.size("_all"), size * _most_damage(F.col("_len"), cutoff) + 1)
+    last = F.element_at("_all", many)
+    taken = F.filter("_all", lambda x: F.struct(x["o"], x["g"]) <= F.struct(last["o"], last["g"]))
+    return ranked.select(text, "_len", F.explode(taken).alias("_x")).select(text, "_len", F.col("_x.g").alias("_gram"), F.col("_x.at").alias("_at"))
+
+
+def gram_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float) -> DataFrame:
+    """Distinct (_name, _key, _k) that share a rare gram not more than _k places apart, are near enough in length, and have
+    as many grams in common as k edits must leave of the longer one.
+    """
+    size = _gram_size(cutoff)
+    left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct()
+    right = dim.select(F.col(key).alias("_key")).filter(F.length("_key") > 0).distinct()
+    often = right.select(F.explode(_grams(F.col("_key"), size)).alias("_gram")).groupBy("_gram").agg(F.count("*").alias("_often"))
+    keys = _prefixes(right, "_key", often, cutoff, size).withColumnsRenamed({"_len": "_lb", "_at": "_bt"})
+    limits = right.agg(F.struct(F.min(F.length("_key")).alias("lo"), F.max(F.length("_key")).alias("hi"))).scalar()
+    low, high = _length_limits(F.length("_name"), cutoff)
+    fitting = left.filter((high >= limits["lo"]) & (low <= limits["hi"]))  # texts that no key is near in length cost nothing
+    found = _prefixes(fitting, "_name", often, cutoff, size).join(keys, "_gram")
+    k = _damage(F.col("_len"), F.col("_lb"), cutoff)
+    near = found.filter((F.abs(F.col("_len") - F.col("_lb")) <= k) & (F.abs(F.col("_at") - F.col("_bt")) <= k))
+    pairs = near.select("_name", "_key", k.alias("_k"), F.greatest("_len", "_lb").alias("_most")).distinct()
+    held = pairs.withColumns({"_gn": _grams(F.col("_name"), size), "_gk": _grams(F.col("_key"), size)})
+    common = F.size(F.filter("_gn", lambda g: F.array_contains("_gk", g)))
+    return held.filter(common >= F.col("_most") + (size - 1) - size * F.col("_k")).select("_name", "_key", "_k")
+
+
 def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float) -> DataFrame:
     """Distinct (name, key) pairs among which every pair at or above the cutoff is found."""
+    pairs = gram_pairs(names, name, dim, key, cutoff) if _gram_size(cutoff) else piece_pairs(names, name, dim, key, cutoff)
+    return pairs.filter(F.levenshtein("_name", "_key") <= F.col("_k")).select("_name", "_key")
+
+
+def piece_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float) -> DataFrame:
+    """The same by pieces of the keys, for any cutoff."""
     left = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct().withColumn("_la", F.length("_name"))
     right = dim.select(F.col(key).alias("_key")).filter(F.length("_key") > 0).distinct().withColumn("_lb", F.length("_key"))
     k, i = F.col("_k"), F.col("_i")
@@ -92,8 +146,7 @@ def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutof
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(k, F.col("_lb")))))
         .withColumn("_at", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
         .select("_name", "_lb", "_k", "_i", F.substring("_name", F.col("_at") + 1, size).alias("_piece")))
-    pairs = probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key", "_k").distinct()
-    return pairs.filter(F.levenshtein("_name", "_key") <= F.col("_k")).select("_name", "_key")
+    return probes.join(pieces, ["_lb", "_k", "_i", "_piece"]).select("_name", "_key", "_k").distinct()
 
 
 def closest(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float = CUTOFF) -> DataFrame:

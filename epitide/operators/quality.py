@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from epitide.model import cols
 
+DEALS = 16  # parts of a domain that a grid meets one by one
+
 
 def continuity(old: DataFrame, new: DataFrame, keys: Sequence[str], date: str, values: str | Sequence[str]) -> DataFrame:
     """Cumulative figures where the first row of a new batch is below the last row of the old one.
@@ -51,9 +53,14 @@ def to_refetch(checked: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def reconcile(parts: DataFrame, totals: DataFrame, keys: Sequence[str], part: str, total: str, low: float, high: float,
-              exceptions: DataFrame | None = None) -> DataFrame:
-    """Keys whose component sum is outside low..high of the published total, apart from known exceptions."""
+              exceptions: DataFrame | Column | None = None) -> DataFrame:
+    """Keys whose component sum is outside low..high of the published total, apart from known exceptions.
+
+    Exceptions are a table of keys, or a condition on the rows of `totals`, which costs no second reading of them.
+    """
     summed = parts.groupBy(*keys).agg(F.sum(part).cast("double").alias("parts"))
+    if isinstance(exceptions, Column):
+        totals, exceptions = totals.filter(~F.coalesce(exceptions, F.lit(False))), None
     out = totals.select(*keys, F.col(total).cast("double").alias("total")).join(summed, list(keys), "left").withColumn(
         "ratio", F.try_divide(F.coalesce("parts", F.lit(0.0)), F.col("total")))
     out = out.filter(~F.coalesce((F.col("ratio") >= low) & (F.col("ratio") <= high), F.lit(False)))
@@ -81,14 +88,16 @@ def extract_differences(a: DataFrame, b: DataFrame, keys: Sequence[str], values:
 def missing_cells(have: DataFrame, domains: Mapping[str, DataFrame]) -> DataFrame:
     """Work list: every combination of the parameter domains that `have` does not hold.
 
-    The first domain may be any list of rows (the entities). The others must be short lists such as
-    calendar days or waves: each is attached as one array and unfolded. Then the cells already there are
-    removed by an anti join.
+    The distinct values of the domains are joined on a spread of DEALS numbers: each entity asks every number once, and
+    each value of a later domain has one, so that the grid is made by all tasks and no list passes through the driver.
+    Then the cells already there are removed by an anti join.
     """
     names = list(domains)
     grid = domains[names[0]].select(names[0]).distinct()
     for n in names[1:]:
-        grid = grid.withColumn(n, F.explode(domains[n].agg(F.collect_set(n)).scalar()))
+        values = domains[n].select(n).distinct().withColumn("_deal", F.pmod(F.xxhash64(n), F.lit(DEALS)))
+        asked = grid.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1)).cast("array<bigint>")))
+        grid = asked.join(values, "_deal").drop("_deal")
     return grid.join(have.select(*names), names, "left_anti")
 
 

@@ -18,6 +18,8 @@ from epitide.model import cols, day_number
 from epitide.operators.merge import latest_wins
 from epitide.sources.stage import settle
 
+MAX_DAYS = 200_000  # days of a grid: five hundred years
+
 
 def _asc(keys, date):
     return Window.partitionBy(*keys).orderBy(date)
@@ -58,12 +60,13 @@ def densify(df: DataFrame, keys: Sequence[str], date: str = "date", fill=None) -
 def densify_grid(df: DataFrame, keys: Sequence[str], date: str = "date", fill=0) -> DataFrame:
     """Every entity on every date that occurs anywhere; missing cells hold `fill`.
 
-    The dates are one array (at most one element per calendar day) attached to the distinct
-    entities, so the grid is an explode of the entity list rather than a product join.
+    The dates are one array (at most one element per calendar day, MAX_DAYS in all, or the query fails) attached to the
+    distinct entities, so the grid is an explode of the entity list rather than a product join.
     """
     rest = [c for c in df.columns if c not in keys and c != date]
     df = settle(df, "grid")
-    dates = df.agg(F.collect_set(date)).scalar()
+    seen = F.collect_set(date)
+    dates = df.agg(F.when(F.size(seen) <= MAX_DAYS, seen).otherwise(F.raise_error(F.lit(f"more than {MAX_DAYS} dates")))).scalar()
     grid = df.select(*keys).distinct().withColumn(date, F.explode(dates))
     joined = grid.join(df, [*keys, date], "left")
     return joined.select(*keys, date, *[F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in rest])

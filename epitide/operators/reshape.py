@@ -59,13 +59,13 @@ def family_rate(df: DataFrame, by: Sequence[str], members: Sequence[str], num: s
 
 # ---- grouping -------------------------------------------------------------------------------
 
-def group_stats(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
-    """sum, count, min, max, mean, last and exact median per key."""
+def group_stats(df: DataFrame, keys: Sequence[str], value: str, order: str, width: float | None = None) -> DataFrame:
+    """sum, count, min, max, mean, last and exact median per key; `width` splits the values of long keys for the median."""
     basic = df.groupBy(*keys).agg(
         F.sum(value).alias("sum"), F.count(value).alias("count"), F.min(value).alias("min"),
         F.max(value).alias("max"), F.avg(value).alias("mean"),
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("last"))
-    return basic.join(exact_quantile(df, keys, value), list(keys), "left")
+    return basic.join(exact_quantile(df, keys, value, width=width), list(keys), "left")
 
 
 def count_crosstab(df: DataFrame, index: Sequence[str], category: str, values: Sequence, prefix: str = "") -> DataFrame:

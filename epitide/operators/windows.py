@@ -111,9 +111,12 @@ def percent_of_peak(df: DataFrame, keys: Sequence[str], date: str = "date", valu
     return smooth.withColumn(out, F.try_divide(F.col(value), peak) * 100).drop(f"{value}_peak")
 
 
-def rank_change(df: DataFrame, entity: str, date: str, value: str, shift: int) -> DataFrame:
-    """Rank among entities per date (ties averaged) and its change against `shift` rows earlier."""
-    ranked = average_rank(df, [date], value, "rank")
+def rank_change(df: DataFrame, entity: str, date: str, value: str, shift: int, width: float | None = None) -> DataFrame:
+    """Rank among entities per date (ties averaged) and its change against `shift` rows earlier.
+
+    `width` splits the values of a date, as in `ordered.running_total`, where a date has very many entities.
+    """
+    ranked = average_rank(df, [date], value, "rank", width)
     return ranked.withColumn("rank_change", F.col("rank") - F.lag("rank", shift).over(_asc([entity], date)))
 
 

@@ -1,6 +1,7 @@
 """Registered queries, grouped by the kind of operator they exercise."""
 
 from epitide.plans import (  # noqa: F401
+    breakdown_queries,
     corpus_queries,
     mart_queries,
     merge_queries,

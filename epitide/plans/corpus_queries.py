@@ -150,20 +150,20 @@ def x4_label(t):
 c AS (SELECT *, CAST(hit <> COALESCE(LAG(hit) OVER (PARTITION BY conv_id ORDER BY turn), false) AS INTEGER) AS change FROM h)
 SELECT conv_id, turn, role, CAST(SUM(change) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS run FROM c""")
 def x5(t):
-    return corpus.runs(t.conversations, ["conv_id"], "turn", F.length("text") > 120).select("conv_id", "turn", "role", "run")
+    return corpus.runs(t.conversations, ["conv_id"], "turn", F.length("text") > 120, width=1000).select("conv_id", "turn", "role", "run")
 
 
 @query("x5_pairs", """WITH p AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations)
 SELECT conv_id, CAST(i // 2 AS BIGINT) AS pair, arg_min(text, i) AS first, arg_max(text, i) AS second FROM p GROUP BY conv_id, i // 2 HAVING COUNT(*) = 2""")
 def x5_pairs(t):
-    return corpus.pairs(t.conversations, ["conv_id"], "turn", "text")
+    return corpus.pairs(t.conversations, ["conv_id"], "turn", "text", width=1000)
 
 
 @query("x6_threads", """WITH f AS (SELECT conv_id, role, text, MIN(turn) AS first_turn FROM conversations WHERE contains(text, ' the ') OR contains(text, ' de ') OR contains(text, ' die ') GROUP BY 1, 2, 3)
 SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id, role ORDER BY first_turn) AS part, text FROM f""")
 def x6(t):
     wanted = F.col("text").contains(" the ") | F.col("text").contains(" de ") | F.col("text").contains(" die ")
-    return corpus.threads(t.conversations, ["conv_id", "role"], "turn", "text", wanted)
+    return corpus.threads(t.conversations, ["conv_id", "role"], "turn", "text", wanted, width=1000)
 
 
 # ---- X7 - X13: report texts written from the orders -------------------------------------------------
@@ -217,7 +217,7 @@ SELECT entity, MIN(age) AS age_min, MAX(age) AS age_max, MEDIAN(age) AS age_medi
 def x10(t):
     people = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("entity"), F.col("c_mktsegment").alias("segment"), F.floor(F.col("c_acctbal") / 100).cast("int").alias("age"))
-    return corpus.people_summary(people, ["entity"], "age", "segment", "HOUSEHOLD", "BUILDING")
+    return corpus.people_summary(people, ["entity"], "age", "segment", "HOUSEHOLD", "BUILDING", width=10)
 
 
 @query("x11_resolved_tokens", """WITH s AS (SELECT c_custkey, n_name AS a, 'NATION_' || (c_custkey % 25) AS b FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'BUILDING')
@@ -231,11 +231,11 @@ def x11(t):
 
 
 # Fixed dictionary of the example: category and its spellings.
-DICTIONARY = {"hypertension": ["Hypertension", "HT"], "diabetes": ["Diabetes", "DM"], "kidney": ["Kidney disease"]}
+DICTIONARY = {"engine": ["Engine fault", "EF"], "paint": ["Paintwork", "PW"], "glass": ["Cracked glass"]}
 
 
 @query("x12_dictionary_counts", f"""WITH {inputs.PLACED}, r AS (SELECT date, COUNT(*) AS total, COUNT(*) FILTER (segment = 'BUILDING') AS a, COUNT(*) FILTER (segment = 'MACHINERY') + CASE WHEN day(date) = 7 THEN 100 ELSE 0 END AS b, COUNT(*) FILTER (segment = 'FURNITURE') AS c FROM placed GROUP BY 1)
-SELECT date, a AS hypertension, CASE WHEN b <= total THEN b END AS diabetes, CASE WHEN day(date) <> 9 THEN c END AS kidney FROM r""")
+SELECT date, a AS engine, CASE WHEN b <= total THEN b END AS paint, CASE WHEN day(date) <> 9 THEN c END AS glass FROM r""")
 def x12(t):
     def count(seg):
         return F.count(F.when(F.col("segment") == seg, 1))
@@ -244,11 +244,25 @@ def x12(t):
         F.count("*").alias("total"), count("BUILDING").alias("a"), count("MACHINERY").alias("b"), count("FURNITURE").alias("c"))
     day = F.dayofmonth("date")
     text = F.concat(
-        F.lit("• "), F.when(day % 2 == 0, F.lit("Hypertension")).otherwise(F.lit("HT")), F.lit(" ("), F.col("a").cast("string"), F.lit(") • DM ("),
-        (F.col("b") + F.when(day == 7, 100).otherwise(0)).cast("string"), F.lit(") • Kidney disease ("), F.col("c").cast("string"), F.when(day == 9, F.lit(" ")).otherwise(")"))
+        F.lit("• "), F.when(day % 2 == 0, F.lit("Engine fault")).otherwise(F.lit("EF")), F.lit(" ("), F.col("a").cast("string"), F.lit(") • PW ("),
+        (F.col("b") + F.when(day == 7, 100).otherwise(0)).cast("string"), F.lit(") • Cracked glass ("), F.col("c").cast("string"), F.when(day == 9, F.lit(" ")).otherwise(")"))
     return corpus.dictionary_counts(r.select("date", "total", text.alias("text")), ["date"], "text", "total", DICTIONARY)
 
 
+@query("x12_dictionary_table", """SELECT l_orderkey AS o_orderkey, p_type AS category, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS value, COUNT(*) AS hits
+FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey % 7 <> 0 GROUP BY 1, 2""")
+def x12_table(t):
+    """A spelling for every part; reports name the parts of an order with their numbers, in capitals or not, some unclosed."""
+    spelling = F.concat("p_name", F.lit(" mk"), F.col("p_partkey").cast("string"))
+    dictionary = t.part.select(spelling.alias("spelling"), F.col("p_type").alias("category"))
+    line = F.concat(F.when(F.col("l_linenumber") % 2 == 0, F.upper(spelling)).otherwise(spelling), F.lit(", as counted ("), F.format_number(F.col("l_quantity"), 0))
+    mark = F.when(F.col("l_orderkey") % 7 != 0, ") • ").otherwise(" • ")
+    items = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.concat(line, mark).alias("line"))
+    reports = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_join(F.collect_list("line"), "").alias("text"))
+    return corpus.dictionary_numbers(reports, ["o_orderkey"], "text", dictionary, "spelling", "category").groupBy("o_orderkey", "category").agg(
+        F.sum("value").alias("value"), F.count("*").alias("hits"))
+
+
 # Fixed layouts of the example: table kind, how many numbers, position, metric.
 LAYOUTS = [("given", 3, 0, "dose 1"), ("given", 3, 1, "dose 2"), ("given", 3, 2, "dose 3"), ("alloc", 2, 0, "allocated"), ("alloc", 2, 1, "used")]
 

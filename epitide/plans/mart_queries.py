@@ -39,9 +39,7 @@ u AS (SELECT *, greatest(total - ({' + '.join(f'"{x}"' for x in _KNOWN)}), 0) AS
 m AS (SELECT date, {', '.join(f'{_MA.format(chr(34) + x + chr(34))} AS "{x}"' for x in [*_KNOWN, 'unknown'])} FROM u WINDOW w AS (ORDER BY date {CENTRE7}))
 SELECT date, {', '.join(f'round("{x}", 6) AS "{x}", round("{x}" / NULLIF({" + ".join(f"{chr(34)}{y}{chr(34)}" for y in [*_KNOWN, "unknown"])}, 0) * 100, 6) AS "{x} (%)"' for x in [*_KNOWN, 'unknown'])} FROM m""")
 def cases_by_type(t):
-    orders = inputs.placed_orders(t)
-    known = reshape.count_crosstab(orders, ["date"], "type", _KNOWN)
-    table = known.join(orders.groupBy("date").agg(F.count("*").alias("total")), "date", "right").fillna(0)
+    table = inputs.placed_orders(t).groupBy("date").agg(*[F.count_if(F.col("type") == x).alias(x) for x in _KNOWN], F.count("*").alias("total"))
     table = table.withColumn("unknown", clip(subtract("total", row_sum([F.col(f"`{x}`") for x in _KNOWN])), 0.0))
     cols = [*_KNOWN, "unknown"]
     w = windows.frame(["series"], "date", 7, True)

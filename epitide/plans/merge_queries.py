@@ -12,6 +12,7 @@ from epitide.operators import merge, repair
 from epitide.operators.windows import moving_average
 from epitide.plans import inputs, sqltext
 from epitide.plans.registry import query
+from epitide.sources.stage import settle
 
 
 # ---- flagship ---------------------------------------------------------------------------------
@@ -40,9 +41,12 @@ FROM ma JOIN pop USING (region)"""
 
 @query("flagship_regional_rates", FLAGSHIP_SQL)
 def flagship(t):
-    """Daily, cumulative and weekly sources -> repaired, merged, rolled up, smoothed, per capita."""
-    cells = inputs.placed_orders(t).groupBy("entity", "status", "date").agg(
-        F.sum("amount").cast("double").alias("value"))
+    """Daily, cumulative and weekly sources -> repaired, merged, rolled up, smoothed, per capita.
+
+    The facts are scanned once: what the three sources need of them is one row per place, source and day.
+    """
+    cells = settle(inputs.placed_orders(t).groupBy("entity", "status", "date").agg(
+        F.sum("amount").cast("double").alias("value")), "cells")
     direct = cells.filter("status = 'F'").select("entity", "date", "value")
     running = F.sum("value").over(
         Window.partitionBy("entity").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
@@ -79,7 +83,7 @@ FROM (SELECT * FROM s WHERE source = 'F') f
 FULL JOIN (SELECT * FROM s WHERE source = 'O') o USING (entity, date, metric)
 FULL JOIN (SELECT * FROM s WHERE source = 'P') p USING (entity, date, metric)""")
 def p1(t):
-    return merge.priority_merge(inputs.published(t), ["entity", "date", "metric"], prio=_prio())
+    return merge.priority_merge(inputs.published(t), ["entity", "date", "metric"], prio=_prio(), levels=(0, 1, 2))
 
 
 @query("p1_combine_first_wide", f"""WITH {inputs.PUBLISHED},
@@ -106,7 +110,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY entity, date, metric ORDER BY va
 SELECT entity, date, metric, value, CASE WHEN value IS NOT NULL THEN source END AS value_source FROM r WHERE rn = 1""")
 def p2(t):
     return merge.priority_merge(
-        inputs.published(t), ["entity", "date", "metric"], prio=_prio(), provenance="source")
+        inputs.published(t), ["entity", "date", "metric"], prio=_prio(), provenance="source", levels=dict(enumerate(inputs.SOURCES_IN_ORDER)))
 
 
 @query("p3_latest_file_wins", """SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS date

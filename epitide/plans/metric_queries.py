@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from epitide.functions.calendar import month_end
 from epitide.functions.scalar import ratio, row_sum, trend_arrow
 from epitide.model import inline_table
-from epitide.operators import alloc, epi, forecast, rank, repair, reshape, windows
+from epitide.operators import alloc, epi, forecast, rank, repair, reshape, sketches, windows
 from epitide.plans import inputs, sqltext
 from epitide.plans.inputs import r6
 from epitide.plans.registry import query
 from epitide.plans.reshape_queries import _band_sql
+from epitide.sources.stage import settle
 
 W = "PARTITION BY entity ORDER BY date"
 SMOOTH7 = "ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"
@@ -284,10 +286,11 @@ SELECT ex.{key}, ex.date, round(deaths_month - known, 6) AS without_cause, round
 
 
 def _expected(t, key, baseline):
-    cube = inputs.cube(t)
-    from epitide.functions.calendar import month_end
-    known = cube.filter("gender = 'F'").groupBy(key, month_end("year", "month").alias("date")).agg((F.sum("deaths") / 4).alias("known"))
-    return epi.expected(_excess(t, [key]), known, [key], "deaths", "known", baseline).select(
+    """The facts are read once: both sides need the deaths of each key and month, in all and of the known cause."""
+    months = settle(inputs.cube(t).groupBy(key, "year", "month").agg(
+        F.sum("deaths").alias("deaths"), (F.sum(F.when(F.col("gender") == "F", F.col("deaths"))) / 4).alias("known")), "months")
+    known = months.select(key, month_end("year", "month").alias("date"), "known")
+    return epi.expected(epi.excess(months, [key], "deaths", YEARS, START, SHORT, LONG), known, [key], "deaths", "known", baseline).select(
         key, "date", *[r6(c).alias(c) for c in ("without_cause", "expected", "deviation")])
 
 
@@ -313,6 +316,53 @@ def r14_age(t):
         "band", "date", r6("excess").alias("excess"), r6("p_score").alias("p_score"))
 
 
+_GROUPINGS = {"region": ["region"], "place": ["entity"], "band": ["band"], "band by region": ["band", "region"]}
+
+
+def _groupings_sql() -> str:
+    """The excess of every grouping by itself, one after the other."""
+    ctes, reads = [], []
+    for i, (name, keys) in enumerate(_GROUPINGS.items()):
+        part = _excess_sql(", ".join(keys)).replace("mm AS", f"mm{i} AS").replace("bl AS", f"bl{i} AS").replace("ex AS", f"ex{i} AS")
+        ctes.append(part.replace("FROM mm ", f"FROM mm{i} mm ").replace("JOIN bl ", f"JOIN bl{i} bl "))
+        columns = ", ".join(c if c in keys else f"NULL AS {c}" for c in ("region", "entity", "band"))
+        reads.append(f"SELECT '{name}' AS grouping, {columns}, date, round(excess, 6) AS excess, round(p_score, 6) AS p_score FROM ex{i}")
+    return f"WITH {_BAND_CUBE}, {', '.join(ctes)} {' UNION ALL '.join(reads)}"
+
+
+@query("r14_excess_all_groupings", _groupings_sql())
+def r14_all(t):
+    """Groupings that do not nest, with baselines of their own, from one scan of the facts."""
+    banded = inputs.cube(t).withColumn("band", reshape.band("age", _CUBE_BANDS))
+    return epi.excess_over(banded, _GROUPINGS, "deaths", YEARS, START, SHORT, LONG).select(
+        "grouping", "region", "entity", "band", "date", r6("excess").alias("excess"), r6("p_score").alias("p_score"))
+
+
+# ---- quantiles from sketches ----------------------------------------------------------------------
+
+@query("a1_sketch_quantiles", f"""WITH {inputs.PLACED} SELECT entity, CAST(year(date) AS INTEGER) AS year, COUNT(*) AS n, true AS median_near, true AS upper_near FROM placed GROUP BY 1, 2""")
+def a1_sketches(t):
+    """Yearly quantiles merged from one sketch per place and day, and whether their true ranks are within 3 per cent."""
+    rows = inputs.placed_orders(t).select("entity", "date", "amount")
+    days = settle(sketches.day_sketches(rows, ["entity"], "date", "amount"), "sketches")
+    found = sketches.merged(days, ["entity", F.year("date").alias("year")], {"median": 0.5, "upper": 0.9})
+    placed = rows.withColumn("year", F.year("date")).join(found, ["entity", "year"])
+
+    def near(name, q):
+        below, upto = F.count_if(F.col("amount") < F.col(name)), F.count_if(F.col("amount") <= F.col(name))
+        return ((below <= (q + 0.03) * F.count("*") + 1) & (upto >= (q - 0.03) * F.count("*") - 1)).alias(f"{name}_near")
+
+    return placed.groupBy("entity", "year").agg(F.first("n").alias("n"), near("median", 0.5), near("upper", 0.9))
+
+
+@query("t13_sketch_windows", f"""WITH {inputs.PLACED}, days AS (SELECT DISTINCT region, date FROM placed)
+SELECT d.region, d.date, COUNT(*) AS n FROM days d JOIN placed p ON p.region = d.region AND p.date BETWEEN d.date - 29 AND d.date GROUP BY 1, 2""")
+def t13_sketches(t):
+    """Orders behind the quantiles of every moving month, merged from daily sketches; the facts are read once."""
+    days = sketches.day_sketches(inputs.placed_orders(t), ["region"], "date", "amount")
+    return sketches.moving(settle(days, "sketches"), ["region"], "date", 30, {"median": 0.5}).filter("median IS NOT NULL").select("region", "date", "n")
+
+
 @query("r15_month_by_year", f"""WITH {inputs.CUBE} SELECT month, {', '.join(f'SUM(deaths) FILTER (year = {y}) AS "{y}"' for y in YEARS)} FROM cube GROUP BY 1""")
 def r15(t):
     return reshape.value_crosstab(inputs.cube(t), ["month"], "year", YEARS, "deaths")
@@ -366,8 +416,8 @@ mg AS (SELECT grp, date, COALESCE(d.share, c.share) AS share FROM (SELECT * FROM
 SELECT grp, date, round(COALESCE(share, pv), 6) AS share, nat.n, round(COALESCE(share, pv) * nat.n, 6) AS estimate FROM filled JOIN nat USING (date)""")
 def r18(t):
     from epitide.functions.calendar import week_bucket
-    samples = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(
-        week_bucket(F.to_date("l_shipdate")).alias("date"), F.col("p_type").alias("lineage"), F.col("l_linestatus").alias("lab")).agg(F.count("*").alias("n"))
+    samples = settle(t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(
+        week_bucket(F.to_date("l_shipdate")).alias("date"), F.col("p_type").alias("lineage"), F.col("l_linestatus").alias("lab")).agg(F.count("*").alias("n")), "samples")
     detailed = epi.variant_shares(samples.filter("lab = 'O'").drop("lab"), "date", "lineage", "n", _LINEAGES, 90)
     coarse = epi.variant_shares(samples.filter("lab = 'F'").drop("lab"), "date", "lineage", "n", _LINEAGES, 90)
     counts = inputs.national(t).select("date", "n")
@@ -383,7 +433,7 @@ _LAST = "WHERE date = (SELECT MAX(date) FROM sm7 WHERE ma IS NOT NULL)"
 
 
 def _trend(t, style):
-    out = epi.trend_table(grid(t), "entity", "date", "n", inputs.places(t), style)
+    out = epi.trend_table(grid(t), "entity", "date", "n", inputs.places(t), style, width=100.0)
     return out.withColumns({"ma": r6("ma"), "trend": r6("trend")})
 
 

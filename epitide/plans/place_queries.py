@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from epitide.functions import calendar as cal
 from epitide.model import inline_table
-from epitide.operators import places
+from epitide.operators import places, temporal
 from epitide.plans import inputs
 from epitide.plans.registry import query
 from epitide.sources.stage import settle
@@ -186,3 +186,44 @@ SELECT entity, CAST(unnest(generate_series(date - 6, date, INTERVAL 1 DAY)) AS D
 def j9(t):
     spans = inputs.weekly(t).select("entity", F.date_sub("date", 6).alias("start"), F.col("date").alias("stop"), "value")
     return cal.spread_evenly(spans, "start", "stop", ["value"]).select("entity", "date", inputs.r6("value").alias("value"))
+
+
+# ---- joins to tables with validity ----------------------------------------------------------------
+
+_HISTORY = f"""{inputs.DAILY}, history AS (SELECT entity, date, value, n FROM daily WHERE n > 1 OR day(date) <= 10)"""
+
+
+def history(t):
+    """Figures of a place that hold until the next ones."""
+    return inputs.daily(t).filter("n > 1 OR day(date) <= 10").select("entity", F.col("date").alias("since"), "value", "n")
+
+
+@query("j9_as_of_history", f"""WITH {_HISTORY}, facts AS (SELECT l_orderkey, l_partkey, CAST(l_shipdate AS DATE) AS shipped, n_name AS entity FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
+SELECT f.l_orderkey, f.l_partkey, f.shipped, f.entity, h.value, h.n FROM facts f ASOF LEFT JOIN history h ON f.entity = h.entity AND f.shipped >= h.date""")
+def j9_as_of(t):
+    """Every line item with its supplier's place's figures in force when it was shipped."""
+    facts = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("shipped"), F.col("n_name").alias("entity"))
+    return temporal.as_of(facts, history(t), ["entity"], "shipped", "since", ["value", "n"], width=366)
+
+
+@query("j9_open_intervals", """WITH i AS (SELECT o_orderpriority AS type, CAST(o_orderdate AS DATE) AS a, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 45 AS INTEGER) END AS b FROM orders),
+days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)
+SELECT date, type, COUNT(*) AS open FROM days JOIN i ON date >= a AND (b IS NULL OR date <= b) GROUP BY 1, 2""")
+def j9_open(t):
+    """How many orders are open on each day; some are never closed."""
+    start = F.to_date("o_orderdate")
+    spans = t.orders.select(F.col("o_orderpriority").alias("type"), start.alias("opened"),
+                            F.when(F.col("o_orderkey") % 50 != 0, F.date_add(start, (F.col("o_orderkey") % 45).cast("int"))).alias("closed"))
+    days = t.orders.select(start.alias("date")).distinct()
+    return temporal.interval_join(days, spans, "date", "opened", "closed").groupBy("date", "type").agg(F.count("*").alias("open"))
+
+
+@query("a7_bands_from_table", """WITH b AS (SELECT p_brand AS brand, p_partkey AS band, p_size AS lo, p_size + p_partkey % 9 AS hi FROM part WHERE p_partkey % 5 = 0)
+SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, band FROM lineitem JOIN part ON l_partkey = p_partkey JOIN b ON brand = p_brand AND l_quantity BETWEEN lo AND hi""")
+def a7_bands(t):
+    """Quantities in the bands of their brand; bands are rows of a table and may overlap."""
+    bands = t.part.filter("p_partkey % 5 = 0").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("band"), F.col("p_size").alias("lo"),
+                                                    (F.col("p_size") + F.col("p_partkey") % 9).alias("hi"))
+    facts = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", F.col("p_brand").alias("brand"))
+    return temporal.interval_join(facts, bands, "l_quantity", "lo", "hi", ["brand"]).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "band")

@@ -60,9 +60,8 @@ SELECT o_orderkey, total, parts, round(ratio, 6) AS ratio FROM r WHERE NOT COALE
   AND o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""")
 def q3(t):
     parts = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), inputs.units("l_extendedprice").alias("part"))
-    totals = t.orders.select("o_orderkey", inputs.units("o_totalprice").alias("price"))
-    known = t.orders.filter("o_orderstatus = 'P'").select("o_orderkey")
-    return quality.reconcile(parts, totals, ["o_orderkey"], "part", "price", 0.77, 1.3, known).withColumn("ratio", r6("ratio"))
+    totals = t.orders.select("o_orderkey", inputs.units("o_totalprice").alias("price"), "o_orderstatus")
+    return quality.reconcile(parts, totals, ["o_orderkey"], "part", "price", 0.77, 1.3, F.col("o_orderstatus") == "P").withColumn("ratio", r6("ratio"))
 
 
 @query("q4_incomplete_periods", f"""WITH {inputs.CUBE}, m AS (SELECT year, month, COUNT(*) AS rows, SUM(deaths) AS total FROM cube GROUP BY 1, 2)

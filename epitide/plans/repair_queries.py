@@ -230,7 +230,7 @@ r AS (SELECT entity, date, n, rank() OVER (PARTITION BY date ORDER BY n) + (COUN
 SELECT entity, date, n, CAST(rank AS DOUBLE) AS rank, CAST(rank - LAG(rank, 4) OVER ({W}) AS DOUBLE) AS rank_change FROM r""")
 def t22(t):
     df = inputs.daily(t).select("entity", "date", "n")
-    return windows.rank_change(df, "entity", "date", "n", 4).select(
+    return windows.rank_change(df, "entity", "date", "n", 4, width=1000).select(
         "entity", "date", "n", F.col("rank").cast("double").alias("rank"), F.col("rank_change").cast("double").alias("rank_change"))
 
 

@@ -27,7 +27,7 @@ def _pivot_sql(col, values, agg, prefix="", suffix=""):
 SELECT entity, SUM(value) AS sum, COUNT(value) AS count, MIN(value) AS min, MAX(value) AS max, round(AVG(value), 6) AS mean,
   arg_max(value, date) AS last, MEDIAN(value) AS median FROM daily GROUP BY 1""")
 def a1(t):
-    return reshape.group_stats(inputs.daily(t).select("entity", "date", "value"), ["entity"], "value", "date").withColumn("mean", r6("mean"))
+    return reshape.group_stats(inputs.daily(t).select("entity", "date", "value"), ["entity"], "value", "date", width=100_000).withColumn("mean", r6("mean"))
 
 
 @query("a1_exact_quantiles", """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.25) AS lower

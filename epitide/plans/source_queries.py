@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from epitide.model import inline_table
+from epitide.operators import repair
 from epitide.operators.merge import append_distinct
-from epitide.plans import inputs
+from epitide.plans import inputs, sqltext
 from epitide.plans.registry import query
-from epitide.sources import io
+from epitide.sources import bucketed, io, panel
+from epitide.sources.stage import settle
 from epitide.streaming import incremental
 
 
@@ -37,6 +40,23 @@ def s2_store(t):
     return t.spark.read.schema("entity string, date date, value double, year int").parquet(path)
 
 
+BUCKETS = 8
+
+
+@query("s2_bucketed_panel", f"""WITH {inputs.DAILY}, cum0 AS (SELECT entity, date, CAST(SUM(value) OVER (PARTITION BY entity ORDER BY date) AS DOUBLE) AS total, value AS own FROM daily),
+cum AS (SELECT entity, date, CASE WHEN year(date) = 1999 THEN total + 5 ELSE total END AS value FROM cum0), {sqltext.undipped('cum', 'value')}, {sqltext.dense('undipped', 'value')}, {sqltext.interpolated('dense', 'value')}
+SELECT entity, date, round(value - LAG(value) OVER (PARTITION BY entity ORDER BY date), 4) AS value FROM filled""")
+def s2_buckets(t):
+    """Cumulative figures in buckets; a batch of corrections merged in place; repaired from the buckets."""
+    w = Window.partitionBy("entity").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    cum = inputs.daily(t).select("entity", "date", F.sum("value").over(w).alias("value"))
+    first = t.spark.table(bucketed.write_buckets(cum, ["entity"], "date", BUCKETS))
+    batch = first.filter("year(date) = 1999").withColumn("value", F.col("value") + 5)
+    merged = bucketed.merge_batch(first, batch, ["entity"], "date", ["value"], BUCKETS)
+    second = t.spark.table(bucketed.write_buckets(merged, ["entity"], "date", BUCKETS))
+    return repair.cumulative_to_daily(second, ["entity"]).withColumn("value", F.round("value", 4))
+
+
 @query("s3_json_records", """SELECT event_id AS "Id", CAST(ts AS DATE) AS "Date", CAST(json_extract(props, '$.k') AS BIGINT) AS "Cases" FROM events""")
 def s3(t):
     folder = io.work_folder(t.spark, "s3")
@@ -131,6 +151,108 @@ def s7_stream(t):
     return incremental.current_panel(t.spark, f"{folder}/store", ["entity", "date"], ["value", "cases"])
 
 
+_STREAMED = f"""WITH {inputs.PUBLISHED}, w AS (SELECT entity, date, source, MAX(value) FILTER (metric = 'value') AS value, MAX(value) FILTER (metric = 'cases') AS cases FROM published GROUP BY 1, 2, 3)"""
+
+
+def arrivals(t):
+    """One wide table of each source, in the order in which they arrive."""
+    wide = inputs.published(t).groupBy("entity", "date", "source").pivot("metric", ["value", "cases"]).agg(F.max("value"))
+    wide = settle(wide, "arrivals")
+    return [(s, wide.filter(F.col("source") == s).drop("source")) for s in inputs.SOURCES_IN_ORDER]
+
+
+def store(folder, schema):
+    return panel.Panel(folder, schema, ("entity", "date"), ("value", "cases"), F.date_format("date", "yyyy-MM"))
+
+
+@query("s7_merged_panel", f"""{_STREAMED}
+SELECT entity, date, COALESCE(p.value, o.value, f.value) AS value, COALESCE(p.cases, o.cases, f.cases) AS cases FROM (SELECT * FROM w WHERE source = 'F') f FULL JOIN (SELECT * FROM w WHERE source = 'O') o USING (entity, date)
+FULL JOIN (SELECT * FROM w WHERE source = 'P') p USING (entity, date)""")
+def s7_merged(t):
+    """Three batches of files merged into a stored panel by a stream; a start without new files changes nothing."""
+    folder, kept = io.work_folder(t.spark, "s7m"), None
+    for _, arrived in arrivals(t):
+        arrived.write.mode("append").parquet(f"{folder}/in")
+        kept = kept or store(f"{folder}/panel", arrived.schema)
+        for _ in range(2):
+            incremental.merge_new_files(t.spark, f"{folder}/in", kept, f"{folder}/checkpoint")
+    return kept.read(t.spark)
+
+
+@query("s7_late_batch", f"""{_STREAMED}, m AS (SELECT DISTINCT source, strftime(date, '%Y-%m') AS part FROM w WHERE source = 'F' OR (source = 'O' AND month(date) = 3))
+SELECT CAST(v AS BIGINT) AS version, part, CAST(MAX(CASE WHEN source = 'O' AND v = 2 THEN 2 WHEN source = 'F' THEN 1 END) AS BIGINT) AS written
+FROM m, (VALUES (1), (2)) x(v) GROUP BY 1, 2 HAVING written IS NOT NULL""")
+def s7_late(t):
+    """What each version reads where: a batch of corrections to every March rewrites those months only; run again, nothing."""
+    folder = io.work_folder(t.spark, "s7l")
+    (_, first), (_, second), _ = arrivals(t)
+    kept = store(folder, first.schema)
+    kept.merge(first, "first")
+    for _ in range(2):
+        kept.merge(second.filter("month(date) = 3"), "corrections")
+    return kept.history(t.spark)
+
+
+@query("s7_repeated_arrivals", """SELECT CAST(ts AS DATE) AS date, event_type, COUNT(*) AS n, CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1, 2""")
+def s7_repeated(t):
+    """Events arrive in three batches out of order, many of them twice or three times; each counts once."""
+    folder = io.work_folder(t.spark, "s7d")
+    events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    for k in range(3):
+        events.filter((F.col("event_id") % 3 == k) | (F.col("event_id") % 7 <= k)).orderBy(F.xxhash64("event_id")).write.mode("append").parquet(f"{folder}/in")
+        incremental.load_new_files(t.spark, f"{folder}/in", events.schema, f"{folder}/store", f"{folder}/checkpoint",
+                                   identity=["event_id"], event_time="ts", delay="60 days")
+    return t.spark.read.schema(events.schema).parquet(f"{folder}/store").groupBy(F.to_date("ts").alias("date"), "event_type").agg(
+        F.count("*").alias("n"), F.sum("cents").alias("cents"))
+
+
+@query("s7_audited_panel", f"""WITH {inputs.DAILY}
+SELECT entity, date, CASE WHEN year(date) = 1997 THEN value + 1 ELSE value END AS value, CAST(n AS DOUBLE) AS cases FROM daily""")
+def s7_audited(t):
+    """Write, audit, publish: the second batch lowers published figures, is refused, and leaves the panel as it was."""
+    folder = io.work_folder(t.spark, "s7a")
+    days = settle(inputs.daily(t).select("entity", "date", "value", F.col("n").cast("double").alias("cases")), "days")
+    kept = store(folder, days.schema)
+    checks = {"not falling": panel.continuous("value"), "keys once": panel.single_rows(), "bounds": panel.none_of(F.col("cases") < 0),
+              "shares": panel.reconciled(F.col("cases"), F.col("value"), 0, 1)}
+    early, year = days.filter("date < DATE '1998-01-01'"), days.filter("year(date) = 1997")
+    kept.merge(early, "early", checks)
+    try:
+        kept.merge(year.withColumn("value", F.col("value") - 1), "lower", checks)
+    except panel.Refused as refused:
+        assert refused.broken == ["not falling"], refused
+    else:
+        raise AssertionError("a batch that lowers published figures was published")
+    kept.merge(year.withColumn("value", F.col("value") + 1), "higher", checks)
+    kept.merge(days.filter("date >= DATE '1998-01-01'"), "late", checks)
+    return kept.read(t.spark)
+
+
+def open_payloads(t):
+    """JSON per customer with a field that only some have, one of another type, and texts that are no JSON."""
+    k = F.col("c_custkey")
+    body = F.to_json(F.struct(F.col("c_mktsegment").alias("segment"), k.alias("beds"), F.when(k % 3 == 0, k * 2).alias("tents"),
+                              F.when(k % 4 == 0, F.lit(1.5)).alias("rate"), F.when(k % 5 == 0, F.lit("n/a")).alias("note")))
+    return t.customer.select("c_custkey", F.when(k % 11 == 0, "{broken").otherwise(body).alias("payload"))
+
+
+@query("s4_open_payload", """SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 11 <> 0 THEN c_custkey END AS beds FROM customer""")
+def s4_open(t):
+    """Known fields typed, out of a stored table that holds the whole payloads as VARIANT."""
+    folder = io.work_folder(t.spark, "s4o")
+    io.open_payload(open_payloads(t), "payload", ["c_custkey"], {"segment": "string", "beds": "bigint"}).write.parquet(folder)
+    return t.spark.read.parquet(folder).select("c_custkey", "segment", "beds")
+
+
+@query("s4_unknown_metrics", """SELECT c_custkey, metric, CAST(value AS DOUBLE) AS value FROM (
+  SELECT c_custkey, 'tents' AS metric, c_custkey * 2 AS value FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 11 <> 0
+  UNION ALL SELECT c_custkey, 'rate', 1.5 FROM customer WHERE c_custkey % 4 = 0 AND c_custkey % 11 <> 0)""")
+def s4_unknown(t):
+    """Numbers that the schema does not know come out as metrics."""
+    rows = io.open_payload(open_payloads(t), "payload", ["c_custkey"], {"segment": "string", "beds": "bigint"})
+    return io.other_metrics(rows, ["c_custkey"], ["segment", "beds"])
+
+
 @query("s8_yearly_location", f"""WITH {inputs.DAILY} SELECT DISTINCT date, value, n FROM daily WHERE entity = 'NATION_7'""")
 def s8(t):
     folder = io.work_folder(t.spark, "s8") + "/years"

@@ -64,6 +64,25 @@ def flatten_ages(df: DataFrame, payload: str, keys: Sequence[str], prefix: str =
     return fields.filter(age != "").select(*keys, age.cast("int").alias("age"), out)
 
 
+def open_payload(df: DataFrame, payload: str, keys: Sequence[str], known: Mapping[str, str], rest: str = "rest") -> DataFrame:
+    """(keys, <known fields, typed>, rest): a JSON text as a VARIANT column beside the fields the schema knows.
+
+    Nothing is lost to a schema: `rest` holds the whole payload, null where the text is no JSON, and can be stored as it is.
+    A field that is absent, or does not fit its type, is null.
+    """
+    parsed = df.select(*keys, F.try_parse_json(payload).alias(rest))
+    typed = [F.try_variant_get(rest, f"$.{name}", kind).alias(name) for name, kind in known.items()]
+    return parsed.select(*keys, *typed, rest)
+
+
+def other_metrics(df: DataFrame, keys: Sequence[str], known: Sequence[str], rest: str = "rest") -> DataFrame:
+    """(keys, metric, value): every number at the top of a payload that is not among the known fields."""
+    cells = df.select(*keys, rest).lateralJoin(df.sparkSession.tvf.variant_explode(F.col(rest).outer()))
+    number = F.try_variant_get("value", "$", "double")
+    return cells.select(*keys, F.col("key").alias("metric"), number.alias("value")).filter(
+        F.col("metric").isNotNull() & ~F.col("metric").isin(*known) & F.col("value").isNotNull())
+
+
 # ---- file sets ----------------------------------------------------------------------------------------
 
 def read_dated_files(spark: SparkSession, path: str, schema: str, form: str = "parquet") -> DataFrame:
