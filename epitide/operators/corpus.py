@@ -28,6 +28,8 @@ SHORT_MONTHS = ["ม.ค.", "ก.พ.", "มี.ค.", "เม.ย.", "พ.ค."
 
 # ---- dates in text ------------------------------------------------------------------------------
 
+MAX_MONTH_NAMES = 500
+
 
 def month_names(spark, full: Sequence[str] = FULL_MONTHS, short: Sequence[str] = SHORT_MONTHS) -> DataFrame:
     """(name, month, start): names to be matched closely, and their unambiguous starts, which must be met exactly."""
@@ -41,14 +43,21 @@ def month_names(spark, full: Sequence[str] = FULL_MONTHS, short: Sequence[str] =
     return inline_table(spark, "name string, month int, start boolean", [(*n, False) for n in names] + short_forms)
 
 
-def _resolve_months(df: DataFrame, word: str, months: DataFrame, cutoff: float, out: str) -> DataFrame:
-    """Month number of a possibly misspelt or shortened month word, looked up once per distinct word."""
-    names = months.filter(~F.col("start"))
-    close = places.resolve(df, names, word, "name", cutoff).join(
-        names.select(F.col("name").alias("match"), F.col("month").alias("_close")), "match", "left").select(word, "_close")
-    starts = months.filter("start").select(F.col("name").alias(word), F.col("month").alias("_start"))
-    numbers = close.join(starts, word, "left").select(word, F.coalesce("_close", "_start").alias(out))
-    return df.join(numbers, word, "left")
+def month_numbers(words: DataFrame, word: str, months: DataFrame, cutoff: float) -> DataFrame:
+    """(word, month): the month each distinct word names, though misspelt or shortened; words that name none are left out.
+
+    The list of names is part of the plan and short, so it is unfolded beside each distinct word.
+    """
+    names = months.limit(MAX_MONTH_NAMES + 1).collect()
+    if len(names) > MAX_MONTH_NAMES:
+        raise ValueError(f"more than {MAX_MONTH_NAMES} month names")
+    listed = F.array(*[F.struct(F.lit(r["name"]).alias("name"), F.lit(r["month"]).alias("month"), F.lit(r["start"]).alias("start")) for r in names])
+    pairs = words.select(word).filter(F.col(word).isNotNull()).distinct().select(word, F.explode(listed).alias("_m")).select(word, "_m.*")
+    near = places.edit_similarity(F.col(word), F.col("name"))
+    # A start counts if it is the very word, and less than any name that is near enough.
+    scored = pairs.withColumn("_score", F.when(F.col("start"), F.when(F.col(word) == F.col("name"), -1.0)).otherwise(near))
+    fit = scored.filter((F.col("_score") >= cutoff - places.EPS) | (F.col("start") & F.col("_score").isNotNull()))
+    return fit.groupBy(word).agg(F.max_by("month", F.struct("_score", "name")).alias("month"))
 
 
 # A text is read as its numbers and the gaps between them: what can be a date is told by a number and the gap behind it.
@@ -89,7 +98,8 @@ def text_dates(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: fl
     cells = _numbers_and_gaps(df, doc, text).select(doc, "_n", "_g", _places(F.col("_n"), dated)).select(
         doc, "pos", F.get("_n", F.col("pos")).cast("int").alias("_day"), F.regexp_extract(F.get("_g", F.col("pos") + 1), ONE_WORD, 1).alias("_word"),
         F.get("_n", F.col("pos") + 1).cast("int").alias("_year"))
-    found = _resolve_months(settle(cells.filter(F.col("_day") <= 31), "dates"), "_word", months, cutoff, "_month")
+    cells = settle(cells.filter(F.col("_day") <= 31), "dates")
+    found = cells.join(month_numbers(cells, "_word", months, cutoff).withColumnRenamed("month", "_month"), "_word")
     return found.select(doc, "pos", _iso(to_gregorian_year("_year"), F.col("_month"), F.col("_day")).alias("date")).filter(F.col("date").isNotNull())
 
 
@@ -158,9 +168,12 @@ def date_ranges(df: DataFrame, doc: str, text: str, months: DataFrame, cutoff: f
     pieces = settle(date_pieces(df, doc, text).select(doc, "pos", "next", "piece.*"), "pieces")
     left = pieces.filter(F.col("next").isNotNull()).select(doc, "next", F.col("pos").alias("_at"), *[F.col(c).alias(f"_{c}1") for c in ("day", "month", "word", "year", "width")])
     right = pieces.filter("month IS NOT NULL OR word IS NOT NULL").select(doc, F.col("pos").alias("next"), *[F.col(c).alias(f"_{c}2") for c in ("day", "month", "word", "year", "width")])
-    pairs = left.join(right, [doc, "next"])
+    pairs = settle(left.join(right, [doc, "next"]), "pairs")
+    words = pairs.select(F.explode(F.array("_word1", "_word2")).alias("_word"))
+    known = month_numbers(words, "_word", months, cutoff)
     for n in (1, 2):
-        pairs = _resolve_months(pairs, f"_word{n}", months, cutoff, f"_named{n}").withColumn(f"_month{n}", F.coalesce(f"_month{n}", f"_named{n}"))
+        pairs = pairs.join(known.select(F.col("_word").alias(f"_word{n}"), F.col("month").alias(f"_named{n}")), f"_word{n}", "left").withColumn(
+            f"_month{n}", F.coalesce(f"_month{n}", f"_named{n}"))
     stated1, stated2 = (to_gregorian_year(f"_year{n}", guess=True) for n in (1, 2))
     pairs = pairs.withColumns({"_y1": F.coalesce(stated1, stated2), "_y2": F.coalesce(stated2, stated1)}).filter("_word1 IS NULL OR _month1 IS NOT NULL")
     start, end = _iso(F.col("_y1"), F.col("_month1"), F.col("_day1")), _iso(F.col("_y2"), F.col("_month2"), F.col("_day2"))

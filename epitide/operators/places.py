@@ -4,8 +4,9 @@ Candidate pairs come from an equi-join on rare character grams rather than a pro
 A score of at least the cutoff bounds the number of edits by some k, and an edit touches q grams of length
 q at most. If both names put their grams in one order, the rarest first, then two names within k edits share
 a gram among the first k q + 1 of each, at places not more than k apart: so only that prefix is joined, and
-no pair that could reach the cutoff is lost. Below a cutoff of one half grams promise nothing; there the
-key is cut into k + 1 pieces, one of which must occur in the name as it is.
+no pair that could reach the cutoff is lost. From LONG_PIECES on k is so small that the key can be cut into
+k + 1 long pieces instead, one of which must occur in the name as it is, which needs no counting of grams;
+below a cutoff of one half, where grams promise nothing, the pieces are short but still lose nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from epitide.functions.scalar import strip_prefixes, strip_suffixes
 from epitide.sources.stage import settle
 
 CUTOFF = 0.74
-_EPS = 1e-9
+LONG_PIECES = 0.8
+EPS = 1e-9
 
 
 # ---- scores -----------------------------------------------------------------------------------
@@ -32,7 +34,7 @@ def edit_similarity(word: Column, candidate: Column) -> Column:
 
 def _damage(la: Column, lb: Column, cutoff: float) -> Column:
     """Most edits that can separate two names of these lengths if they reach the cutoff."""
-    return F.floor(F.greatest(la, lb) * (1 - cutoff) + _EPS).cast("int")
+    return F.floor(F.greatest(la, lb) * (1 - cutoff) + EPS).cast("int")
 
 
 def _most_damage(lb: Column, cutoff: float) -> Column:
@@ -42,7 +44,7 @@ def _most_damage(lb: Column, cutoff: float) -> Column:
 
 def _length_limits(n: Column, cutoff: float) -> tuple[Column, Column]:
     """Shortest and longest name that can still match one of length n."""
-    return F.ceil(n * cutoff - _EPS).cast("int"), F.floor(n / cutoff + _EPS).cast("int")
+    return F.ceil(n * cutoff - EPS).cast("int"), F.floor(n / cutoff + EPS).cast("int")
 
 
 # ---- candidates ---------------------------------------------------------------------------------
@@ -62,8 +64,11 @@ def _segment(length: Column, k: Column, i: Column) -> tuple[Column, Column]:
 
 
 def _gram_size(cutoff: float) -> int:
-    """Longest grams of which the longer of two names keeps one: m + q - 1 grams less q floor((1 - cutoff) m) is at least one."""
-    return 3 if cutoff >= 2 / 3 else 2 if cutoff >= 1 / 2 else 0
+    """Longest grams of which the longer of two names keeps one: m + q - 1 grams less q floor((1 - cutoff) m) is at least one.
+
+    0 where pieces serve better.
+    """
+    return 0 if cutoff >= LONG_PIECES or cutoff < 1 / 2 else 3 if cutoff >= 2 / 3 else 2
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -103,7 +108,8 @@ def gram_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: fl
     near = found.filter((F.abs(F.col("_len") - F.col("_lb")) <= k) & (F.abs(F.col("_at") - F.col("_bt")) <= k))
     pairs = near.select("_name", "_key", k.alias("_k"), F.greatest("_len", "_lb").alias("_most")).distinct()
     held = pairs.withColumns({"_gn": _grams(F.col("_name"), size), "_gk": _grams(F.col("_key"), size)})
-    common = F.size(F.filter("_gn", lambda g: F.array_contains("_gk", g)))
+    # Grams that occur twice count once in the intersection, so the name's own repeats are granted.
+    common = F.size(F.array_intersect("_gn", "_gk")) + F.size("_gn") - F.size(F.array_distinct("_gn"))
     return held.filter(common >= F.col("_most") + (size - 1) - size * F.col("_k")).select("_name", "_key", "_k")
 
 
@@ -152,7 +158,7 @@ def piece_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: f
 def closest(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float = CUTOFF) -> DataFrame:
     """(name, match): best dimension key per name at or above the cutoff; ties to the later key."""
     pairs = candidate_pairs(names, name, dim, key, cutoff)
-    scored = pairs.withColumn("_score", edit_similarity(F.col("_name"), F.col("_key"))).filter(F.col("_score") >= cutoff - _EPS)
+    scored = pairs.withColumn("_score", edit_similarity(F.col("_name"), F.col("_key"))).filter(F.col("_score") >= cutoff - EPS)
     best = scored.groupBy("_name").agg(F.max(F.struct("_score", "_key")).alias("_best"))
     return best.select(F.col("_name").alias(name), F.col("_best._key").alias("match"), F.col("_best._score").alias("score"))
 
