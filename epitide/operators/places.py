@@ -20,7 +20,7 @@ from epitide.functions.scalar import strip_prefixes, strip_suffixes
 from epitide.sources.stage import settle
 
 CUTOFF = 0.74
-LONG_PIECES = 0.8
+LONG_PIECES = CUTOFF
 EPS = 1e-9
 
 
@@ -66,9 +66,9 @@ def _segment(length: Column, k: Column, i: Column) -> tuple[Column, Column]:
 def _gram_size(cutoff: float) -> int:
     """Longest grams of which the longer of two names keeps one: m + q - 1 grams less q floor((1 - cutoff) m) is at least one.
 
-    0 where pieces serve better.
+    0 where no size does.
     """
-    return 0 if cutoff >= LONG_PIECES or cutoff < 1 / 2 else 3 if cutoff >= 2 / 3 else 2
+    return 3 if cutoff >= 2 / 3 else 2 if cutoff >= 1 / 2 else 0
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -115,7 +115,8 @@ def gram_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: fl
 
 def candidate_pairs(names: DataFrame, name: str, dim: DataFrame, key: str, cutoff: float) -> DataFrame:
     """Distinct (name, key) pairs among which every pair at or above the cutoff is found."""
-    pairs = gram_pairs(names, name, dim, key, cutoff) if _gram_size(cutoff) else piece_pairs(names, name, dim, key, cutoff)
+    by = gram_pairs if _gram_size(cutoff) and cutoff < LONG_PIECES else piece_pairs
+    pairs = by(names, name, dim, key, cutoff)
     return pairs.filter(F.levenshtein("_name", "_key") <= F.col("_k")).select("_name", "_key")
 
 
