@@ -89,7 +89,7 @@ def test_scores(spark, odd, none, order):
         rows = [(r.doc_id, words(lowered(r.text))) for r in df.select("doc_id", "text").collect()]
         model = Plain([w for i, w in rows if not is_held(i)], order)
         want = [(i, is_held(i), len(w) + 1, sum(model.counts[1][t,] > 0 for t in [*w, "</s>"]), model.n, model.base(w), model.score(w)) for i, w in rows]
-        for limits in (katz.LIMITS, TINY):
+        for limits in (katz.LIMITS, TINY) if order == 2 else (TINY,):
             same_rows([tuple(r) for r in katz.scores(df, "doc_id", "text", held_column(), order, limits).collect()], want)
     assert katz.scores(none, "doc_id", "text", held_column(), order).count() == 0
 
