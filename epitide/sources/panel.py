@@ -148,17 +148,24 @@ class Panel:
         return priority_merge(cells, self.keys, self.values, "_prio", levels=(0, 1), also={
             **{f"old_{v}": F.min(f"old_{v}") for v in self.values}, "arrivals": F.sum("arrivals")})
 
-    def merge(self, batch: DataFrame, name: str, checks: Mapping[str, Check] | None = None) -> Merged:
+    def merge(self, batch: DataFrame, name: str, checks: Mapping[str, Check] | None = None, parts: Sequence[str] | None = None) -> Merged:
         """Merge a batch into the partitions it touches, audit what is written, and publish it, or raise Refused.
 
-        The batch is read twice: for the partitions it touches, and for the merge, in which the checks are observed.
+        The batch is read for the merge, in which the checks are observed, and before that for the partitions it touches,
+        unless the caller knows them (`parts`, as from the names of its files). Rows outside stated parts are an error.
         """
         spark = batch.sparkSession
         version, written = self._state(spark)
         if self._knows(spark, name):
             return Merged(version)
         rows = batch.select(*self.schema.names)
-        touched = [r[0] for r in rows.select(self.part.cast("string")).distinct().limit(self.max_parts + 1).collect()]
+        part = self.part.cast("string")
+        if parts is None:
+            touched = [r[0] for r in rows.select(part).distinct().limit(self.max_parts + 1).collect()]
+        else:
+            touched = sorted(set(parts))
+            message = F.concat(F.lit("a row of another partition than stated: "), F.coalesce(part, F.lit("null")))
+            rows = rows.filter(F.when(F.coalesce(part.isin(touched), F.lit(False)), True).otherwise(F.raise_error(message).cast("boolean")))
         if len(touched) > self.max_parts or not all(p and PLAIN.fullmatch(p) for p in touched):
             raise ValueError(f"partitions must have plain names and be {self.max_parts} at most")
         new = version + 1

@@ -69,7 +69,13 @@ def merge_new_files(spark: SparkSession, source: str, panel: Panel, checkpoint:
     done = []
 
     def merge(batch: DataFrame, number: int) -> None:
-        done.append(panel.merge(batch.select(*panel.schema.names), f"{name}-{number}", checks))
+        # A merge reads its batch twice; what a stateful step lets through is not worked out twice.
+        kept = batch.persist() if identity else batch
+        try:
+            done.append(panel.merge(kept.select(*panel.schema.names), f"{name}-{number}", checks))
+        finally:
+            if identity:
+                kept.unpersist()
 
     run = (rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(merge).start())
     run.awaitTermination()

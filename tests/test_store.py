@@ -81,6 +81,29 @@ def test_a_good_batch_is_merged_in_one_pass(spark, tmp_path):
     assert seen.value == 20
 
 
+def test_stated_partitions_save_a_read(spark, tmp_path):
+    kept = store(spark, tmp_path / "p")
+    batch = rows(spark, ("a", "2020-01-01", 1.0, 1.0), ("a", "2020-02-01", 2.0, 2.0))
+    with pytest.raises(Exception, match="another partition than stated: 2020-02"):
+        kept.merge(batch, "one", parts=["2020-01"])
+    assert kept.read(spark).count() == 0
+    assert kept.merge(batch, "one", parts=["2020-02", "2020-01"]).parts == ("2020-01", "2020-02") and len(held(spark, kept)) == 2
+
+
+def test_repeated_rows_are_dropped_before_they_are_merged(spark, tmp_path):
+    schema = "id long, at timestamp, entity string, date date, value double, cases double"
+    t = dt.datetime(2020, 1, 1)
+    kept, source = store(spark, tmp_path / "p"), str(tmp_path / "in")
+    for k in range(3):
+        cells = [(i, t, f"e{i}", dt.date(2020, 1, 1 + k), float(i), 1.0) for i in (10 * k, 10 * k, 10 * k + 1)] + [(0, t, "again", dt.date(2020, 5, 1), 9.0, 9.0)] * (k > 0)
+        df = spark.createDataFrame(cells, schema)
+        df.coalesce(1).write.mode("append").parquet(source)
+        done = incremental.merge_new_files(spark, source, kept, str(tmp_path / "c"), {"once": panel.single_rows()}, schema=df.schema,
+                                           identity=["id"], event_time="at", delay="5 days")
+        assert [d.metrics for d in done if d.parts] == [{"once": 0}]
+    assert len(held(spark, kept)) == 6 and not any(e == "again" for e, _ in held(spark, kept))
+
+
 def test_odd_partitions_are_refused(spark, tmp_path):
     kept = store(spark, tmp_path / "p")
     with pytest.raises(ValueError, match="plain names"):
