@@ -1,8 +1,14 @@
 """Mixing sources to target weights: targets per source, then whole copies and one seeded chance per document.
 
-A source with target t and size s has rate t / s: each of its documents is emitted floor(rate) times, and once more if
-a number drawn from the seed, the document's id and its size falls below the fraction. No target exceeds `cap` times its
-source's size; what is cut off is shared by weight among the others.
+A source with target t and size s has rate t / s, at most `cap`: each of its documents is emitted floor(rate) times, and
+once more with a chance of the remaining fraction f. The chances of one source are drawn together, so that its words come
+near the target: hashes deal its documents to PIECES pieces, the pieces lie in hash order on a circle, each as long as its
+words, one seeded start per source turns the circle, and the pieces whose middle then falls into the first f of it are
+taken whole. Only the pieces at the two ends of that arc can miss. Pieces that hold a large share of their source are
+drawn first, on a circle of their own, and the smaller ones make up for what those miss (CLASSES). The start is uniform,
+so that a document's chance is f, but where the smaller pieces are too few to make up (their fraction stays in 0..1).
+
+No target exceeds `cap` times its source's size; what is cut off is shared by weight among the others.
 
 Defined cases: a null source is a source like any other and sorts last; a null or wordless text has size 0 and costs
 nothing; a null document id draws by its size; repeated rows decide alike; a null or non-positive weight gives target 0;
@@ -19,6 +25,8 @@ from epitide.sources.stage import settle
 
 CAP = 3
 SEED = 20
+PIECES = 4096      # pieces of one source, so that no row is ordered or shuffled to be drawn
+CLASSES = (8, 64)  # pieces of an 8th of their source and more are drawn first, of a 64th second, the others last
 
 
 def source_sizes(df: DataFrame, source: str, size: Column) -> DataFrame:
@@ -56,26 +64,56 @@ def targets(recipe: DataFrame, cap: int = CAP, total: Column | None = None) -> D
     return rows.select("source", "source_size", "weight", target.alias("target"))
 
 
-def copies(rate: Column, unit: Column) -> Column:
-    whole = F.floor(rate)
-    return (whole + (unit < rate - whole).cast("bigint")).cast("bigint")
+def piece_of(id: Column, size: Column, seed: int = SEED) -> Column:
+    """The piece of its source that a document lies in."""
+    return F.floor(seeded_unit(seed, id, size) * PIECES).cast("int")
 
 
-def decide(sized: DataFrame, goals: DataFrame, seed: int = SEED) -> DataFrame:
-    """`sized` (with id, source, size) and the source's source_size, target and the number of copies of each row.
+def draw(sized: DataFrame, goals: DataFrame, cap: int = CAP, seed: int = SEED) -> DataFrame:
+    """(source, piece, source_size, target, copies) of the pieces of all sources, at most PIECES rows a source.
 
-    `goals` has one row per source: adaptive execution broadcasts it while it is small and splits a hot source otherwise.
+    `sized` has id, source and size and enters with one row per task and piece.
     """
     known = goals.select(F.col("source").alias("_s"), "source_size", "target")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    return sized.join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn(
-        "copies", copies(rate, seeded_unit(seed, F.col("id"), F.col("size"))))
+    pieces = sized.groupBy("source", piece_of(F.col("id"), F.col("size"), seed).alias("piece")).agg(F.sum("size").alias("words"))
+    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(0.0)
+    level = F.lit(len(CLASSES))
+    for i, share in reversed(list(enumerate(CLASSES))):
+        level = F.when(F.col("words") * share >= F.col("source_size"), i).otherwise(level)
+    rows = pieces.join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("rate", rate).withColumns({
+        "whole": F.floor("rate"), "part": F.col("rate") - F.floor("rate"), "level": level})
+    of_level = Window.partitionBy("source", "level")
+    before = of_level.orderBy("piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("all", F.sum("words").over(of_level)).withColumn("at", F.when(
+        F.col("all") > 0, (2 * F.sum("words").over(before) - F.col("words")) / (2 * F.col("all"))).otherwise(0.0))
+    rows = rows.withColumns({"missed": F.lit(0.0), "taken": F.lit(0).cast("bigint")})
+    of_source = Window.partitionBy("source")
+    for i in range(len(CLASSES) + 1):
+        here, size = F.col("level") == i, F.max(F.when(F.col("level") == i, F.col("all"))).over(of_source)
+        rows = rows.withColumn("size", F.coalesce(size, F.lit(0)))
+        share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(F.col("size") > 0, F.col("part") - F.col("missed") / F.col("size")).otherwise(F.col("part"))))
+        turned = F.col("at") + seeded_unit(seed, F.col("source"), F.lit(i))
+        rows = rows.withColumn("taken", F.when(here, (turned - F.floor(turned) < share).cast("bigint")).otherwise(F.col("taken")))
+        got = F.sum(F.when(F.col("level") == i, F.col("words") * F.col("taken")).otherwise(0)).over(of_source)
+        rows = rows.withColumn("missed", F.col("missed") + (got - F.col("part") * F.col("size")))
+    return rows.select("source", "piece", "source_size", "target", (F.col("whole") + F.col("taken")).cast("bigint").alias("copies"))
+
+
+def decide(sized: DataFrame, drawn: DataFrame, seed: int = SEED) -> DataFrame:
+    """`sized` (with id, source, size) and the source's source_size, target and the number of copies of each row.
+
+    `drawn` is the result of `draw`: adaptive execution broadcasts it while it is small; beyond, rows meet it by source and
+    piece, so that a hot source comes in PIECES parts.
+    """
+    named = drawn.withColumnsRenamed({"source": "_s", "piece": "_p"})
+    return sized.join(named, (piece_of(F.col("id"), F.col("size"), seed) == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "_p")
 
 
-def mix(df: DataFrame, id: str, source: str, text: str, goals: DataFrame, seed: int = SEED) -> DataFrame:
-    """The documents as often as the mix takes them, all columns kept."""
+def mix(df: DataFrame, id: str, source: str, text: str, goals: DataFrame, cap: int = CAP, seed: int = SEED) -> DataFrame:
+    """The documents as often as the mix takes them, all columns kept. Texts are read twice, once for their sizes."""
     packed = df.select(F.struct("*").alias("doc"), col(id).alias("id"), col(source).alias("source"), word_count(text).alias("size"))
-    taken = decide(packed, goals, seed).filter("copies > 0")
+    drawn = settle(draw(packed.drop("doc"), goals, cap, seed), "drawn")
+    taken = decide(packed, drawn, seed).filter("copies > 0")
     return taken.select("doc", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("doc.*")
 
 
@@ -84,4 +122,5 @@ def mixed_sizes(df: DataFrame, id: str = "doc_id", source: str = "source", text:
     """(id, source, size, source_size, target, copies, taken), one row per document; texts are read once."""
     sized = settle(pick(df, id=id, source=source, size=word_count(text)), "sized")
     goals = targets(cycled_weights(source_sizes(sized, "source", F.col("size")), weights), cap)
-    return decide(sized, goals, seed).withColumn("taken", F.col("copies") * F.col("size"))
+    drawn = settle(draw(sized, goals, cap, seed), "drawn")
+    return decide(sized, drawn, seed).withColumn("taken", F.col("copies") * F.col("size"))

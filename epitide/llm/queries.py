@@ -38,6 +38,16 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- 2: mixing ------------------------------------------------------------------------------------
 
+def mix_step(i: int) -> str:
+    """One class of pieces drawn, and what the source has missed so far."""
+    return f"""size{i} AS (SELECT *, CAST(COALESCE(MAX(CASE WHEN level = {i} THEN whole_level END) OVER (PARTITION BY source), 0) AS DOUBLE) AS level_size,
+  middle + CAST('0x' || SUBSTR(MD5('{mixing.SEED}:' || COALESCE(source, 'null') || ':{i}'), 1, 13) AS BIGINT) / 4503599627370496.0 AS turned FROM step{i}),
+share{i} AS (SELECT * REPLACE (CASE WHEN level = {i} THEN CAST(turned - floor(turned)
+  < greatest(0::DOUBLE, least(1::DOUBLE, CASE WHEN level_size > 0 THEN part - missed / level_size ELSE part END)) AS BIGINT) ELSE taken END AS taken) FROM size{i}),
+step{i + 1} AS (SELECT * EXCLUDE (level_size, turned) REPLACE (
+  missed + (CAST(SUM(CASE WHEN level = {i} THEN words * taken ELSE 0 END) OVER (PARTITION BY source) AS DOUBLE) - part * level_size) AS missed) FROM share{i})"""
+
+
 MIX_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -56,13 +66,24 @@ goals AS (
   SELECT l.source, l.source_size,
     CASE WHEN f.place IS NULL OR l.place < f.place THEN CAST(3 * l.source_size AS DOUBLE) ELSE l.weight * f.level END AS target
   FROM leveled l LEFT JOIN first_open f ON TRUE),
-drawn AS (
-  SELECT s.doc_id, s.size, g.source_size, g.target,
-    CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate,
-    CAST('0x' || SUBSTR(MD5('{mixing.SEED}:' || COALESCE(CAST(s.doc_id AS VARCHAR), 'null') || ':' || s.size), 1, 13) AS BIGINT) / 4503599627370496.0 AS unit
-  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target, CAST(size * (FLOOR(rate) + CASE WHEN unit < rate - FLOOR(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM drawn"""
+placed AS (
+  SELECT doc_id, source, size,
+    CAST(floor(CAST('0x' || SUBSTR(MD5('{mixing.SEED}:' || COALESCE(CAST(doc_id AS VARCHAR), 'null') || ':' || size), 1, 13) AS BIGINT)
+      / 4503599627370496.0 * {mixing.PIECES}) AS BIGINT) AS piece FROM sized),
+pieces AS (SELECT source, piece, CAST(SUM(size) AS BIGINT) AS words FROM placed GROUP BY ALL),
+rated AS (
+  SELECT p.*, g.source_size, g.target,
+    CASE WHEN g.source_size > 0 THEN least(g.target / g.source_size, {mixing.CAP}::DOUBLE) ELSE 0::DOUBLE END AS rate,
+    CASE {" ".join(f"WHEN words * {n} >= g.source_size THEN {i}" for i, n in enumerate(mixing.CLASSES))} ELSE {len(mixing.CLASSES)} END AS level
+  FROM pieces p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source),
+laid AS (
+  SELECT *, rate - floor(rate) AS part, CAST(SUM(words) OVER (PARTITION BY source, level) AS BIGINT) AS whole_level,
+    CAST(SUM(words) OVER (PARTITION BY source, level ORDER BY piece) AS BIGINT) AS upto FROM rated),
+step0 AS (SELECT *, CASE WHEN whole_level > 0 THEN CAST(2 * upto - words AS DOUBLE) / CAST(2 * whole_level AS DOUBLE) ELSE 0::DOUBLE END AS middle,
+  0::DOUBLE AS missed, CAST(0 AS BIGINT) AS taken FROM laid),
+{", ".join(mix_step(i) for i in range(len(mixing.CLASSES) + 1))}
+SELECT d.doc_id, d.size, s.source_size, s.target, CAST(d.size * (floor(s.rate) + s.taken) AS BIGINT) AS taken
+FROM placed d JOIN step{len(mixing.CLASSES) + 1} s ON d.piece = s.piece AND d.source IS NOT DISTINCT FROM s.source"""
 
 
 @query(MIX_SQL)

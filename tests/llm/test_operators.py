@@ -89,6 +89,30 @@ def test_mix(spark, odd, none):
     assert mixing.mixed_sizes(none).count() == 0
 
 
+def test_mix_comes_near_its_targets(spark):
+    """Sources of few documents, one of them a third of its source, and one source with most documents."""
+    rng = np.random.default_rng(9)
+    sizes = [(s, int(n)) for s in range(12) for n in [700, *rng.integers(1, 60, 50)]] + [(12, int(n)) for n in rng.integers(1, 400, 6000)]
+    rows = [(i, None if s == 3 else f"s{s:02d}", "w " * n) for i, (s, n) in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    near, taken, whole = 0, collections.Counter(), collections.Counter()
+    for seed in range(6):
+        got, goals = collections.Counter(), {}
+        for r in mixing.mixed_sizes(df, seed=seed).collect():
+            assert r.copies in (int(r.target // r.source_size), min(3, int(r.target // r.source_size) + 1))
+            got[r.source] += r.taken
+            goals[r.source] = r.target
+            if r.size == 700 and r.target < 3 * r.source_size:
+                taken[seed] += r.copies
+                whole[seed] += r.target / r.source_size
+        assert got["s12"] == pytest.approx(goals["s12"], rel=0.01)
+        assert all(got[s] == pytest.approx(goals[s], rel=0.15) for s in goals)
+        near += sum(abs(got[s] / goals[s] - 1) < 0.05 for s in goals)
+    assert near >= 0.9 * 6 * 13
+    # The large document is taken as often as its rate says, over the seeds.
+    assert abs(sum(taken.values()) - sum(whole.values())) < 4 * (0.25 * 6 * 12) ** 0.5
+
+
 def test_targets_stop_at_the_cap(spark):
     sizes = spark.createDataFrame([("a", 10, 100.0), ("b", 1000, 1.0), ("c", 500, 1.0), ("d", 0, 1.0), ("e", 50, None)], "source string, source_size long, weight double")
     got = {r.source: r.target for r in mixing.targets(sizes).collect()}
