@@ -94,7 +94,8 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- 3: URL filters -------------------------------------------------------------------------------
 
-def url_sql() -> str:
+def url_sql(depth: int = 6) -> str:
+    """`depth` bounds the levels of the tree that the text can follow."""
     u = urlfilter
     fits = []
     for text, what in sorted(RULES, key=lambda r: (-len(r[0]), r[0])):
@@ -102,32 +103,34 @@ def url_sql() -> str:
         fits.append((f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash}{start}')", text, what))
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{t}'" for c, t, _ in fits) + " END"
     verdict = "CASE " + " ".join(f"WHEN {c} THEN '{w}'" for c, _, w in fits) + " END"
+    band = " + ".join(f"CASE WHEN (bad + 0.5::DOUBLE) / (lab + 1::DOUBLE) >= {cut}::DOUBLE THEN 1 ELSE 0 END" for cut in u.BANDS)
     ctes, last = [], "l0"
-    for i in range(u.LEVELS):
+    for i in range(depth):
         ctes.append(f"""c{i} AS (SELECT host, template, steps[{i + 1}] AS seg, COUNT(*) AS n, COUNT(bad) AS lab, COALESCE(SUM(bad), 0) AS bad
-  FROM {last} WHERE len(steps) > {i} GROUP BY ALL),
-p{i} AS (SELECT host, template, SUM(n) AS total FROM c{i} GROUP BY ALL),
-r{i} AS (SELECT host, template, c.seg, CAST(c.lab AS DOUBLE) AS lab, CAST(c.bad AS DOUBLE) AS bad, CAST(c.bad AS DOUBLE) / CAST(c.lab AS DOUBLE) AS rate
-  FROM c{i} c JOIN p{i} p USING (host, template)
-  WHERE c.n >= {u.SUPPORT} AND c.n >= {u.SHARE} * p.total AND c.lab > 0 AND NOT regexp_matches(c.seg, '^[0-9]+([.][A-Za-z0-9]+)?$')),
-g{i} AS (SELECT *, LAG(lab) OVER o AS lab0, LAG(bad) OVER o AS bad0 FROM r{i} WINDOW o AS (PARTITION BY host, template ORDER BY rate, seg)),
-a{i} AS (SELECT *, (bad + bad0) / (lab + lab0) AS pool FROM g{i}),
-b{i} AS (SELECT *, CASE WHEN rate - bad0 / lab0 > {u.Z} * sqrt(pool * (1 - pool) * (1 / lab + 1 / lab0)) THEN 1 ELSE 0 END AS apart FROM a{i}),
-d{i} AS (SELECT *, SUM(apart) OVER (PARTITION BY host, template ORDER BY rate, seg ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS class FROM b{i}),
-e{i} AS (SELECT *, MAX(class) OVER (PARTITION BY host, template) AS last_class FROM d{i}),
-k{i} AS (SELECT host, template, seg, MIN(seg) OVER w || CASE WHEN COUNT(*) OVER w > 1 THEN '+' ELSE '' END AS name
-  FROM e{i} WHERE last_class > 0 WINDOW w AS (PARTITION BY host, template, class)),
-l{i + 1} AS (SELECT l.* REPLACE (CASE WHEN len(steps) > {i} THEN l.template || '/' || COALESCE(k.name, '*') ELSE l.template END AS template)
-  FROM {last} l LEFT JOIN k{i} k ON l.host = k.host AND l.template = k.template AND k.seg = l.steps[{i + 1}])""")
+  FROM {last} WHERE NOT ended AND len(steps) > {i} GROUP BY ALL),
+p{i} AS (SELECT host, template, SUM(lab) AS all_lab, SUM(bad) AS all_bad FROM c{i} GROUP BY ALL HAVING SUM(bad) > 0 AND SUM(bad) < SUM(lab)),
+r{i} AS (SELECT host, template, c.seg, CAST(c.lab AS DOUBLE) AS lab, CAST(c.bad AS DOUBLE) AS bad, CAST(all_lab AS DOUBLE) AS all_lab, CAST(all_bad AS DOUBLE) AS all_bad
+  FROM c{i} c JOIN p{i} USING (host, template)
+  WHERE c.n >= {u.SUPPORT} AND c.lab > 0 AND NOT regexp_matches(c.seg, '^[0-9]+([.][A-Za-z0-9]+)?$')),
+b{i} AS (SELECT host, template, seg, {band} AS band FROM (SELECT *, all_bad / all_lab AS pool FROM r{i} WHERE all_lab > lab)
+  WHERE abs(bad / lab - (all_bad - bad) / (all_lab - lab)) > {u.Z}::DOUBLE * sqrt(pool * (1 - pool) * (1 / lab + 1 / (all_lab - lab)))),
+k{i} AS (SELECT host, template, seg, replace(replace(replace(MIN(seg) OVER w, '%', '%25'), '*', '%2A'), '+', '%2B') || CASE WHEN COUNT(*) OVER w > 1 THEN '+' ELSE '' END AS name
+  FROM b{i} WINDOW w AS (PARTITION BY host, template, band)),
+o{i} AS (SELECT DISTINCT host, template, TRUE AS going FROM r{i}),
+l{i + 1} AS (SELECT l.* REPLACE (
+    CASE WHEN ended THEN l.template WHEN going AND len(steps) > {i} THEN l.template || '/' || COALESCE(k.name, '*')
+      ELSE l.template || CASE WHEN len(steps) > {i + 1} THEN '/**' WHEN len(steps) = {i + 1} THEN '/*' ELSE '' END END AS template,
+    (ended OR going IS NULL OR len(steps) <= {i}) AS ended)
+  FROM {last} l LEFT JOIN o{i} o ON l.host = o.host AND l.template = o.template LEFT JOIN k{i} k ON l.host = k.host AND l.template = k.template AND k.seg = l.steps[{i + 1}])""")
         last = f"l{i + 1}"
     return f"""
 WITH raw AS (SELECT page_id, regexp_extract(COALESCE(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
 cut AS (SELECT page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), '{u.UPPER}', '{u.LOWER}') AS host, regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM raw),
 known AS (SELECT doc_id, MAX(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
-l0 AS (SELECT c.*, k.bad, list_filter(string_split(path, '/'), lambda s: s <> '') AS steps, '' AS template
+l0 AS (SELECT c.*, k.bad, list_filter(string_split(path, '/'), lambda s: s <> '') AS steps, '' AS template, FALSE AS ended
   FROM cut c LEFT JOIN known k ON k.doc_id = TRY_CAST(NULLIF(regexp_extract(path, '/([0-9]+)(?:[/.][^/]*)?$', 1), '') AS BIGINT)),
 {", ".join(ctes)},
-found AS (SELECT page_id, host, path, bad, template || CASE WHEN len(steps) > {u.LEVELS} THEN '/**' ELSE '' END AS template FROM {last}),
+found AS (SELECT page_id, host, path, bad, template FROM {last}),
 cells AS (SELECT host, template, COUNT(bad) AS lab, CAST(COALESCE(SUM(bad), 0) AS BIGINT) AS bad FROM found GROUP BY ALL),
 hosts AS (SELECT host, SUM(lab) AS lab, SUM(bad) AS bad FROM cells GROUP BY host),
 base AS (SELECT CASE WHEN SUM(lab) > 0 THEN CAST(SUM(bad) AS DOUBLE) / CAST(SUM(lab) AS DOUBLE) ELSE 0 END AS base FROM cells),

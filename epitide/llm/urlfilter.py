@@ -1,12 +1,15 @@
 """URL filtering by rules and by a learned tree of path templates.
 
 Per host, the segments of the paths form a tree. Going down from the host, a segment becomes a wildcard where it is
-variable (rare below its parent, or a number) or nothing is labelled. The frequent branches are ranked by their share of
-bad pages and merged with the next one unless the two shares differ (two-proportion z test); what is one class in the
-end is a wildcard, otherwise each class is a branch, named by its least segment, with "+" if there are more. Each
-template so found gets a smoothed share of bad pages: its labelled pages, shrunk to its host, which is shrunk to all
-pages. Templates whose share reaches a threshold are blocked. Below the last level of the tree, paths are told apart
-by whether they go on.
+variable (rare below its parent, or a number), has no label, or where its share of bad pages does not differ from that of
+its siblings together (two-proportion z test). The branches that differ are merged by bands of that share, so that the
+members of one class are alike among themselves however many there are; a class is named by its least segment, with "+"
+if there are more. The tree goes down as long as a parent has both bad and good pages and a branch that can be judged;
+below, paths are told apart by whether they go on, and by more than one segment. A branch is judged by its own support:
+neither the size of its parent nor its depth matters. Each template so found gets a smoothed share of bad pages: its
+labelled pages, shrunk to its host, which is shrunk to all pages. Templates whose share reaches a threshold are blocked.
+
+Segments that hold "*", "+" or "%" are written with percent codes in a template, so that no page can pass for a wildcard.
 
 Defined cases: a null url or one without "://" has empty host and path and is judged like any other; a page without a
 label counts only as a page; repeated rows are judged alike; without any label nothing is blocked by the method; an
@@ -16,16 +19,16 @@ empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epitide.sources.stage import settle
 
-LEVELS = 3         # depth of the tree
 SUPPORT = 20       # pages that a branch needs at least
-SHARE = 0.02       # and its least share of its parent's pages
-Z = 1.96           # least difference of neighbouring branches, in standard errors
+Z = 1.96           # least difference of a branch and its siblings, in standard errors
+BANDS = (0.04, 0.15, 0.31, 0.5, 0.69, 0.85, 0.96)  # cuts of the share of bad pages, of about one width after the arc sine
 STRENGTH = 10.0    # labelled pages that the prior is worth
 LIMIT = 0.5        # smoothed share of bad pages from which a template is blocked
 
@@ -51,36 +54,58 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def templates(pages: DataFrame, levels: int = LEVELS, support: int = SUPPORT, share: float = SHARE, z: float = Z) -> DataFrame:
+def _branches(open_: DataFrame, support: int) -> DataFrame:
+    """(host, template, seg, n, lab, bad, all_lab, all_bad): what can be judged below parents with bad and good pages."""
+    child = open_.filter("seg IS NOT NULL").groupBy("host", "template", "seg").agg(
+        F.count("*").alias("n"), F.count("bad").alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    parent = child.groupBy("host", "template").agg(F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad")).filter(
+        (F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all_lab")))
+    sure = (F.col("n") >= support) & (F.col("lab") > 0) & ~F.col("seg").rlike(r"^[0-9]+(\.[A-Za-z0-9]+)?$")
+    return child.filter(sure).join(parent, ["host", "template"])
+
+
+def _classes(branches: DataFrame, z: float) -> DataFrame:
+    """(host, template, seg, name) of the branches that differ from their siblings together."""
+    others, bad_others = F.col("all_lab") - F.col("lab"), F.col("all_bad") - F.col("bad")
+    pool = F.col("all_bad") / F.col("all_lab")
+    error = F.sqrt(pool * (1 - pool) * (1 / F.col("lab") + 1 / others))
+    differs = (others > 0) & (F.abs(F.col("bad") / F.col("lab") - bad_others / others) > z * error)
+    share, band = (F.col("bad") + 0.5) / (F.col("lab") + 1.0), F.lit(0)
+    for cut in BANDS:
+        band = band + (share >= cut).cast("int")
+    apart = branches.filter(F.when(F.col("all_lab") > F.col("lab"), differs).otherwise(False)).select("host", "template", "seg", band.alias("band"))
+    named = apart.groupBy("host", "template", "band").agg(F.min("seg").alias("least"), F.count("*").alias("many"))
+    plain = F.replace(F.replace(F.replace("least", F.lit("%"), F.lit("%25")), F.lit("*"), F.lit("%2A")), F.lit("+"), F.lit("%2B"))
+    return apart.join(named, ["host", "template", "band"]).select(
+        "host", "template", "seg", F.concat(plain, F.when(F.col("many") > 1, "+").otherwise("")).alias("name"))
+
+
+def templates(pages: DataFrame, support: int = SUPPORT, z: float = Z) -> DataFrame:
     """`pages` (id, host, path, bad: 1, 0 or null) with the template of each path.
 
     Each level is one aggregation by (host, parent, segment), which a hot host enters with one row per task and segment,
-    and a join with the few branches that stay, which is broadcast while small.
+    and joins with the few branches that can be judged, which are broadcast while small. Only pages whose parent may
+    still split go on to the next level.
     """
     steps = F.filter(F.split("path", "/"), lambda s: s != "")
-    df = pages.select("*", steps.alias("steps"), F.lit("").alias("template"))
-    for level in range(levels):
-        df = settle(df.withColumn("seg", F.get("steps", F.lit(level))), "tree")
-        child = df.filter("seg IS NOT NULL").groupBy("host", "template", "seg").agg(
-            F.count("*").alias("n"), F.count("bad").alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-        parent = child.groupBy("host", "template").agg(F.sum("n").alias("all"))
-        # At most 1 / share branches of a parent are frequent, so that these windows are short.
-        frequent = child.filter((F.col("n") >= support) & (F.col("lab") > 0) & ~F.col("seg").rlike(r"^[0-9]+(\.[A-Za-z0-9]+)?$")).join(
-            parent, ["host", "template"]).filter(F.col("n") >= share * F.col("all")).withColumn("rate", F.col("bad") / F.col("lab"))
-        siblings = Window.partitionBy("host", "template")
-        ranked = siblings.orderBy("rate", "seg")
-        placed = frequent.withColumns({"lab0": F.lag("lab").over(ranked), "bad0": F.lag("bad").over(ranked)})
-        pool = (F.col("bad") + F.col("bad0")) / (F.col("lab") + F.col("lab0"))
-        error = F.sqrt(pool * (1 - pool) * (1 / F.col("lab") + 1 / F.col("lab0")))
-        apart = F.coalesce((F.col("rate") - F.col("bad0") / F.col("lab0") > z * error).cast("int"), F.lit(0))
-        classes = placed.withColumn("apart", apart).withColumn("class", F.sum("apart").over(ranked.rowsBetween(Window.unboundedPreceding, 0)))
-        alike = Window.partitionBy("host", "template", "class")
-        kept = classes.withColumn("last", F.max("class").over(siblings)).filter("last > 0").select("host", "template", "seg", F.concat(
-            F.min("seg").over(alike), F.when(F.count("*").over(alike) > 1, "+").otherwise("")).alias("name"))
-        df = df.join(kept, ["host", "template", "seg"], "left").withColumn("template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-            F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*"))))).drop("name")
-    more = F.when(F.size("steps") > levels, F.lit("/**")).otherwise("")
-    return df.select("id", "host", "path", "bad", F.concat("template", more).alias("template"))
+    df = settle(pages.select("*", steps.alias("steps"), F.lit("").alias("template")), "tree")
+    ended, level = [], 0
+    while True:
+        left = F.size("steps") - level
+        rest = F.concat("template", F.when(left > 1, "/**").when(left == 1, "/*").otherwise(""))
+        seen = df.withColumn("seg", F.get("steps", F.lit(level)))
+        branches = settle(_branches(seen, support), "branches")
+        if branches.isEmpty():
+            break
+        going = branches.select("host", "template").distinct().withColumn("going", F.lit(True))
+        stays = F.coalesce("going", F.lit(False)) & F.col("seg").isNotNull()
+        step = seen.join(going, ["host", "template"], "left").join(_classes(branches, z), ["host", "template", "seg"], "left").select(
+            "id", "host", "path", "bad", "steps", F.when(stays, F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))).otherwise(rest).alias("template"),
+            stays.alias("stays"))
+        step = settle(step, "tree")
+        ended.append(step.filter("NOT stays").select("id", "host", "path", "bad", "template"))
+        df, level = step.filter("stays").drop("stays"), level + 1
+    return reduce(DataFrame.union, [*ended, df.select("id", "host", "path", "bad", rest.alias("template"))])
 
 
 def purity(found: DataFrame, strength: float = STRENGTH) -> DataFrame:

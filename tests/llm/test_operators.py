@@ -140,6 +140,40 @@ def test_tree_keeps_branches_that_differ(spark):
     assert {(r.path.split("/")[1], r.verdict) for r in got} == {("ads", "block"), ("news", "allow"), ("blog", "allow")}
 
 
+def test_tree_goes_by_support_not_by_share_or_depth(spark):
+    def pages(groups):
+        rows = [(url, bad) for url, bad, n in groups for _ in range(n)]
+        return spark.createDataFrame([(i, f"http://h.org{u}/p{i}", b) for i, (u, b) in enumerate(rows)], "id long, url string, bad int")
+
+    def verdicts(groups, **tree):
+        return {(r.path.rsplit("/", 1)[0], r.template, r.verdict) for r in urlfilter.judge(pages(groups), (), **tree).collect()}
+
+    # A small bad section of a large host, and the same one of a small host.
+    for clean in (19620, 1900):
+        assert verdicts([("/spam", 1, 100), ("/news", 0, clean)]) == {("/spam", "/spam/*", "block"), ("/news", "/news/*", "allow")}
+    # A difference on the fourth level.
+    assert verdicts([("/a/b/c/bad", 1, 300), ("/a/b/c/ok", 0, 300)]) == {
+        ("/a/b/c/bad", "/*/*/*/bad/*", "block"), ("/a/b/c/ok", "/*/*/*/ok/*", "allow")}
+    # Many small steps from clean to bad: neighbours are alike, the ends are not.
+    got = verdicts([(f"/s{k:02d}", b, n) for k in range(26) for b, n in ((1, 2 * k), (0, 50 - 2 * k)) if n])
+    kinds = {p: (t, v) for p, t, v in got}
+    assert kinds["/s00"][1] == "allow" and kinds["/s25"][1] == "block" and kinds["/s00"][0] != kinds["/s25"][0]
+    # Segments that look like wildcards or classes.
+    odd = verdicts([("/*", 1, 60), ("/x+", 0, 60), ("/x", 0, 60), ("/%2A", 0, 60)])
+    assert {(p, t) for p, t, _ in odd} == {("/*", "/%2A/*"), ("/x+", "/%252A+/*"), ("/x", "/%252A+/*"), ("/%2A", "/%252A+/*")}
+    assert {p for p, _, v in odd if v == "block"} == {"/*"}
+
+
+def test_url_odd_rows(spark):
+    long = "http://h.org/" + "/".join(["deep"] * 3000)
+    rows = [(1, long, 1), (1, long, 1), (2, None, 1), (3, "", None), (None, "http://h.org//a//", 0), (4, "http://h.org/" + "x" * 100_000, 0)]
+    pages = spark.createDataFrame([(*r, "h", "t") for r in rows], "id long, url string, bad int, host string, template string")
+    got = urlfilter.judge(pages, ()).collect()
+    assert len(got) == len(rows) and len({(r.verdict, r.template) for r in got if r.id == 1}) == 1
+    assert {r.template for r in got} == {"/**", "", "/*"}
+    assert urlfilter.judge(pages.limit(0), ()).count() == 0
+
+
 # ---- 4: vectors ---------------------------------------------------------------------------------------
 
 def test_vectors(spark):
