@@ -212,6 +212,24 @@ def test_blocks_and_probes_lose_no_link(spark, monkeypatch):
     assert sum(got.values()) >= 0.99 * want.sum() and all(got[i] <= want[i] for i in got)
 
 
+def test_vectors_of_few_dimensions(spark):
+    """Vectors that fill 4 and 8 of 48 dimensions, and clusters that each fill a few of their own: no link is lost."""
+    rng = np.random.default_rng(11)
+
+    def flat(n, low):
+        return rng.normal(size=(n, low)) @ rng.normal(size=(low, 48)) + 0.01 * rng.normal(size=(n, 48))
+
+    clusters = np.concatenate([2 * rng.normal(size=48) + flat(150, 3) / 2 for _ in range(8)])
+    for x in (flat(1500, 4), flat(1500, 8), clusters):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, v array<double>")
+        got = {r.id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df, "vec_id", "v").collect()}
+        m = x / np.sqrt((x * x).sum(1))[:, None]
+        near_ = (m @ m.T >= 0.9) & ~np.eye(len(m), dtype=bool)
+        assert near_.sum() > 100
+        found = sum(n for n, _ in got.values())
+        assert found <= near_.sum() and found >= 0.999 * near_.sum()
+
+
 # ---- 5: passages --------------------------------------------------------------------------------------
 
 def test_compact_windows():
