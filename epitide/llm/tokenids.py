@@ -37,7 +37,7 @@ from epitide.sources.stage import work_folder
 BLOCK_IDS = 1 << 18
 BLOCK_DOCS = 1 << 14
 PART_KEYS = 1 << 16   # keys of one part of the index, about
-KNOWN = 250_000       # chunks whose ids a worker remembers, per generation
+KNOWN = 60_000        # chunks whose ids a worker remembers, per generation; more of them are found more slowly
 SPACE = "\u0120"        # how byte-level vocabularies write a space
 
 PAYLOAD = ("shard int, block int, first bigint, n_ids bigint, n_docs int, keys array<bigint>, lengths array<int>, payload binary")
@@ -225,34 +225,35 @@ def _mixed(h: np.ndarray, pilot) -> np.ndarray:
 def build_pilots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(pilots, slots): a pilot per bucket of about four keys, and the slot 0..n-1 of each key, none taken twice.
 
-    Large buckets search first. A bucket of one key needs no search: its pilot names a free slot, as -1 - slot.
+    Large buckets search first, all of one size together: with each pilot those settle whose slots are free and not wanted
+    by an earlier bucket. A bucket of one key needs no search: its pilot names a free slot, as -1 - slot.
     """
     n = len(h)
+    if len(np.unique(h)) < n:
+        raise ValueError("two keys of one hash")
     m = max(1, -(-n // 4))
     bucket = (_mixed(h, 0) % np.uint64(m)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     sizes = np.bincount(bucket, minlength=m)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     pilots, slots, taken = np.zeros(m, np.int32), np.zeros(n, np.int64), np.zeros(n, bool)
-    for b in np.argsort(-sizes, kind="stable"):
-        size = sizes[b]
-        if size < 2:
-            break
-        members = order[starts[b]:starts[b] + size]
-        at = 1
-        while True:
-            tries = np.arange(at, at + 32)
-            places = (_mixed(h[members][None, :], tries[:, None]) % np.uint64(n)).astype(np.int64)
-            ranked = np.sort(places, axis=1)
-            good = ~taken[places].any(axis=1) & (ranked[:, 1:] != ranked[:, :-1]).all(axis=1)
-            if good.any():
-                i = int(good.argmax())
-                pilots[b], slots[members] = tries[i], places[i]
-                taken[places[i]] = True
-                break
-            at += 32
-            if at > 1 << 24:
-                raise ValueError("two keys of one hash")
+    for size in sorted(set(sizes[sizes > 1].tolist()), reverse=True):
+        open_, pilot = np.flatnonzero(sizes == size), 0
+        members = order[starts[open_][:, None] + np.arange(size)]
+        while len(open_):
+            pilot += 1
+            places = (_mixed(h[members], pilot) % np.uint64(n)).astype(np.int64)
+            fits = np.flatnonzero(~taken[places].any(axis=1))
+            first = np.unique(places[fits], return_index=True)[1]
+            owned = np.zeros(len(fits) * size, bool)
+            owned[first] = True  # of several that want a slot, the first
+            fits = fits[owned.reshape(-1, size).all(axis=1)]
+            pilots[open_[fits]] = pilot
+            slots[members[fits]] = places[fits]
+            taken[places[fits]] = True
+            stay = np.ones(len(open_), bool)
+            stay[fits] = False
+            open_, members = open_[stay], members[stay]
     free = iter(np.flatnonzero(~taken).tolist())
     for b in np.flatnonzero(sizes == 1):
         slot = next(free)
