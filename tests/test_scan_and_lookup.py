@@ -94,6 +94,19 @@ def test_interval_join(spark):
     assert sorted((x.id, x.span) for x in out.collect()) == sorted(keyed) and out.columns == ["id", "g", "at", "span", "a", "b"]
 
 
+def test_interval_join_of_repeated_points(spark):
+    """The same pairs, and no row of a point for every level: only distinct points are dealt to cells."""
+    nan = float("nan")
+    i = spark.createDataFrame([(1, "x", 0.0, 9.0), (2, "x", 2.5, 2.5), (3, "y", -3.0, None), (4, None, 0.0, 9.0), (2, "x", 2.5, 2.5)], "span int, g string, a double, b double")
+    values = [("x", 2.5), ("x", 0.0), ("x", -0.0), ("y", nan), ("y", 2.5), ("x", None), (None, 2.5), ("x", nan)]
+    p = spark.createDataFrame([(k, *values[k % len(values)]) for k in range(800)], "id int, g string, at double")
+    plain, out = temporal.interval_join(p, i, "at", "a", "b", ["g"]), temporal.interval_join(p, i, "at", "a", "b", ["g"], repeated=True)
+    assert out.columns == plain.columns
+    assert sorted((x.id, x.span) for x in out.collect()) == sorted((x.id, x.span) for x in plain.collect()) != []
+    distinct = r"Aggregate \[g#\d+, at#\d+\]"
+    assert re.search(distinct, plan_of(out)) and not re.search(distinct, plan_of(plain))
+
+
 def test_fractions_and_times(spark):
     p = spark.createDataFrame([(1, 2.7), (2, 2.5), (3, -0.2)], "id int, at double")
     i = spark.createDataFrame([("x", 2.5, 2.6), ("y", -0.5, 2.55)], "name string, a double, b double")
