@@ -100,9 +100,8 @@ def masks() -> list[int]:
     return found
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): links that connect exactly the fingerprints of `fps` (distinct values in a column fp) that verified
-    links within the radius connect."""
+def _linked(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links to hubs (a, b), their components (node, root), and the links across components (a, b, ra, rb)."""
     if radius > RADIUS:
         raise ValueError("the masks are made for four bits")
     signed = [m - (1 << 64) if m >> 63 else m for m in masks()]
@@ -124,15 +123,32 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     rest = settle(placed.join(mixed, "sign", "left_semi"), "mixed")
     left, right = [rest.select("sign", F.col("fp").alias(n), F.col("root").alias("r" + n)) for n in "ab"]
     across = left.join(right, (left["sign"] == right["sign"]) & (F.col("ra") < F.col("rb")) & near("a", "b"))
+    return hubs, joined, across.select("a", "b", "ra", "rb")
+
+
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): links that connect exactly the fingerprints of `fps` (distinct values in a column fp) that verified
+    links within the radius connect."""
+    hubs, _, across = _linked(fps, radius)
     return hubs.union(across.select("a", "b").distinct())
 
 
+def rooted(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """`distinct` (distinct values in a column fp) and the root, the least fingerprint that links reach.
+
+    The components of the hubs are found once; only their roots meet again, over the links across.
+    """
+    _, joined, across = _linked(distinct.select("fp"), radius)
+    merged = components(across, "ra", "rb").select(F.col("node").alias("near"), F.col("root").alias("far"))
+    placed = distinct.join(joined, F.col("fp") == F.col("node"), "left").withColumn("near", F.coalesce("root", "fp")).drop("node", "root")
+    return placed.join(merged, "near", "left").withColumn("root", F.coalesce("far", "near")).select(*distinct.columns, "root")
+
+
 def groups(df: DataFrame, id: str, text: str, words: int = 4, radius: int = RADIUS) -> DataFrame:
     """(id, h, fp, root, component_id), one row per input row; component_id is the smallest id reached over links."""
     found = settle(fingerprints(df, id, text, words), "fingerprints")
     distinct = settle(found.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    roots = components(links(distinct.select("fp"), radius), "a", "b")
-    placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    placed = rooted(distinct, radius)
     firsts = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     return found.join(placed.join(firsts, "root").select("fp", "root", "component_id"), "fp").select("id", "h", "fp", "root", "component_id")
 

@@ -38,6 +38,31 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
 
 
+def rounds(monkeypatch):
+    """Names of what `components` writes: one at its start and one a round."""
+    from epitide.llm import graph
+    seen, real = [], graph.settle
+    monkeypatch.setattr(graph, "settle", lambda df, name: (seen.append(name), real(df, name))[1])
+    return seen
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    seen = rounds(monkeypatch)
+    stars = [(1, i) for i in range(2, 40)] + [(100, i) for i in range(101, 120)]
+    got = {(r.node, r.root) for r in components(spark.createDataFrame(stars, "x long, y long"), "x", "y").collect()}
+    assert got == {(b, a) for a, b in stars} | {(1, 1), (100, 100)} and len(seen) == 1
+
+
+def test_components_of_hubs_are_found_once(spark, monkeypatch):
+    """Fingerprints that are all linked to one hub, and one that only a link across reaches."""
+    seen = rounds(monkeypatch)
+    fps = [0, *[1 << i for i in range(0, 60, 7)], (1 << 40) - 1 << 20]
+    frame = spark.createDataFrame([(v,) for v in fps], "fp long")
+    got = {r.fp: r.root for r in sim.rooted(frame).collect()}
+    want = roots(set(fps), [(a, b) for a in fps for b in fps if a < b and bin(a ^ b).count("1") <= 4])
+    assert got == want and len(seen) == 2
+
+
 # ---- 1: token counts ----------------------------------------------------------------------------------
 
 def library(vocabulary):
