@@ -395,6 +395,41 @@ def test_near_copies_around_a_line_of_many_documents(spark):
     assert {(r.rep_id, r.id) for r in got} == {(100 + i, 101 + i) for i in range(0, 24, 2)}
 
 
+def test_run_hashes():
+    own = np.random.default_rng(8).integers(0, 2**63, 40).astype(np.uint64)
+    own[20:30] = own[5:15]
+    first, second, other, none = passages.run_hashes(own, np.array([5, 20, 6, 9]), np.array([15, 30, 16, 9]))
+    assert first == second != other and passages.run_hashes(own[5:15], np.array([0]), np.array([10]))[0] == first and none == passages.mixed(np.zeros(1, np.uint64))[0]
+
+
+def test_spans_of_equal_windows_need_no_shingles(spark):
+    """Equal windows without a gap are a span as they are; others, and windows with a gap between them, are verified."""
+    names = "dk long, id long, lo int, rid long, rdk long, rlo int, diag long, a long, z long, same boolean"
+    rows = [(1, 1, 0, 0, 0, 0, 0, 0, 50, True), (1, 1, 0, 0, 0, 0, 0, 51, 99, True), (2, 2, 0, 0, 0, 0, 0, 0, 50, True), (2, 2, 0, 0, 0, 0, 0, 60, 110, True),
+            (3, 3, 0, 0, 0, 0, 0, 0, 50, False), (0, 0, 0, 0, 0, 0, 9, 9, 60, True)]
+    own = list(range(120))
+    texts = {0: own, 2: own[:55] + [-1] + own[56:], 3: own[:49] + [-1] * 71}  # 1 has no segment: nothing asks for its shingles
+    segments = spark.createDataFrame([(k, k, 0, v) for k, v in texts.items()], "dk long, id long, lo int, shingles array<int>")
+    found, held = passages._spans(spark.createDataFrame(rows, names), segments, 46, 0.8)
+    assert {(r.dk, r.s, r.e, r.rs, r.re, r.similarity) for r in found.filter("similarity = 1").collect()} == {(1, 0, 100, 0, 100, 1.0), (3, 0, 49, 0, 49, 1.0)}
+    assert {(r.dk, r.s, r.e) for r in found.filter("similarity < 1").collect()} == {(2, 0, 111)} and {(r.dk, r.s, r.e) for r in held.collect()} == {(2, 0, 55), (2, 56, 111), (3, 0, 49)}
+
+
+def test_equal_windows_ask_once(spark):
+    """Equal windows of many documents ask for bands once; all are linked, at each of their places."""
+    line = least_line()
+    rows = [(i, around(line, i, None, None)) for i in range(1, 20)]
+    shared = " ".join([prose("left", 43), line, prose("right", 43)])
+    words = shared.split()
+    words[25], words[-25] = "other", "another"
+    rows.append((90, " ".join([prose("k", 60), *words, prose("l", 60)])))
+    rows += [(100 + i, " ".join([prose(f"x{i}", 60), shared, prose(f"y{i}", 70), *([shared, prose(f"z{i}", 60)] if i == 0 else [])])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "d long, t string")
+    got = passages.passages(docs, "d", "t", hashes=1).collect()
+    assert {r.rep_id for r in got if r.id == 100} == {90} and {r.start > 200 for r in got if r.id == 100} == {True, False}
+    assert {r.id for r in got} == {100 + i for i in range(30)} and {r.rep_id for r in got} <= {90, *range(100, 130)}
+
+
 # ---- 6: quality ---------------------------------------------------------------------------------------
 
 def quality_inputs(spark, folder=DATA):
