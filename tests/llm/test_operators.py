@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from epitide.llm import decontaminate, mixing, passages, quality, sharding, tokencount, tokenids, urlfilter, vectors
+from epitide.llm import shingles as hashing
 from epitide.llm import simhash as sim
 from epitide.llm.graph import components
 from epitide.llm.queries import QUERIES, SQL, tokenizer_path
+from epitide.sources import stage
 
 RANKS = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -430,6 +432,58 @@ def test_equal_windows_ask_once(spark):
     assert {r.id for r in got} == {100 + i for i in range(30)} and {r.rep_id for r in got} <= {90, *range(100, 130)}
 
 
+def test_words_of_many_texts_are_hashed_at_once():
+    rng = np.random.default_rng(5)
+    texts = [None, "", "a", " x_1 ", "ΟΔΥΣΣΕΥΣ ΑΣ Σ", "Straße İstanbul naïve", "日本語 テキスト 12³", "x" * 31 + " " + "y" * 32 + " " + "é" * 40, "𝒳𝒴 a𐐀b", "a\nb\n\n c", "no", "\x00b"]
+    texts += ["".join(rng.choice(list("abc éß_-Σ日𝒳9\n"), 200)) for _ in range(20)]
+    want = [hashing.hashed(hashing.words(x)) for x in texts]
+    found, counts = hashing.word_hashes(texts)
+    assert (found == np.concatenate(want)).all() and counts.tolist() == [len(x) for x in want]
+    assert [len(x) for x in hashing.word_hashes([])] == [0, 0] and hashing.word_hashes([None, ""])[1].tolist() == [0, 0]
+    long = np.concatenate(want)[:30]
+    assert (hashing.runs_of(long) == [hashing.runs_of(long[i:i + 5])[0] for i in range(26)]).all()
+    assert (hashing.runs_of(hashing.hashed(["a", "b", "c", "d", "e", "f"])) == hashing.shingles(["a", "b", "c", "d", "e", "f"])).all()
+
+
+def test_spans_of_many_rows_at_once():
+    """The same spans and equal runs as row by row, in a fraction of the calls of `counterpart`."""
+    rng, a, b, want = np.random.default_rng(9), [], [], set()
+    for i in range(600):
+        x = rng.integers(-2**31, 2**31, rng.integers(30, 160)).astype(np.int32)
+        y = x.copy()
+        if i % 6 == 1:
+            y = np.concatenate([y[:20], y[24:], y[:9]])  # shifted
+        elif i % 6 == 2:
+            y[rng.integers(0, len(y), 4)] = 7
+        elif i % 6 == 3:
+            y = rng.permutation(np.concatenate([y, y[:40]]))
+        elif i % 6 == 4:
+            y[:rng.integers(0, len(y))] = rng.integers(-2**31, 2**31)
+        elif i % 6 == 5:
+            x, y = np.tile(x[:25], 4), np.concatenate([y[:5], np.tile(x[:25], 5)])
+        a.append(x)
+        b.append(y)
+        m = min(len(x), len(y))
+        if m >= 46:
+            want |= {(i, *s, False) for s in passages.spans(x, y, 46, 0.8)}
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], (x[:m] == y[:m]).view(np.int8), [0]])))
+            want |= {(i, s, e, s, e, 1.0, True) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist()) if e - s >= 46}
+    sizes = [np.array([len(x) for x in part]) for part in (a, b)]
+    got = passages.checked_spans(np.concatenate(a), sizes[0], np.concatenate(b), sizes[1], 46, 0.8)
+    assert set(zip(*[x.tolist() for x in got])) == want and len(want) == len(got[0]) > 500
+    empty = np.zeros(0, np.int32)
+    assert [len(x) for x in passages.checked_spans(empty, np.zeros(1, np.int64), empty, np.zeros(1, np.int64), 46, 0.8)] == [0] * 7
+
+
+def test_passages_leave_only_what_their_result_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stage, "work_folder", lambda _, name: f"{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}")
+    shared = prose("shared", 80)
+    docs = spark.createDataFrame([(i, f"{prose(f'l{i}', 30)} {shared} {prose(f'r{i}', 30)}") for i in range(6)], "d long, t string")
+    out = passages.passages(docs, "d", "t")
+    assert {x.name.split("-")[0] for x in tmp_path.iterdir()} == {"requests", "spans"}
+    assert {r.id for r in out.collect()} == {1, 2, 3, 4, 5}
+
+
 # ---- 6: quality ---------------------------------------------------------------------------------------
 
 def quality_inputs(spark, folder=DATA):
