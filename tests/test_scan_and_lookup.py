@@ -107,6 +107,18 @@ def test_interval_join_of_repeated_points(spark):
     assert re.search(distinct, plan_of(out)) and not re.search(distinct, plan_of(plain))
 
 
+def test_intervals_of_repeated_points_are_met_in_lists(spark, monkeypatch):
+    """A fact meets lists of bounded length, not a joined row for each interval; equal intervals, and all of a full list, are kept."""
+    monkeypatch.setattr(temporal, "PACK", 4)
+    i = spark.createDataFrame([(k // 2, "xy"[k % 2], -(k % 3), None if k % 5 == 0 else 3 + k % 4) for k in range(50)] * 2, "span int, g string, a int, b int")
+    p = spark.createDataFrame([(k, "xyz"[k % 3], k % 7) for k in range(90)], "id int, g string, at int")
+    for keys in (["g"], []):
+        spans = i if keys else i.drop("g")
+        plain, out = temporal.interval_join(p, spans, "at", "a", "b", keys), temporal.interval_join(p, spans, "at", "a", "b", keys, repeated=True)
+        assert out.columns == plain.columns and sorted(map(str, out.collect())) == sorted(map(str, plain.collect())) != []
+        assert "Generate explode(_found" in plan_of(out)
+
+
 def test_fractions_and_times(spark):
     p = spark.createDataFrame([(1, 2.7), (2, 2.5), (3, -0.2)], "id int, at double")
     i = spark.createDataFrame([("x", 2.5, 2.6), ("y", -0.5, 2.55)], "name string, a double, b double")
